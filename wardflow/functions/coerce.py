@@ -1,24 +1,18 @@
 """Lax coercion of JSON field values, with the reason where a value is refused.
 
-Each coercer takes the field's JSON kind (``schema_of_variant`` text) and its text, and
-returns ``(value, reason)``: exactly one of the two is non-null for a present field.
+``to_*`` takes a field's JSON kind (``schema_of_variant`` text) and its text and gives the
+value, null where it is refused.  ``*_reason`` takes the same and the value's column and gives
+the reason, null where there is none.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardflow.functions.text import strip
 
 
-class Coerced(NamedTuple):
-    value: Column
-    reason: Column
-
-
 # Reason texts.
 VALID_STRING = "Input should be a valid string"
 VALID_INT = "Input should be a valid integer"
@@ -48,145 +42,144 @@ ISO_PATTERN = (
 )
 # Epoch numbers above this many units are milliseconds, below it seconds.
 EPOCH_SECONDS_LIMIT = 20_000_000_000.0
+LAST_EPOCH_SECOND = 253_402_300_799.0  # end of year 9999
 INT64_LIMIT = 9_223_372_036_854_775_807.0
 
 
-def _null(kind: str) -> Column:
-    return F.lit(None).cast(kind)
-
-
 def _is_number(kind: Column) -> Column:
     return (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
 
 
-def _reason(*cases: tuple[Column, str | Column], otherwise: Column | None = None) -> Column:
-    (first, text), *rest = cases
-    out = F.when(first, text)
-    for condition, text in rest:
-        out = out.when(condition, text)
-    return out if otherwise is None else out.otherwise(otherwise)
-
-
 def _from_bool(text: Column) -> Column:
     return F.when(text == "true", 1.0).otherwise(0.0)
 
 
-def to_string(kind: Column, text: Column) -> Coerced:
-    is_string = kind == "STRING"
-    return Coerced(F.when(is_string, strip(text)), F.when(~is_string, VALID_STRING))
+def to_string(kind: Column, text: Column) -> Column:
+    return F.when(kind == "STRING", strip(text))
+
+
+def string_reason(kind: Column, text: Column, value: Column) -> Column:
+    return F.when(kind != "STRING", VALID_STRING)
 
 
-def to_int(kind: Column, text: Column) -> Coerced:
+def to_int(kind: Column, text: Column) -> Column:
     """Whole number as a double, so that any size can still be range checked."""
-    number, is_string, is_bool = _is_number(kind), kind == "STRING", kind == "BOOLEAN"
-    trimmed = strip(text)
-    as_number = text.try_cast("double")
-    matches = trimmed.rlike(INT_PATTERN)
-    value = (
-        F.when(number, as_number)
-        .when(is_string & matches, F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(is_bool, _from_bool(text))
+    digits = F.replace(strip(text), F.lit("_"), F.lit(""))
+    return (
+        F.when(_is_number(kind), text.try_cast("double"))
+        .when((kind == "STRING") & strip(text).rlike(INT_PATTERN), digits.try_cast("double"))
+        .when(kind == "BOOLEAN", _from_bool(text))
     )
-    reason = _reason(
-        (number & (as_number != F.floor(as_number)), INT_FRACTION),
-        ((kind == "DOUBLE") & (F.abs(as_number) > INT64_LIMIT), INT_SIZE),
-        (is_string & ~matches, INT_TEXT),
-        (~number & ~is_string & ~is_bool, VALID_INT),
+
+
+def int_reason(kind: Column, text: Column, value: Column) -> Column:
+    return (
+        F.when(_is_number(kind) & (value % 1 != 0), INT_FRACTION)
+        .when((kind == "DOUBLE") & (F.abs(value) > INT64_LIMIT), INT_SIZE)
+        .when(value.isNull() & (kind == "STRING"), INT_TEXT)
+        .when(value.isNull(), VALID_INT)
     )
-    return Coerced(value, reason)
 
 
-def to_float(kind: Column, text: Column) -> Coerced:
-    number, is_string, is_bool = _is_number(kind), kind == "STRING", kind == "BOOLEAN"
-    trimmed = strip(text)
-    matches = trimmed.rlike(FLOAT_PATTERN)
-    value = (
-        F.when(number, text.try_cast("double"))
-        .when(is_string & matches, F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(is_bool, _from_bool(text))
+def to_float(kind: Column, text: Column) -> Column:
+    digits = F.replace(strip(text), F.lit("_"), F.lit(""))
+    return (
+        F.when(_is_number(kind), text.try_cast("double"))
+        .when((kind == "STRING") & strip(text).rlike(FLOAT_PATTERN), digits.try_cast("double"))
+        .when(kind == "BOOLEAN", _from_bool(text))
     )
-    reason = _reason(
-        (is_string & ~matches, NUMBER_TEXT),
-        (~number & ~is_string & ~is_bool, VALID_NUMBER),
+
+
+def float_reason(kind: Column, text: Column, value: Column) -> Column:
+    return F.when(value.isNull() & (kind == "STRING"), NUMBER_TEXT).when(
+        value.isNull(), VALID_NUMBER
     )
-    return Coerced(value, reason)
-
-
-def to_bool(kind: Column, text: Column) -> Coerced:
-    number, is_string, is_bool = _is_number(kind), kind == "STRING", kind == "BOOLEAN"
-    as_number = text.try_cast("double")
-    word = F.lower(text)
-    value = (
-        F.when(is_bool, text == "true")
-        .when(number & as_number.isin(0.0, 1.0), as_number == 1.0)
-        .when(is_string & word.isin(TRUE_WORDS), True)
-        .when(is_string & word.isin(FALSE_WORDS), False)
+
+
+def to_bool(kind: Column, text: Column) -> Column:
+    number, word = text.try_cast("double"), F.lower(text)
+    return (
+        F.when(kind == "BOOLEAN", text == "true")
+        .when(_is_number(kind) & number.isin(0.0, 1.0), number == 1.0)
+        .when((kind == "STRING") & word.isin(TRUE_WORDS), True)
+        .when((kind == "STRING") & word.isin(FALSE_WORDS), False)
     )
-    whole = number & (as_number == F.floor(as_number))
-    reason = F.when(value.isNull(), F.when(whole | is_string, BOOL_TEXT).otherwise(VALID_BOOL))
-    return Coerced(value, reason)
 
 
-class CoercedInstant(NamedTuple):
-    value: Column
-    reason: Column
-    wall_clock: Column  # the local time as written, and
-    offset: Column  # its UTC offset, for messages that quote the input
+def bool_reason(kind: Column, text: Column, value: Column) -> Column:
+    whole = _is_number(kind) & (text.try_cast("double") % 1 == 0)
+    return F.when(
+        value.isNull(), F.when(whole | (kind == "STRING"), BOOL_TEXT).otherwise(VALID_BOOL)
+    )
 
 
-def to_instant(kind: Column, text: Column) -> CoercedInstant:
-    """ISO-8601 date or date-time, or epoch seconds / milliseconds; no offset means UTC."""
-    is_string = kind == "STRING"
-    is_epoch = _is_number(kind) | (is_string & text.rlike(EPOCH_PATTERN))
-    number = text.try_cast("double")
-    seconds = F.when(F.abs(number) > EPOCH_SECONDS_LIMIT, number / 1000).otherwise(number)
-    epoch = F.timestamp_micros(F.round(seconds * 1_000_000).cast("bigint"))
+def _is_epoch(kind: Column, text: Column) -> Column:
+    return _is_number(kind) | ((kind == "STRING") & text.rlike(EPOCH_PATTERN))
+
+
+def iso_parts(kind: Column, text: Column) -> dict[str, Column]:
+    """Pieces of an ISO text: date, clock, second, fraction and zone, empty where absent."""
+    names = ("date", "clock", "second", "fraction", "zone")
+    is_iso = (kind == "STRING") & ~text.rlike(EPOCH_PATTERN)
+    return {
+        name: F.when(is_iso, F.regexp_extract(text, ISO_PATTERN, i))
+        for i, name in enumerate(names, start=1)
+    }
 
-    def group(n: int) -> Column:
-        return F.regexp_extract(text, ISO_PATTERN, n)
+
+def iso_wall(parts: Column) -> Column:
+    """The local time as written, as if it were UTC; null if it is no real time."""
 
     def or_else(part: Column, default: str) -> Column:
         return F.when(part == "", default).otherwise(part)
 
-    date, clock, second, fraction, zone = (group(n) for n in range(1, 6))
-    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0")
-    wall_text = F.concat(
-        date, F.lit("T"), or_else(clock, "00:00"), F.lit(":"), or_else(second, "00"),
-        F.lit("."), micros, F.lit("Z"),
+    text = F.concat(
+        parts["date"], F.lit("T"), or_else(parts["clock"], "00:00"), F.lit(":"),
+        or_else(parts["second"], "00"), F.lit("."),
+        F.rpad(F.substring(parts["fraction"], 1, 6), 6, "0"), F.lit("Z"),
     )
-    wall = F.when(is_string & ~is_epoch & (date != ""), wall_text.try_cast("timestamp"))
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(
-        digits, 3, 2
-    ).try_cast("int")
-    sign = F.when(zone.startswith("-"), -1).otherwise(1)
-    offset_minutes = F.coalesce(minutes * sign, F.lit(0))
-    iso = F.timestamp_micros(F.unix_micros(wall) - offset_minutes * F.lit(60_000_000))
-
-    value = F.when(is_epoch, epoch).when(is_string, iso)
-    day_part = F.substring(text, 1, 10)
-    month = F.substring(text, 6, 2).try_cast("int")
-    detail = _reason(
-        (F.length(text) < 10, "input is too short"),
-        (~text.rlike("^[0-9]{4}"), "invalid character in year"),
-        (
-            day_part.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & ~month.between(1, 12),
-            "month value is outside expected range of 1-12",
-        ),
-        (
-            day_part.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & day_part.try_cast("date").isNull(),
-            "day value is outside expected range",
-        ),
-        otherwise=F.lit("unexpected extra characters at the end of the input"),
-    )
-    reason = F.when(
-        value.isNull(),
-        F.when(is_string, F.concat(F.lit(DATETIME_TEXT), detail)).otherwise(VALID_DATETIME),
-    )
-    shown_zone = F.when(digits == "", "+00:00").otherwise(
-        F.concat(
-            F.substring(zone, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2)
-        )
+    return F.when(parts["date"] != "", text.try_cast("timestamp"))
+
+
+def iso_offset(parts: Column) -> Column:
+    """Minutes east of UTC; 0 without a zone."""
+    digits = F.regexp_replace(parts["zone"], "[^0-9]", "")
+    hours, rest = (F.substring(digits, at, 2).try_cast("bigint") for at in (1, 3))
+    sign = F.when(parts["zone"].startswith("-"), -1).otherwise(1)
+    return F.coalesce((hours * 60 + rest) * sign, F.lit(0).cast("bigint"))
+
+
+def to_instant(kind: Column, text: Column, wall: Column, offset: Column) -> Column:
+    """ISO-8601 date or date-time, or epoch seconds / milliseconds; no offset means UTC."""
+    number = text.try_cast("double")
+    seconds = F.when(F.abs(number) > EPOCH_SECONDS_LIMIT, number / 1000).otherwise(number)
+    in_calendar = F.when(F.abs(seconds) <= LAST_EPOCH_SECOND, seconds)
+    epoch = F.timestamp_micros(F.round(in_calendar * 1_000_000).cast("bigint"))
+    iso = F.timestamp_micros(F.unix_micros(wall) - offset * 60_000_000)
+    return F.when(_is_epoch(kind, text), epoch).when(kind == "STRING", iso)
+
+
+def instant_reason(kind: Column, text: Column, value: Column) -> Column:
+    day, month = F.substring(text, 1, 10), F.substring(text, 6, 2).try_cast("int")
+    looks_dated = day.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    after = _is_epoch(kind, text) & (text.try_cast("double") > 0)
+    detail = (
+        F.when(after, "dates after 9999 are not supported as unix timestamps")
+        .when(_is_epoch(kind, text), "dates before 0000 are not supported as unix timestamps")
+        .when(F.length(text) < 10, "input is too short")
+        .when(~text.rlike("^[0-9]{4}"), "invalid character in year")
+        .when(looks_dated & ~month.between(1, 12), "month value is outside expected range of 1-12")
+        .when(looks_dated & day.try_cast("date").isNull(), "day value is outside expected range")
+        .otherwise("unexpected extra characters at the end of the input")
     )
-    zero_is_plus = F.when(offset_minutes == 0, "+00:00").otherwise(shown_zone)
-    return CoercedInstant(value, reason, F.coalesce(wall, value), zero_is_plus)
+    dated = F.concat(F.lit(DATETIME_TEXT), detail)
+    textual = (kind == "STRING") | _is_number(kind)
+    return F.when(value.isNull(), F.when(textual, dated).otherwise(VALID_DATETIME))
+
+
+def shown_offset(offset: Column) -> Column:
+    """``+hh:mm`` of an offset in minutes."""
+    minutes = F.abs(offset)
+    sign = F.when(offset < 0, "-").otherwise("+")
+    two = [F.lpad(x.cast("bigint").cast("string"), 2, "0") for x in (F.floor(minutes / 60), minutes % 60)]
+    return F.concat(sign, two[0], F.lit(":"), two[1])

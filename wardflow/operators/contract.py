@@ -36,14 +36,6 @@ NOT_LEVEL = "Input should be 'A', 'V', 'P' or 'U'"
 INVALID_JSON = "record: invalid JSON"
 NOT_OBJECT = "record: expected a JSON object, got "
 
-def _kind(name: str) -> Column:
-    return F.col(f"_kind_{name}")
-
-
-def _text(name: str) -> Column:
-    return F.col(f"_text_{name}")
-
-
 def _range_reason(value: Column, bounds: tuple[int, int]) -> Column:
     low, high = bounds
     return F.when(value < low, f"Input should be greater than or equal to {low}").when(
@@ -63,39 +55,46 @@ def _length_reason(value: Column, bounds: tuple[int, int | None]) -> Column:
     return reason
 
 
-def _rules(as_of: Column) -> dict[str, tuple[Column, Column]]:
-    """Field -> (typed value, reason or null), assuming the field is present."""
-    rules: dict[str, tuple[Column, Column]] = {}
-    for name in FIELDS:
-        kind, text = _kind(name), _text(name)
-        if name == "recorded_at":
-            value, reason, wall, offset = coerce.to_instant(kind, text)
-            latest = as_of + F.make_dt_interval(mins=F.lit(FUTURE_SKEW_MINUTES))
-            future = F.concat(
-                F.lit("Value error, recorded_at "), iso_utc(wall, offset), F.lit(" is in the future")
-            )
-            reason = F.coalesce(reason, F.when(value > latest, future))
-        elif name == "consciousness":
-            ok = (kind == "STRING") & text.isin(*CONSCIOUSNESS_LEVELS)
-            value, reason = F.when(ok, text), F.when(~ok, NOT_LEVEL)
-        elif name == "on_supplemental_o2":
-            value, reason = coerce.to_bool(kind, text)
-        elif name == "temperature_c":
-            value, reason = coerce.to_float(kind, text)
-            reason = F.coalesce(reason, _range_reason(value, RANGES[name]))
-        elif name in RANGES:
-            value, reason = coerce.to_int(kind, text)
-            reason = F.coalesce(reason, _range_reason(value, RANGES[name]))
-        else:
-            value, reason = coerce.to_string(kind, text)
-            if name == "patient_id":
-                bad = ~value.rlike(f"(?U){PATIENT_PATTERN}")
-                extra = F.when(bad, f"String should match pattern '{PATIENT_PATTERN}'")
-            else:
-                extra = _length_reason(value, LENGTHS[name])
-            reason = F.coalesce(reason, extra)
-        rules[name] = (value, reason)
-    return rules
+def _value(name: str, kind: Column, text: Column) -> Column:
+    """The coerced value, before range and length checks."""
+    if name == "recorded_at":
+        return coerce.to_instant(kind, text, F.col("_wall"), F.col("_offset"))
+    if name == "consciousness":
+        return F.when((kind == "STRING") & text.isin(*CONSCIOUSNESS_LEVELS), text)
+    if name == "on_supplemental_o2":
+        return coerce.to_bool(kind, text)
+    if name == "temperature_c":
+        return coerce.to_float(kind, text)
+    if name in RANGES:
+        return coerce.to_int(kind, text)
+    return coerce.to_string(kind, text)
+
+
+def _reason(name: str, kind: Column, text: Column, value: Column, as_of: Column) -> Column:
+    """Why a present field is refused, or null."""
+    if name == "recorded_at":
+        latest = as_of + F.make_dt_interval(mins=F.lit(FUTURE_SKEW_MINUTES))
+        shown = iso_utc(F.coalesce(F.col("_wall"), value), coerce.shown_offset(F.col("_offset")))
+        future = F.concat(F.lit("Value error, recorded_at "), shown, F.lit(" is in the future"))
+        return F.coalesce(
+            coerce.instant_reason(kind, text, value), F.when(value > latest, future)
+        )
+    if name == "consciousness":
+        return F.when(value.isNull(), NOT_LEVEL)
+    if name == "on_supplemental_o2":
+        return coerce.bool_reason(kind, text, value)
+    if name == "temperature_c":
+        found = coerce.float_reason(kind, text, value)
+        return F.coalesce(found, _range_reason(value, RANGES[name]))
+    if name in RANGES:
+        found = coerce.int_reason(kind, text, value)
+        return F.coalesce(found, _range_reason(value, RANGES[name]))
+    if name == "patient_id":
+        bad = ~value.rlike(f"(?U){PATIENT_PATTERN}")
+        further = F.when(bad, f"String should match pattern '{PATIENT_PATTERN}'")
+    else:
+        further = _length_reason(value, LENGTHS[name])
+    return F.coalesce(coerce.string_reason(kind, text, value), further)
 
 
 def _record_reason() -> Column:
@@ -141,29 +140,39 @@ def validate(messages: DataFrame, as_of: datetime | str | None = None) -> DataFr
     ``errors`` lists every broken rule as ``field: reason``, in declared field order, then
     unknown fields in input order; it is empty for a valid message.
     """
-    rules = _rules(instant(as_of))
+    now = instant(as_of)
+    # One projection per step: each refers to the columns of the one before by name, so no
+    # expression is repeated inside another.
     decoded = decode(messages)
-    reasons = {
-        f"_reason_{name}": F.when(
-            ~F.array_contains("_keys", name), f"{name}: {MISSING}"
-        ).when(reason.isNotNull(), F.concat(F.lit(f"{name}: "), reason))
-        for name, (_, reason) in rules.items()
-    }
-    types = {f.name: f.dataType for f in READING.fields}
-    # An out-of-range number is already refused; try_cast keeps it from failing the job.
-    values = {name: value.try_cast(types[name]) for name, (value, _) in rules.items()}
+    parts = coerce.iso_parts(F.col("_kind_recorded_at"), F.col("_text_recorded_at"))
+    decoded = decoded.withColumn("_iso", F.struct(*[c.alias(n) for n, c in parts.items()]))
+    decoded = decoded.withColumns(
+        {"_wall": coerce.iso_wall(F.col("_iso")), "_offset": coerce.iso_offset(F.col("_iso"))}
+    )
+    fields = {n: (F.col(f"_kind_{n}"), F.col(f"_text_{n}")) for n in FIELDS}
+    coerced = decoded.withColumns({f"_value_{n}": _value(n, *f) for n, f in fields.items()})
+    present = F.col("_keys")
+    reasons = []
+    for n, f in fields.items():
+        reason = _reason(n, *f, F.col(f"_value_{n}"), now)
+        reasons.append(
+            F.when(~F.array_contains(present, n), f"{n}: {MISSING}").otherwise(
+                F.concat(F.lit(f"{n}: "), reason)
+            )
+        )
     unknown = F.transform(
-        F.array_except("_keys", F.lit(list(FIELDS))),
+        F.array_except(present, F.lit(list(FIELDS))),
         lambda key: F.concat(key, F.lit(f": {EXTRA}")),
     )
-    of_fields = F.array_compact(F.array(*[F.col(name) for name in reasons]))
-    record = _record_reason()
-    errors = F.when(record.isNotNull(), F.array(record)).otherwise(F.concat(of_fields, unknown))
-    return (
-        decoded.withColumns({**values, **reasons})
-        .withColumn("errors", errors)
-        .select(*messages.columns, *FIELDS, "errors")
-    )
+    broken = F.concat(F.array_compact(F.array(*reasons)), unknown)
+    judged = coerced.withColumns({"_broken": broken, "_record": _record_reason()})
+    errors = F.when(F.col("_record").isNotNull(), F.array("_record")).otherwise(F.col("_broken"))
+    # An out-of-range number is already refused; try_cast keeps it from failing the job.
+    typed = [F.col(f"_value_{f.name}").try_cast(f.dataType).alias(f.name) for f in READING.fields]
+    result = F.struct(*typed, errors.alias("errors"))
+    # A one-element inline: filters on ``errors`` stay above it.  Pushed below, the optimizer
+    # would copy every rule into the filter and evaluate it again.
+    return judged.select(*messages.columns, F.inline(F.array(result)))
 
 
 def bronze_rows(validated: DataFrame, ingested_at: datetime | str | Column | None = None) -> DataFrame:

@@ -50,19 +50,20 @@ def local_session(cpus: int = 8, app: str = "wardflow", memory: str = "8g") -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, for checkpoints and work tables.
+    """Folder every executor can reach, for work tables and checkpoints.
 
     A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as in local
-    tests, a fresh local folder is made and recorded in the session.
+    tests, a fresh local folder is made the session's checkpoint folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="wardflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wardflow-"))
+    return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -172,15 +172,15 @@ class SnapshotTable:
         return self._load(self._folders(version)).select(*self.schema.fieldNames())
 
     def _load(self, folders: dict[str, str]) -> DataFrame:
-        layout = [T.StructField(self.PART, T.StringType()), T.StructField("v", T.StringType())]
+        layout = [T.StructField(self.PART, T.StringType()), T.StructField("_version", T.StringType())]
         stored = T.StructType(self.schema.fields + layout)
         if not folders:
-            return self.spark.createDataFrame([], stored).drop("v")
+            return self.spark.createDataFrame([], stored).drop("_version")
         return (
             self.spark.read.schema(stored)
             .option("basePath", self.path)
             .parquet(*[f"{self.path}/{f}" for f in sorted(folders.values())])
-            .drop("v")
+            .drop("_version")
         )
 
     # writes
@@ -191,7 +191,7 @@ class SnapshotTable:
         The rebalance hint lets adaptive execution split a partition that holds most of the
         rows over several tasks, and merge tiny ones.
         """
-        folder = f"data/v={version:012d}-{uuid.uuid4().hex[:8]}"
+        folder = f"data/_version={version:012d}-{uuid.uuid4().hex[:8]}"
         (
             enforce_schema(rows.drop(self.PART), self.schema)
             .withColumn(self.PART, self.partition)

@@ -50,7 +50,7 @@ def write_input(tmp_path, extra=()):
                     **reading(
                         reading_id=f"r{i}",
                         patient_id=f"P10000{i % 3}",
-                        recorded_at=iso(AS_OF - minutes(30 * i + 1)),
+                        recorded_at=iso(AS_OF - minutes(10 * i + 1)),
                         **vitals,
                     ),
                     "_corruption": "none",
@@ -189,15 +189,16 @@ def test_incremental_refresh_equals_a_full_rebuild(spark, settings):
         ing.ingest_batch(messages(spark, values), settings, batch, AS_OF, ingested_at=at)
 
     first = [
-        reading(reading_id=f"r{i}", patient_id=f"P10000{i % 2}", recorded_at=iso(T0 + minutes(25 * i)))
+        reading(reading_id=f"r{i}", patient_id=f"P10000{i % 2}", recorded_at=iso(T0 + minutes(35 * i)))
         for i in range(8)
     ]
     ingest(first, "1", T0 + minutes(300))
     ing.refresh_after(spark, settings, AS_OF)
+    lonely = reading(reading_id="r7", patient_id="P100001", recorded_at=iso(T0 + minutes(5)))
     moved = reading(reading_id="r1", patient_id="P100001", recorded_at=iso(T0 + minutes(61)), **SEVERE)
-    ingest([moved, reading(reading_id="new", recorded_at=iso(T0))], "2", T0 + minutes(301))
+    ingest([moved, lonely, reading(reading_id="new", recorded_at=iso(T0))], "2", T0 + minutes(301))
     out = ing.refresh_after(spark, settings, AS_OF)
-    assert out["silver"]["num_target_rows_updated"] == 1
+    assert out["silver"]["num_target_rows_updated"] == 2
     assert out["gold"]["silver_rows"] < 9
 
     current = g.gold_table(spark, settings).read().drop("computed_at")

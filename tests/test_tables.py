@@ -113,9 +113,10 @@ def test_untouched_partitions_are_shared_between_versions(spark, table):
     assert before["a"] == after["a"] and before["b"] != after["b"]
 
 
-def test_prune_and_scope(spark, table):
+def test_replacing_and_prune(spark, table):
     table.upsert(kv(spark, [(1, "a", "x"), (2, "b", "x"), (3, "b", "x")]))
-    table.upsert(kv(spark, [(2, "b", "y"), (5, "b", "y")]), scope=("day",))
+    days = spark.createDataFrame([("b",)], "day string")
+    table.upsert(kv(spark, [(2, "b", "y"), (5, "b", "y")]), replacing=days)
     assert rows(table.read()) == [(1, "a", "x"), (2, "b", "y"), (5, "b", "y")]
     table.upsert(kv(spark, [(2, "b", "z")]), prune=True)
     assert rows(table.read()) == [(2, "b", "z")]

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wardflow.functions.text import strip
+from wardflow.functions.times import iso_utc
 
 
 # Reason texts.
@@ -117,46 +118,53 @@ def _is_epoch(kind: Column, text: Column) -> Column:
     return _is_number(kind) | ((kind == "STRING") & text.rlike(EPOCH_PATTERN))
 
 
-def iso_parts(kind: Column, text: Column) -> dict[str, Column]:
-    """Pieces of an ISO text: date, clock, second, fraction and zone, empty where absent."""
+def _iso_part(text: Column, name: str) -> Column:
     names = ("date", "clock", "second", "fraction", "zone")
-    is_iso = (kind == "STRING") & ~text.rlike(EPOCH_PATTERN)
-    return {
-        name: F.when(is_iso, F.regexp_extract(text, ISO_PATTERN, i))
-        for i, name in enumerate(names, start=1)
-    }
+    return F.regexp_extract(text, ISO_PATTERN, names.index(name) + 1)
 
 
-def iso_wall(parts: Column) -> Column:
-    """The local time as written, as if it were UTC; null if it is no real time."""
+def iso_wall(text: Column) -> Column:
+    """The local time as an ISO text writes it, as if it were UTC; null if it is no real time."""
 
-    def or_else(part: Column, default: str) -> Column:
+    def or_else(name: str, default: str) -> Column:
+        part = _iso_part(text, name)
         return F.when(part == "", default).otherwise(part)
 
-    text = F.concat(
-        parts["date"], F.lit("T"), or_else(parts["clock"], "00:00"), F.lit(":"),
-        or_else(parts["second"], "00"), F.lit("."),
-        F.rpad(F.substring(parts["fraction"], 1, 6), 6, "0"), F.lit("Z"),
-    )
-    return F.when(parts["date"] != "", text.try_cast("timestamp"))
+    fraction = F.rpad(F.substring(_iso_part(text, "fraction"), 1, 6), 6, "0")
+    return F.concat(
+        _iso_part(text, "date"), F.lit("T"), or_else("clock", "00:00"), F.lit(":"),
+        or_else("second", "00"), F.lit("."), fraction, F.lit("Z"),
+    ).try_cast("timestamp")
 
 
-def iso_offset(parts: Column) -> Column:
-    """Minutes east of UTC; 0 without a zone."""
-    digits = F.regexp_replace(parts["zone"], "[^0-9]", "")
+def iso_offset(text: Column) -> Column:
+    """Minutes east of UTC of an ISO text; 0 without a zone."""
+    digits = F.regexp_replace(_iso_part(text, "zone"), "[^0-9]", "")
     hours, rest = (F.substring(digits, at, 2).try_cast("bigint") for at in (1, 3))
-    sign = F.when(parts["zone"].startswith("-"), -1).otherwise(1)
+    sign = F.when(_iso_part(text, "zone").startswith("-"), -1).otherwise(1)
     return F.coalesce((hours * 60 + rest) * sign, F.lit(0).cast("bigint"))
 
 
-def to_instant(kind: Column, text: Column, wall: Column, offset: Column) -> Column:
-    """ISO-8601 date or date-time, or epoch seconds / milliseconds; no offset means UTC."""
+def to_instant(kind: Column, text: Column) -> Column:
+    """ISO-8601 date or date-time, or epoch seconds / milliseconds; no offset means UTC.
+
+    The plain cast reads the usual spellings; the pieces are taken apart only for the rest.
+    """
     number = text.try_cast("double")
     seconds = F.when(F.abs(number) > EPOCH_SECONDS_LIMIT, number / 1000).otherwise(number)
     in_calendar = F.when(F.abs(seconds) <= LAST_EPOCH_SECOND, seconds)
     epoch = F.timestamp_micros(F.round(in_calendar * 1_000_000).cast("bigint"))
-    iso = F.timestamp_micros(F.unix_micros(wall) - offset * 60_000_000)
-    return F.when(_is_epoch(kind, text), epoch).when(kind == "STRING", iso)
+    unusual = F.timestamp_micros(F.unix_micros(iso_wall(text)) - iso_offset(text) * 60_000_000)
+    is_iso = (kind == "STRING") & text.rlike(ISO_PATTERN)
+    return F.when(is_iso, F.coalesce(text.try_cast("timestamp"), unusual)).when(
+        _is_epoch(kind, text), epoch
+    )
+
+
+def shown_instant(text: Column, value: Column) -> Column:
+    """The instant as ISO text in the offset it was sent with."""
+    zoned = iso_utc(iso_wall(text), shown_offset(iso_offset(text)))
+    return F.when(text.rlike(ISO_PATTERN), zoned).otherwise(iso_utc(value))
 
 
 def instant_reason(kind: Column, text: Column, value: Column) -> Column:

@@ -44,7 +44,7 @@ def tokens(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Whitespace-separated words; none for blank text."""
-    return F.filter(F.split(strip(text), r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(text, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
 
 
 def front_matter(raw: Column) -> Column:

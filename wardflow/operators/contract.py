@@ -58,7 +58,7 @@ def _length_reason(value: Column, bounds: tuple[int, int | None]) -> Column:
 def _value(name: str, kind: Column, text: Column) -> Column:
     """The coerced value, before range and length checks."""
     if name == "recorded_at":
-        return coerce.to_instant(kind, text, F.col("_wall"), F.col("_offset"))
+        return coerce.to_instant(kind, text)
     if name == "consciousness":
         return F.when((kind == "STRING") & text.isin(*CONSCIOUSNESS_LEVELS), text)
     if name == "on_supplemental_o2":
@@ -74,7 +74,7 @@ def _reason(name: str, kind: Column, text: Column, value: Column, as_of: Column)
     """Why a present field is refused, or null."""
     if name == "recorded_at":
         latest = as_of + F.make_dt_interval(mins=F.lit(FUTURE_SKEW_MINUTES))
-        shown = iso_utc(F.coalesce(F.col("_wall"), value), coerce.shown_offset(F.col("_offset")))
+        shown = coerce.shown_instant(text, value)
         future = F.concat(F.lit("Value error, recorded_at "), shown, F.lit(" is in the future"))
         return F.coalesce(
             coerce.instant_reason(kind, text, value), F.when(value > latest, future)
@@ -126,12 +126,14 @@ def decode(messages: DataFrame) -> DataFrame:
             "_keys": F.expr("array_distinct(json_object_keys(value))"),
         }
     )
-    fields: dict[str, Column] = {}
-    for name in FIELDS:
-        path = f"try_variant_get(_doc, '$.{name}', '{{}}')"
-        fields[f"_kind_{name}"] = F.expr(f"schema_of_variant({path.format('variant')})")
-        fields[f"_text_{name}"] = F.expr(path.format("string"))
-    return parsed.withColumns(fields)
+    # Texts of all fields from one pass; kinds from the VARIANT, which tells "78" from 78.
+    texts = "struct<" + ", ".join(f"{name}: string" for name in FIELDS) + ">"
+    return parsed.withColumn("_texts", F.from_json("value", texts)).withColumns(
+        {
+            f"_kind_{name}": F.expr(f"schema_of_variant(try_variant_get(_doc, '$.{name}', 'variant'))")
+            for name in FIELDS
+        }
+    )
 
 
 def validate(messages: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
@@ -144,27 +146,23 @@ def validate(messages: DataFrame, as_of: datetime | str | None = None) -> DataFr
     # One projection per step: each refers to the columns of the one before by name, so no
     # expression is repeated inside another.
     decoded = decode(messages)
-    parts = coerce.iso_parts(F.col("_kind_recorded_at"), F.col("_text_recorded_at"))
-    decoded = decoded.withColumn("_iso", F.struct(*[c.alias(n) for n, c in parts.items()]))
-    decoded = decoded.withColumns(
-        {"_wall": coerce.iso_wall(F.col("_iso")), "_offset": coerce.iso_offset(F.col("_iso"))}
-    )
-    fields = {n: (F.col(f"_kind_{n}"), F.col(f"_text_{n}")) for n in FIELDS}
+    fields = {n: (F.col(f"_kind_{n}"), F.col(f"_texts.{n}")) for n in FIELDS}
     coerced = decoded.withColumns({f"_value_{n}": _value(n, *f) for n, f in fields.items()})
-    present = F.col("_keys")
     reasons = []
     for n, f in fields.items():
         reason = _reason(n, *f, F.col(f"_value_{n}"), now)
+        # A field set to JSON null has a kind, a missing one has none.
         reasons.append(
-            F.when(~F.array_contains(present, n), f"{n}: {MISSING}").otherwise(
-                F.concat(F.lit(f"{n}: "), reason)
-            )
+            F.when(f[0].isNull(), f"{n}: {MISSING}").otherwise(F.concat(F.lit(f"{n}: "), reason))
         )
     unknown = F.transform(
-        F.array_except(present, F.lit(list(FIELDS))),
+        F.array_except("_keys", F.lit(list(FIELDS))),
         lambda key: F.concat(key, F.lit(f": {EXTRA}")),
     )
-    broken = F.concat(F.array_compact(F.array(*reasons)), unknown)
+    # Dropping nulls with array_except keeps the rules in generated code; array_compact is a
+    # lambda function, and everything inside one is interpreted.
+    nothing = F.array(F.lit(None).cast("string"))
+    broken = F.concat(F.array_except(F.array(*reasons), nothing), unknown)
     judged = coerced.withColumns({"_broken": broken, "_record": _record_reason()})
     errors = F.when(F.col("_record").isNotNull(), F.array("_record")).otherwise(F.col("_broken"))
     # An out-of-range number is already refused; try_cast keeps it from failing the job.

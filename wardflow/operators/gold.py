@@ -105,17 +105,20 @@ def build_gold(
     """Recompute hour buckets from Silver and upsert them.
 
     ``touched`` (patient_id, recorded_hour) limits the work to those buckets; by default all
-    are recomputed.  ``prune`` also removes buckets that a correction has emptied.
+    are recomputed.  ``prune`` also removes those of them that hold no reading any more.
     """
     readings = silver.read()
     if touched is not None:
-        if prune:
-            raise ValueError("prune needs a full recompute")
         readings = readings.join(touched, ["patient_id", "recorded_hour"], "left_semi")
     silver_rows = readings.count()
     if not silver_rows and not prune:
         return {"gold_rows": 0, "silver_rows": 0}
-    metrics = gold.upsert(aggregate_gold(readings, as_of), prune=prune)
+    rows = aggregate_gold(readings, as_of)
+    if touched is None:
+        metrics = gold.upsert(rows, prune=prune)
+    else:
+        buckets = touched.withColumnRenamed("recorded_hour", "window_start")
+        metrics = gold.upsert(rows, replacing=buckets if prune else None)
     return {
         "gold_rows": metrics.source_rows,
         "silver_rows": silver_rows,

@@ -42,7 +42,8 @@ def build_index(
     rows = index_rows(chunks, load)
     if recreate:
         return table.replace(rows)
-    return table.upsert(rows, scope=("doc_id",) if prune else None).source_rows
+    documents = rows.select("doc_id").distinct() if prune else None
+    return table.upsert(rows, replacing=documents).source_rows
 
 
 def stage_ingest(

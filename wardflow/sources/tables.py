@@ -221,15 +221,14 @@ class SnapshotTable:
         return int(totals["rows"] or 0)
 
     def upsert(
-        self, source: DataFrame, prune: bool = False, scope: tuple[str, ...] | None = None
+        self, source: DataFrame, prune: bool = False, replacing: DataFrame | None = None
     ) -> MergeMetrics:
         """Insert new keys, replace the rows of known ones; the rest stays.
 
-        With ``prune`` the source is the complete table: keys it lacks are removed.  With
-        ``scope`` (say, the document of a chunk) it is complete for each scope value it holds:
-        rows of those values that it lacks are removed.
+        ``replacing`` names further rows to drop, by values of some of the columns: say, the
+        documents that were chunked anew.  With ``prune`` the source is the complete table
+        and every key it lacks is dropped.
         """
-        replaced_on = list(scope or self.keys)
         source = source.withColumn(self.PART, self.partition).persist()
         try:
             source_rows = self._checked_source(source)
@@ -237,42 +236,40 @@ class SnapshotTable:
                 version = self._next()
                 self._commit(version, self._write(source, version))
                 return MergeMetrics(source_rows, 0, source_rows)
-            if not source_rows and not prune:
+            if not source_rows and not prune and replacing is None:
                 return MergeMetrics(0, 0, 0)
 
             folders = self._folders()
-            target = self._load(folders)
-            known = source.select(*self.keys).withColumn("_known", F.lit(1))
-            in_scope = target.select(self.PART, *{*self.keys, *replaced_on}).join(
-                source.select(*replaced_on), replaced_on, "left_semi"
-            )
-            per_part = in_scope.join(known, self.keys, "left") if scope else (
-                in_scope.withColumn("_known", F.lit(1))
-            )
-            # One row per partition value, not per key: a list no longer than the version's own.
-            held = {
-                r[self.PART]: r["n"]
-                for r in per_part.groupBy(self.PART).agg(F.count("_known").alias("n")).collect()
-            }
+            updated = self._rows_per_part(self._load(folders), source.select(*self.keys))
             if prune:
-                touched = set(folders)
-            else:
-                arriving = {r[0] for r in source.select(self.PART).distinct().collect()}
-                touched = set(held) | arriving
-            kept = {p: f for p, f in folders.items() if p not in touched}
-
-            if prune:
-                merged = source
+                kept, merged = {}, source
             else:
+                touched = set(updated)
+                touched |= {r[0] for r in source.select(self.PART).distinct().collect()}
+                if replacing is not None:
+                    touched |= set(self._rows_per_part(self._load(folders), replacing))
+                kept = {p: f for p, f in folders.items() if p not in touched}
                 affected = self._load({p: f for p, f in folders.items() if p in touched})
-                merged = merge_rows(affected, source, replaced_on)
+                if replacing is not None:
+                    affected = affected.join(replacing, replacing.columns, "left_anti")
+                merged = merge_rows(affected, source, self.keys)
             version = self._next()
             self._commit(version, {**kept, **self._write(merged, version)})
-            updated = sum(held.values())
-            return MergeMetrics(source_rows, updated, source_rows - updated)
+            n_updated = sum(updated.values())
+            return MergeMetrics(source_rows, n_updated, source_rows - n_updated)
         finally:
             source.unpersist()
 
+    def _rows_per_part(self, target: DataFrame, values: DataFrame) -> dict[str, int]:
+        """Rows of the target that match ``values``, by partition.
+
+        Reads only the matched columns; collects one row per partition value, a list no
+        longer than the version's own.
+        """
+        matched = target.join(values, values.columns, "left_semi")
+        counted = matched.groupBy(self.PART).agg(F.count(F.lit(1)).alias("n"))
+        return {r[self.PART]: r["n"] for r in counted.collect()}
+
     def vacuum(self, retain: int = 2) -> None:
         """Drop all but the newest versions, and the folders only they used."""
         known = self.versions()

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardflow.config import Settings
 from wardflow.operators import contract, gold, silver
 from wardflow.schemas import DEADLETTER
+from wardflow.session import materialize
 from wardflow.sources.tables import AppendLog
 
 
@@ -121,7 +122,7 @@ def refresh_after(
     mark = silver.watermark(before) if before is not None else None
     fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
     source = silver.shape_silver(fresh, as_of)
-    touched = gold.touched_buckets(before, source)
+    touched = materialize(gold.touched_buckets(before, source))
     merged = current.upsert(source)
-    refreshed = gold.build_gold(current, target, touched=touched, as_of=as_of)
+    refreshed = gold.build_gold(current, target, touched=touched, prune=True, as_of=as_of)
     return {"silver": merged.as_dict(), "gold": refreshed}

@@ -170,12 +170,13 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     required column fails the write itself.  (A plain parquet append checks neither, and
     ``DataFrame.to`` drops extra columns without a word.)
     """
-    have = {f.name: f.dataType for f in df.schema.fields}
-    want = {f.name: f.dataType for f in schema.fields}
+    # by their text, which leaves out whether parts of a nested type may be null
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in schema.fields}
     problems = [f"unexpected column {c}" for c in have if c not in want]
     problems += [f"missing column {c}" for c in want if c not in have]
     problems += [
-        f"column {c} is {have[c].simpleString()}, expected {t.simpleString()}"
+        f"column {c} is {have[c]}, expected {t}"
         for c, t in want.items()
         if c in have and have[c] != t
     ]

@@ -14,7 +14,7 @@ from wardflow.config import Settings
 from wardflow.functions import text as tx
 from wardflow.functions.embedding import HashedWords, ModelLoader, embed
 from wardflow.functions.vectors import cosine
-from wardflow.operators.retrieval import TermStatistics, hybrid_search, stored_statistics
+from wardflow.operators.retrieval import TermStatistics, hybrid_search, term_statistics
 from wardflow.operators.topk import SCORE_DECIMALS
 from wardflow.session import materialize
 
@@ -180,7 +180,7 @@ def answer_questions(
 
     ``queries`` has ``query_id, query``; ``index`` chunk rows with ``embedding``.
     """
-    statistics = statistics or stored_statistics(index)
+    statistics = statistics or term_statistics(index)
     scorer = scorer or lexical_scorer(queries, statistics)
     # At most pool rows per query, and then top_n: work tables keep the searches from being
     # repeated for each of the lists made from them.

@@ -28,7 +28,7 @@ BM25_EPSILON = 0.25
 
 @dataclass(frozen=True)
 class TermStatistics:
-    """``corpus``: one row (n, avgdl).  ``terms``: term, df, idf.  Write them once, reuse often."""
+    """``corpus``: one row (n, avgdl).  ``terms``: term, df, idf.  Made once, used often."""
 
     corpus: DataFrame
     terms: DataFrame
@@ -40,38 +40,44 @@ def token_counts(chunks: DataFrame) -> DataFrame:
     return exploded.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def corpus_statistics(chunks: DataFrame) -> DataFrame:
-    """One row: number of chunks and their mean length in tokens."""
-    length = F.size(tx.tokens(F.col("text")))
-    return chunks.agg(F.count(F.lit(1)).alias("n"), F.avg(length).alias("avgdl"))
-
-
 def raw_idf(n: Column, df: Column) -> Column:
     return F.ln(n - df + 0.5) - F.ln(df + 0.5)
 
 
 def term_statistics(chunks: DataFrame) -> TermStatistics:
-    """Document frequency and idf of every term.
+    """Corpus size and mean length; document frequency and idf of every term.
 
     A term in more than half of the chunks has a negative idf; it gets ``epsilon`` times the
     mean idf of the whole vocabulary (negatives included) instead.
+
+    The corpus is read once: beside its distinct terms every chunk emits an empty term that
+    carries its length.  The counts, one row per term, are kept as a work table; everything
+    else follows from that.
     """
-    corpus = corpus_statistics(chunks)
-    n = corpus.select("n").scalar()
-    # Distinct per chunk inside the row; then counts combine before the shuffle, so a term
-    # that is in every chunk sends one row per task.
-    once = chunks.select(F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term"))
-    counted = once.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    with_idf = counted.withColumn("idf", raw_idf(n, F.col("df")))
-    floor = with_idf.agg(F.avg("idf") * BM25_EPSILON).scalar()
-    idf = F.when(F.col("idf") < 0, floor).otherwise(F.col("idf"))
-    return TermStatistics(corpus, with_idf.withColumn("idf", idf))
 
+    def once_each(tokens: Column) -> Column:
+        terms = F.transform(
+            F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(0).alias("length"))
+        )
+        whole = F.struct(F.lit("").alias("term"), F.size(tokens).alias("length"))
+        return F.concat(terms, F.array(whole))
 
-def stored_statistics(chunks: DataFrame) -> TermStatistics:
-    """Statistics computed once and kept as work tables, for use in several steps."""
-    made = term_statistics(chunks)
-    return TermStatistics(materialize(made.corpus), materialize(made.terms))
+    # Counts combine before the shuffle, so a term in every chunk sends one row per task.
+    emitted = chunks.select(F.inline(tx.let(tx.tokens(F.col("text")), once_each)))
+    counted = materialize(
+        emitted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
+    )
+    whole = counted.filter(F.col("term") == "")
+    corpus = whole.agg(
+        F.coalesce(F.sum("df"), F.lit(0)).alias("n"), F.avg(F.col("length") / F.col("df")).alias("avgdl")
+    )
+    n = corpus.select("n").scalar()
+    terms = counted.filter(F.col("term") != "").select(
+        "term", "df", raw_idf(n, F.col("df")).alias("idf")
+    )
+    floor = terms.agg(F.avg("idf") * BM25_EPSILON).scalar()
+    idf = F.when(F.col("idf") < 0, floor).otherwise(F.col("idf"))
+    return TermStatistics(corpus, terms.withColumn("idf", idf))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wardflow.operators.chunking import chunk_documents
 from wardflow.schemas import BRONZE
+from wardflow.session import spread
 
 AS_OF = "2024-02-01T00:00:00+00:00"
 
@@ -132,10 +133,15 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_of(table(spark, sf_dir, "events"))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` table, over all cores."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table in the corpus layout."""
     doc_id = F.col("doc_id").cast("string")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         doc_id.alias("doc_id"),
         F.concat(F.lit("Document "), doc_id).alias("title"),
         "source",
@@ -162,7 +168,7 @@ def pages_as_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
         body = F.regexp_replace(body, f"<h{level}[^>]*>", "\n" + "#" * level + " ")
         body = F.regexp_replace(body, f"</h{level}>", "\n")
     page = F.col("page_id").cast("string")
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(
         page.alias("doc_id"), F.col("url").alias("title"), F.lit("web").alias("source"),
         F.lit("").alias("topic"), body.alias("body"),
     )

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wardflow.config import Settings
 from wardflow.functions import text as tx
@@ -19,7 +20,7 @@ from wardflow.operators import contract, gold, lineage, quality, retrieval, silv
 from wardflow.operators.chunking import section_rows
 from wardflow.operators.upsert import merge_metrics, merge_rows
 from wardflow.plans import fixtures as fx
-from wardflow.session import materialize, prepare, shared_dir
+from wardflow.session import materialize, prepare, shared_dir, spread
 from wardflow.sources import messages as msg
 from wardflow.streaming import ingest
 
@@ -56,7 +57,7 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.validate(fx.messages(spark, sf_dir), fx.AS_OF)
+    return contract.validate(spread(fx.messages(spark, sf_dir), "offset"), fx.AS_OF)
 
 
 def _deadletter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +97,7 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def src2_nonblank_lines(spark, sf_dir):
-    lines = fx.table(spark, sf_dir, "documents").select(
+    lines = fx.texts(spark, sf_dir).select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "value")
     )
     kept = msg.nonblank_lines(lines)
@@ -125,7 +126,7 @@ def src5_table_read(spark, sf_dir):
 
 @query
 def snk1_published_records(spark, sf_dir):
-    lines = fx.messages(spark, sf_dir).select("value")
+    lines = spread(fx.messages(spark, sf_dir), "offset").select("value")
     keyed = msg.keyed_records(msg.nonblank_lines(lines))
     return keyed.groupBy("key").agg(
         F.count(F.lit(1)).alias("records"), F.min("value").alias("first_value")
@@ -418,7 +419,7 @@ def exp_suite_on_labels(spark, sf_dir):
 @query
 def str1_tokens(spark, sf_dir):
     tokens = tx.tokens(F.col("text"))
-    return fx.table(spark, sf_dir, "documents").select(
+    return fx.texts(spark, sf_dir).select(
         "doc_id",
         F.size(tokens).alias("n_tokens"),
         F.md5(F.array_join(tokens, " ")).alias("digest"),
@@ -433,7 +434,7 @@ def str3_sections(spark, sf_dir):
 
 @query
 def str5_sentences(spark, sf_dir):
-    return fx.table(spark, sf_dir, "documents").select(
+    return fx.texts(spark, sf_dir).select(
         "doc_id",
         F.size(tx.sentences(F.col("text"))).alias("sentences"),
         F.md5(F.array_join(tx.sentences(F.col("text")), "|")).alias("digest"),
@@ -443,7 +444,7 @@ def str5_sentences(spark, sf_dir):
 @query
 def str6_clean_sentences(spark, sf_dir):
     """Cleaned sentences of four words or more (FLT5), distinct over the corpus (SET2)."""
-    raw = fx.table(spark, sf_dir, "documents").select(
+    raw = fx.texts(spark, sf_dir).select(
         F.explode(tx.sentences(F.col("text"))).alias("raw")
     )
     clean = raw.select(tx.clean_sentence(F.col("raw")).alias("sentence"))
@@ -485,8 +486,8 @@ def agg7_index_size(spark, sf_dir):
 
 @query
 def agg8_corpus_statistics(spark, sf_dir):
-    stats = retrieval.corpus_statistics(fx.chunks(spark, sf_dir))
-    return stats.select("n", F.round("avgdl", SHOWN).alias("avgdl"))
+    stats = retrieval.term_statistics(fx.chunks(spark, sf_dir))
+    return stats.corpus.select("n", F.round("avgdl", SHOWN).alias("avgdl"))
 
 
 @query
@@ -526,8 +527,6 @@ def ret5_rrf(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
 
     def ranking(ranker, order):
-        from pyspark.sql.window import Window
-
         window = Window.partitionBy("o_custkey").orderBy(*order)
         return orders.select(
             F.col("o_custkey").alias("query_id"),
@@ -544,7 +543,8 @@ def ret5_rrf(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    return retrieval.index_rows(fx.chunks(spark, sf_dir))
+    """The index as a work table: chunked and embedded once, read by every search step."""
+    return materialize(retrieval.index_rows(fx.chunks(spark, sf_dir)))
 
 
 def _hits(spark, sf_dir, index, statistics=None):
@@ -567,7 +567,7 @@ def ret6_hybrid_search(spark, sf_dir):
 @query
 def ret7_rerank(spark, sf_dir):
     index, questions = _index(spark, sf_dir), fx.questions(spark, sf_dir)
-    statistics = retrieval.stored_statistics(index)
+    statistics = retrieval.term_statistics(index)
     pool = materialize(_hits(spark, sf_dir, index, statistics).filter(F.col("fused_rank") <= 12))
     pairs = an.candidate_pairs(questions, pool, index, 12)
     top = an.rerank(pairs, an.lexical_scorer(questions, statistics), 5)
@@ -619,7 +619,11 @@ def stm2_stream_ingest(spark, sf_dir):
     schema = fx.table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     ingest.ingest_available(
-        fx.messages_of(events), settings, as_of=fx.AS_OF, ingested_at=F.col("timestamp")
+        fx.messages_of(events),
+        settings,
+        as_of=fx.AS_OF,
+        ingested_at=F.col("timestamp"),
+        tasks=spark.sparkContext.defaultParallelism,
     )
     return silver.bronze_table(spark, settings).rows()
 

@@ -76,3 +76,16 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores, for costly per-row work on an input too small to be split for them.
+
+    An input of at least one file split per core already is, and is left as it lies: no
+    shuffle at scale.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = 128 * 1024 * 1024
+    estimated = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if estimated < cores * split else df

@@ -212,13 +212,18 @@ class SnapshotTable:
         self._commit(version, self._write(rows, version))
         return self.read().count()
 
-    def _checked_source(self, source: DataFrame) -> int:
-        """Rows in the source; refuses a source that has a key twice."""
-        per_key = source.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-        totals = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-        if totals["most"] and totals["most"] > 1:
-            raise ValueError(f"source repeats a key {self.keys}: {totals['most']} rows for one key")
-        return int(totals["rows"] or 0)
+    def _checked_source(self, source: DataFrame) -> dict[str, int]:
+        """Rows of the source by partition value; refuses a source that has a key twice."""
+        per_key = source.groupBy(*self.keys).agg(
+            F.count(F.lit(1)).alias("n"), F.min(self.PART).alias(self.PART)
+        )
+        per_part = per_key.groupBy(self.PART).agg(
+            F.sum("n").alias("rows"), F.max("n").alias("most")
+        ).collect()
+        most = max((r["most"] for r in per_part), default=0)
+        if most > 1:
+            raise ValueError(f"source repeats a key {self.keys}: {most} rows for one key")
+        return {r[self.PART]: r["rows"] for r in per_part}
 
     def upsert(
         self, source: DataFrame, prune: bool = False, replacing: DataFrame | None = None
@@ -231,7 +236,8 @@ class SnapshotTable:
         """
         source = source.withColumn(self.PART, self.partition).persist()
         try:
-            source_rows = self._checked_source(source)
+            arriving = self._checked_source(source)
+            source_rows = sum(arriving.values())
             if not self.exists():
                 version = self._next()
                 self._commit(version, self._write(source, version))
@@ -244,8 +250,7 @@ class SnapshotTable:
             if prune:
                 kept, merged = {}, source
             else:
-                touched = set(updated)
-                touched |= {r[0] for r in source.select(self.PART).distinct().collect()}
+                touched = set(updated) | set(arriving)
                 if replacing is not None:
                     touched |= set(self._rows_per_part(self._load(folders), replacing))
                 kept = {p: f for p, f in folders.items() if p not in touched}

@@ -45,12 +45,16 @@ def ingest_batch(
     batch_id: str | None = None,
     as_of: datetime | str | None = None,
     ingested_at=None,
+    tasks: int | None = None,
 ) -> tuple[int, int]:
     """Validate one batch and write both sides; returns (valid, rejected).
 
     The validated batch is kept while both sides are written, so each message is parsed once.
+    ``tasks`` spreads a batch from a source with fewer partitions than the cluster has cores.
     """
     spark = messages.sparkSession
+    if tasks:
+        messages = messages.repartition(tasks, "partition", "offset")
     validated = contract.validate(messages, as_of).persist()
     try:
         stamp = as_of if ingested_at is None else ingested_at
@@ -74,6 +78,7 @@ def start_ingest(
     ingested_at=None,
     stats: IngestStats | None = None,
     after_batch: Callable[[int], None] | None = None,
+    tasks: int | None = None,
     available_now: bool = True,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
@@ -84,7 +89,7 @@ def start_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         valid, rejected = ingest_batch(
-            batch, settings, f"{name}-{batch_id:09d}", as_of, ingested_at
+            batch, settings, f"{name}-{batch_id:09d}", as_of, ingested_at, tasks
         )
         if stats is not None:
             stats.add(valid, rejected)
@@ -121,7 +126,7 @@ def refresh_after(
     before = current.read() if current.exists() else None
     mark = silver.watermark(before) if before is not None else None
     fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
-    source = silver.shape_silver(fresh, as_of)
+    source = materialize(silver.shape_silver(fresh, as_of))
     touched = materialize(gold.touched_buckets(before, source))
     merged = current.upsert(source)
     refreshed = gold.build_gold(current, target, touched=touched, prune=True, as_of=as_of)

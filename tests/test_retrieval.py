@@ -300,7 +300,7 @@ def test_gold_window_links_to_cited_guidance(spark, index):
         "heart rate 140, temperature 39.5. Recommended escalation and immediate management?"
     )
     assert "SpO2 98%, systolic" in questions["P100002"] and "temperature 36.2." in questions["P100002"]
-    out = an.explain_gold_windows(g.worst_windows(gold), index, Settings(root="x", min_rerank_score=-9))
+    out = an.explain_gold_window(gold, index, Settings(root="x", min_rerank_score=-9))
     [row] = out.collect()
     assert row["patient_id"] == "P100001" and row["query"] == questions["P100001"]
     assert not row["refused"] and row["citations"]

@@ -206,6 +206,21 @@ def test_incremental_refresh_equals_a_full_rebuild(spark, settings):
     assert sorted(map(tuple, current.collect())) == sorted(map(tuple, full.collect()))
 
 
+def test_each_micro_batch_can_refresh_the_tables(spark, settings, tmp_path):
+    topic = tmp_path / "topic"
+    feed(spark, topic, "a", [reading(reading_id="a")])
+    feed(spark, topic, "b", [reading(reading_id="a", heart_rate=200), reading(reading_id="b")])
+    ing.ingest_available(
+        stream(spark, topic),
+        settings,
+        ingested_at=None,
+        tasks=2,
+        after_batch=lambda _: ing.refresh_after(spark, settings),
+    )
+    [row] = g.gold_table(spark, settings).read().collect()
+    assert row["readings_in_window"] == 2 and row["mean_heart_rate"] == 136.0
+
+
 def test_windowed_stream_emits_closed_hours_once(spark, settings, tmp_path):
     from helpers import silver, silver_row
 

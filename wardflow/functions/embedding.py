@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,10 +58,12 @@ class HashedWords:
 def embed(text: Column, load: ModelLoader = HashedWords) -> Column:
     """Embedding of ``text`` as ``array<float>``; the model is loaded once per Python worker."""
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for texts in batches:
-            yield pd.Series(list(model.encode(texts.tolist())))
+            vectors = np.ascontiguousarray(model.encode(texts.to_pylist()), dtype=np.float32)
+            ends = np.arange(len(texts) + 1, dtype=np.int32) * vectors.shape[1]
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.ravel()))
 
     return encode(text)

@@ -14,6 +14,7 @@ from wardflow.config import Settings
 from wardflow.functions import text as tx
 from wardflow.functions.embedding import HashedWords, ModelLoader, embed
 from wardflow.functions.vectors import cosine
+from wardflow.operators.gold import find_windows, worst_windows
 from wardflow.operators.retrieval import TermStatistics, hybrid_search, term_statistics
 from wardflow.operators.topk import SCORE_DECIMALS
 from wardflow.session import materialize
@@ -278,3 +279,16 @@ def explain_gold_windows(
     questions = materialize(distinct.select(F.md5("query").alias("query_id"), "query"))
     answers = answer_questions(questions, index, settings, **options).drop("query_id")
     return asked.withColumnRenamed("query_id", "window_id").join(answers, "query")
+
+
+def explain_gold_window(
+    gold: DataFrame,
+    index: DataFrame,
+    settings: Settings,
+    patient_id: str | None = None,
+    window_start=None,
+    **options,
+) -> DataFrame:
+    """Cited guidance for the worst matching Gold row; raises where none matches."""
+    worst = worst_windows(find_windows(gold, patient_id, window_start), 1)
+    return explain_gold_windows(worst, index, settings, **options)

@@ -22,6 +22,8 @@ SPEED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # call-site capture for every column operation: costs seconds on wide expressions
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -213,9 +213,9 @@ def test_each_micro_batch_can_refresh_the_tables(spark, settings, tmp_path):
     ing.ingest_available(
         stream(spark, topic),
         settings,
-        ingested_at=None,
+        as_of=AS_OF,  # so every batch has the same stamp: a watermark alone would miss the second
         tasks=2,
-        after_batch=lambda _: ing.refresh_after(spark, settings),
+        after_batch=lambda batch: ing.refresh_after(spark, settings, AS_OF, batch),
     )
     [row] = g.gold_table(spark, settings).read().collect()
     assert row["readings_in_window"] == 2 and row["mean_heart_rate"] == 136.0

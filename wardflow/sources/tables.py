@@ -94,15 +94,25 @@ class AppendLog:
     def read(self) -> DataFrame:
         if not self.exists():
             raise TableMissing(self.path)
-        layout = T.StructType([T.StructField("batch", T.StringType())])
+        return self.spark.read.schema(self._stored()).parquet(self.path).drop("batch")
+
+    def _stored(self) -> T.StructType:
+        """The schema with the columns that folder names carry."""
+        layout = [T.StructField("batch", T.StringType())]
         if self.day:
-            layout = layout.add("_day", T.DateType())
-        stored = T.StructType(self.schema.fields + layout.fields)
-        return self.spark.read.schema(stored).parquet(self.path).drop("batch")
+            layout.append(T.StructField("_day", T.DateType()))
+        return T.StructType(self.schema.fields + layout)
 
     def rows(self) -> DataFrame:
         return self.read().select(*self.schema.fieldNames())
 
+    def batch(self, batch_id: str) -> DataFrame:
+        """Rows of one append; reads that folder only."""
+        if not self.exists():
+            raise TableMissing(self.path)
+        rows = self.spark.read.schema(self._stored()).parquet(self.path)
+        return rows.filter(F.col("batch") == batch_id).select(*self.schema.fieldNames())
+
     def since(self, column: str, watermark) -> DataFrame:
         """Rows with ``column`` strictly above ``watermark``; prunes whole days by folder."""
         df = self.read()

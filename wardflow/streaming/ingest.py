@@ -77,24 +77,24 @@ def start_ingest(
     as_of: datetime | str | None = None,
     ingested_at=None,
     stats: IngestStats | None = None,
-    after_batch: Callable[[int], None] | None = None,
+    after_batch: Callable[[str], None] | None = None,
     tasks: int | None = None,
     available_now: bool = True,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
     """Start the stream.  ``available_now`` drains what is there and stops.
 
-    Offsets are committed to the checkpoint only after both tables are written.
+    ``after_batch`` is called with each written batch's id, say to refresh Silver and Gold.
+    Offsets are committed to the checkpoint only after that.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = ingest_batch(
-            batch, settings, f"{name}-{batch_id:09d}", as_of, ingested_at, tasks
-        )
+        label = f"{name}-{batch_id:09d}"
+        valid, rejected = ingest_batch(batch, settings, label, as_of, ingested_at, tasks)
         if stats is not None:
             stats.add(valid, rejected)
         if after_batch is not None:
-            after_batch(batch_id)
+            after_batch(label)
 
     writer = (
         messages.writeStream.queryName(name)
@@ -114,18 +114,27 @@ def ingest_available(messages: DataFrame, settings: Settings, **options) -> Inge
 
 
 def refresh_after(
-    spark: SparkSession, settings: Settings, as_of: datetime | str | None = None
+    spark: SparkSession,
+    settings: Settings,
+    as_of: datetime | str | None = None,
+    batch: str | None = None,
 ) -> dict[str, dict[str, int]]:
     """Incremental Silver, then only the Gold hours that changed.
 
+    With ``batch`` exactly the rows of that Bronze batch are merged, else those ingested after
+    the newest merged one.
+
     A correction may move a reading to another hour: the buckets it left count as changed
     too, and lose their row when it was their last.
     """
     bronze = silver.bronze_table(spark, settings)
     current, target = silver.silver_table(spark, settings), gold.gold_table(spark, settings)
     before = current.read() if current.exists() else None
-    mark = silver.watermark(before) if before is not None else None
-    fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
+    if batch is not None:
+        fresh = bronze.batch(batch)
+    else:
+        mark = silver.watermark(before) if before is not None else None
+        fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
     source = materialize(silver.shape_silver(fresh, as_of))
     touched = materialize(gold.touched_buckets(before, source))
     merged = current.upsert(source)

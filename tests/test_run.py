@@ -255,3 +255,12 @@ def test_index_upsert_and_prune(spark, settings):
     assert table.read().count() == 2
     r.build_index(shorter, table, recreate=False, prune=True)
     assert table.read().count() == 1
+
+
+def test_the_package_is_shipped_to_the_workers_once(spark):
+    from wardflow.session import prepare
+
+    prepare(spark)
+    prepare(spark)
+    shipped = [f for f in spark.sparkContext.listFiles if f.endswith("/wardflow.zip")]
+    assert len(shipped) == 1

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from wardflow.functions import news2
 from wardflow.functions.times import instant
 from wardflow.schemas import GOLD
-from wardflow.sources.tables import MergeMetrics, SnapshotTable
+from wardflow.sources.tables import SnapshotTable
 
 KEYS = ("patient_id", "window_start")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,13 +30,31 @@ SPEED_SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to an existing session."""
+    """Apply the settings results depend on to an existing session, and ship the package."""
     for key, value in RESULT_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed where it is only on the driver's path; a package given with ``--py-files`` is a zip
+    already and is left alone.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    archive = f"{package.name}.zip"
+    if not package.is_dir() or any(f.endswith(f"/{archive}") for f in context.listFiles):
+        return
+    target = Path(tempfile.mkdtemp(prefix="wardflow-")) / archive
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+
+
 def local_session(cpus: int = 8, app: str = "wardflow", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -821,7 +821,10 @@ def _retrieval(q: str, table: str, floor: float) -> None:
 _retrieval("q", "x_questions", -2.0)
 _retrieval("w", "x_window_questions", -4.0)
 
-oracle("ret4_bm25_topk", "SELECT query_id, chunk_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM q_bm25")
+CUT = "floor(score * 10000) / 10000"
+oracle(
+    "ret4_bm25_topk", f"SELECT query_id, chunk_id, {CUT} AS score, CAST(rank AS INT) AS rank FROM q_bm25"
+)
 oracle(
     "ret6_hybrid_search",
     """
@@ -831,9 +834,8 @@ oracle(
 )
 oracle(
     "ret7_rerank",
-    """
-    SELECT query_id, CAST(marker AS INT) AS marker, chunk_id, round(score, 6) AS score
-    FROM q_reranked
+    f"""
+    SELECT query_id, CAST(marker AS INT) AS marker, chunk_id, {CUT} AS score FROM q_reranked
     """,
 )
 oracle(
@@ -899,8 +901,8 @@ oracle(
 )
 oracle(
     "ret3_dense_topk",
-    """
-    SELECT query_id, chunk_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (
+    f"""
+    SELECT query_id, chunk_id, {CUT} AS score, CAST(rank AS INT) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
       FROM (SELECT m.label AS query_id, chunk_id,
                    round(list_cosine_similarity(embedding, mean), 8) AS score

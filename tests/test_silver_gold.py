@@ -75,26 +75,32 @@ def test_only_one_row_per_key_and_task_is_shuffled(spark):
     assert plan.count("WindowGroupLimit") >= 2
 
 
-def test_sixty_readings_become_four_windows(spark):
+def test_readings_fall_into_patient_hours(spark):
     rows = [
-        silver_row(f"{p}-{h}-{i}", p, T0 + minutes(60 * h + i))
-        for p in ("P100001", "P100002")
-        for h in (0, 1)
-        for i in range(15)
+        silver_row(f"{p}/{k}", f"P20000{p}", T0 + minutes(25 * k)) for p in range(3) for k in range(p + 6)
     ]
     out = g.aggregate_gold(silver(spark, rows)).collect()
-    assert len(out) == 4
-    assert {r["readings_in_window"] for r in out} == {15}
+    found = {(r["patient_id"], r["window_start"].hour): r["readings_in_window"] for r in out}
+    wanted = {}
+    for p in range(3):
+        for k in range(p + 6):
+            key = f"P20000{p}", T0.hour + 25 * k // 60
+            wanted[key] = wanted.get(key, 0) + 1
+    assert found == wanted
     assert {r["worst_risk_band"] for r in out} == {"low"}
 
 
-def test_deteriorating_hour(spark):
-    rows = [silver_row("a"), silver_row("b", recorded_at=T0 + minutes(30), **SEVERE)]
+def test_an_hour_is_as_bad_as_its_worst_reading(spark):
+    times = [T0 + minutes(k) for k in (3, 20, 41, 59)]
+    rows = [silver_row(str(k), recorded_at=t) for k, t in enumerate(times[:3])]
+    rows.append(silver_row("bad", recorded_at=times[3], **SEVERE))
     row = g.aggregate_gold(silver(spark, rows)).first()
-    assert row["readings_in_window"] == 2 and row["max_news2"] >= 15
-    assert row["worst_risk_band"] == "high" and row["min_spo2"] == 88
-    assert row["pct_readings_on_oxygen"] == 0.5
-    assert row["first_reading_at"] < row["last_reading_at"]
+    assert (row["readings_in_window"], row["max_news2"], row["mean_news2"]) == (4, 17, 4.25)
+    assert (row["worst_risk_band"], row["min_spo2"], row["max_resp_rate"]) == ("high", 90, 27)
+    assert row["pct_readings_on_oxygen"] == 0.25
+    assert [row["first_reading_at"], row["last_reading_at"]] == [
+        t.replace(tzinfo=None) for t in (times[0], times[3])
+    ]
 
 
 def test_means_round_half_to_even(spark):
@@ -140,9 +146,9 @@ def test_an_emptied_hour_stays_unless_pruned(spark, tables):
 
 
 def test_touched_buckets_cover_where_a_reading_was_and_is(spark):
-    before = silver(spark, [silver_row("a"), silver_row("b", recorded_at=T0 + minutes(180))])
+    before = silver(spark, [silver_row("a")])
     moved = silver(spark, [silver_row("a", recorded_at=T0 + minutes(120))])
-    hours = {r["recorded_hour"].hour for r in g.touched_buckets(before, moved).collect()}
+    hours = {r["recorded_hour"].hour for r in g.touched_buckets(moved, before).collect()}
     assert hours == {10, 12}
 
 
@@ -164,9 +170,9 @@ def test_trend_carries_over_months(gold_rows):
     rows = {(r["patient_id"], r["window_start"]): r["change"] for r in g.trend(gold_rows).collect()}
     t0 = T0.replace(tzinfo=None)
     assert rows[("P1", t0)] is None
-    assert rows[("P1", t0 + minutes(60))] == 19.0
-    assert rows[("P1", t0 + minutes(180))] == -19.0
-    assert rows[("P2", t0 + minutes(60 * 24 * 40))] == -19.0
+    assert rows[("P1", t0 + minutes(60))] == 17.0
+    assert rows[("P1", t0 + minutes(180))] == -17.0
+    assert rows[("P2", t0 + minutes(60 * 24 * 40))] == -17.0
 
 
 def test_find_windows(gold_rows):

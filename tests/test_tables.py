@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from helpers import T0, bronze, bronze_row, minutes
 from hypothesis import HealthCheck, given
@@ -8,9 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.operators.upsert import merge_metrics, merge_rows, stale_keys
+from wardflow.operators.upsert import merge_metrics, merge_rows, newest_rows
 from wardflow.schemas import BRONZE, SchemaError, enforce_schema
-from wardflow.sources.tables import AppendLog, CommitConflict, SnapshotTable, TableMissing
+from wardflow.sources.tables import AppendLog, KeyedTable, TableMissing, merge_statement
 
 KV = T.StructType().add("k", "integer", False).add("day", "string", False).add("v", "string", False)
 
@@ -21,7 +23,7 @@ def kv(spark, rows):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return SnapshotTable(spark, str(tmp_path / "t"), KV, ("k",), partition="day")
+    return KeyedTable(spark, str(tmp_path / "t"), KV, ("k",), "day", partition_on=("day",))
 
 
 def rows(df):
@@ -96,7 +98,6 @@ def test_upsert_counts_and_contents(spark, table):
     second = table.upsert(kv(spark, [(2, "b", "y"), (4, "c", "y")]))
     assert (second.num_target_rows_updated, second.num_target_rows_inserted) == (1, 1)
     assert rows(table.read()) == [(1, "a", "x"), (2, "b", "y"), (3, "b", "x"), (4, "c", "y")]
-    assert table.read(1).count() == 3
 
 
 def test_a_row_that_changes_partition_leaves_no_copy(spark, table):
@@ -105,12 +106,53 @@ def test_a_row_that_changes_partition_leaves_no_copy(spark, table):
     assert rows(table.read()) == [(1, "b", "y"), (2, "a", "x"), (3, "b", "y")]
 
 
-def test_untouched_partitions_are_shared_between_versions(spark, table):
+def files(table, part):
+    return sorted(p.name for p in Path(table.path, f"_part={part}").glob("part-*"))
+
+
+def test_untouched_partitions_keep_their_files(spark, table):
     table.upsert(kv(spark, [(1, "a", "x"), (2, "b", "x")]))
-    before = table._folders()
+    before = files(table, "a"), files(table, "b")
     table.upsert(kv(spark, [(2, "b", "y")]))
-    after = table._folders()
-    assert before["a"] == after["a"] and before["b"] != after["b"]
+    assert files(table, "a") == before[0] and files(table, "b") != before[1]
+
+
+def test_reads_prune_partitions(spark, tmp_path):
+    """A table partitioned by its key reads only the arriving partitions."""
+    table = KeyedTable(spark, str(tmp_path / "t"), KV, ("k", "day"), "day", partition_on=("day",))
+    table.upsert(kv(spark, [(1, "a", "x"), (2, "b", "x"), (3, "c", "x")]))
+    plan = table.read(["b"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_part" in plan or "PartitionFilters: [_part" in plan
+    located = table.locate(kv(spark, [(2, "b", "y"), (2, "c", "y")]))
+    assert [(r["k"], r["_part"]) for r in located.collect()] == [(2, "b")]
+    assert table._parts_of(kv(spark, [(2, "b", "y")])) == ["b"]
+    assert table._parts_of(kv(spark, [(2, "b", "y")]).select("k")) is None
+
+
+def test_an_older_row_does_not_replace_a_newer_one(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), KV, ("k",), "day", ("day",), newest="v")
+    table.upsert(kv(spark, [(1, "a", "5"), (2, "a", "5")]))
+    out = table.upsert(kv(spark, [(1, "b", "4"), (2, "b", "6"), (3, "b", "1")]))
+    assert rows(table.read()) == [(1, "a", "5"), (2, "b", "6"), (3, "b", "1")]
+    assert (out.num_target_rows_updated, out.num_target_rows_inserted) == (1, 1)
+    assert table.parts() == ["a", "b"]
+
+
+def test_an_upsert_cut_short_is_completed_by_the_same_one(spark, table):
+    """As if the job had died after putting one of two partitions in place."""
+    first, second = [(1, "a", "x"), (2, "b", "x")], [(1, "b", "y"), (2, "a", "y")]
+    table.upsert(kv(spark, first))
+    table._put(kv(spark, [(2, "a", "y")]).withColumn("_part", F.lit("a")))
+    assert rows(table.read()) == [(2, "a", "y"), (2, "b", "x")]
+    table.upsert(kv(spark, second))
+    assert rows(table.read()) == sorted(second)
+
+
+def test_merge_statement():
+    assert merge_statement("delta.`/t`", "s", ("a", "b"), "at") == (
+        "MERGE INTO delta.`/t` t USING s s ON t.a = s.a AND t.b = s.b "
+        "WHEN MATCHED AND s.at >= t.at THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
 
 
 def test_replacing_and_prune(spark, table):
@@ -125,7 +167,7 @@ def test_replacing_and_prune(spark, table):
 def test_empty_source_changes_nothing(spark, table):
     table.upsert(kv(spark, [(1, "a", "x")]))
     assert table.upsert(kv(spark, [])).source_rows == 0
-    assert table.versions() == [1]
+    assert rows(table.read()) == [(1, "a", "x")]
 
 
 def test_repeated_source_key_is_refused(spark, table):
@@ -133,7 +175,7 @@ def test_repeated_source_key_is_refused(spark, table):
         table.upsert(kv(spark, [(1, "a", "x"), (1, "a", "y")]))
 
 
-def test_a_failed_write_leaves_the_old_version(spark, table):
+def test_a_failed_write_leaves_the_old_rows(spark, table):
     table.upsert(kv(spark, [(1, "a", "x")]))
     bad = kv(spark, [(1, "a", "x")]).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
     with pytest.raises(Exception, match="boom"):
@@ -141,27 +183,14 @@ def test_a_failed_write_leaves_the_old_version(spark, table):
     assert rows(table.read()) == [(1, "a", "x")]
 
 
-def test_second_commit_of_a_version_is_refused(spark, table):
-    table.upsert(kv(spark, [(1, "a", "x")]))
-    with pytest.raises(CommitConflict):
-        table._commit(1, {})
-
-
-def test_vacuum_keeps_what_the_newest_versions_use(spark, table):
-    for v in "xyz":
-        table.upsert(kv(spark, [(1, "a", v)] + ([(2, "b", v)] if v == "x" else [])))
-    table.vacuum(retain=1)
-    assert rows(table.read()) == [(1, "a", "z"), (2, "b", "x")]
-    assert table.versions() == [3]
-
-
 def test_plain_merge_and_metrics(spark):
     target, source = kv(spark, [(1, "a", "x"), (2, "a", "x")]), kv(spark, [(2, "a", "y"), (3, "a", "y")])
     assert rows(merge_rows(target, source, ["k"])) == [(1, "a", "x"), (2, "a", "y"), (3, "a", "y")]
     assert merge_metrics(target, source, ["k"]).first().asDict() == {
         "source_rows": 2, "num_target_rows_updated": 1, "num_target_rows_inserted": 1,
     }
-    assert rows(stale_keys(target, source, ["k"])) == [(1,)]
+    newest = newest_rows(target, kv(spark, [(1, "b", "w"), (2, "b", "x")]), ["k"], "v")
+    assert rows(newest) == [(1, "a", "x"), (2, "b", "x")]
 
 
 BATCH = st.dictionaries(st.integers(0, 8), st.tuples(st.sampled_from("abc"), st.text("xyz", max_size=2)), max_size=6)
@@ -170,7 +199,9 @@ BATCH = st.dictionaries(st.integers(0, 8), st.tuples(st.sampled_from("abc"), st.
 @hsettings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(BATCH, min_size=1, max_size=3))
 def test_upserts_equal_last_write_wins(spark, tmp_path_factory, batches):
-    table = SnapshotTable(spark, str(tmp_path_factory.mktemp("t") / "t"), KV, ("k",), "day")
+    table = KeyedTable(
+        spark, str(tmp_path_factory.mktemp("t") / "t"), KV, ("k",), "day", ("day",)
+    )
     expected: dict = {}
     for batch in batches:
         table.upsert(kv(spark, [(k, d, v) for k, (d, v) in batch.items()]))

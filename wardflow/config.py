@@ -32,6 +32,9 @@ class Settings:
     # the log-odds of the query's covered term weight, so 0 means "half covered".
     min_rerank_score: float = -2.0
 
+    # buckets of the vector index
+    index_buckets: int = 64
+
     # lineage
     namespace: str = "wardflow"
     producer: str = "urn:wardflow"

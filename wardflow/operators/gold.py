@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 from wardflow.functions import news2
 from wardflow.functions.times import instant
 from wardflow.schemas import GOLD
-from wardflow.sources.tables import SnapshotTable
+from wardflow.session import materialize
+from wardflow.sources.tables import KeyedTable
 
 KEYS = ("patient_id", "window_start")
 
@@ -90,13 +91,20 @@ def windowed_gold(readings: DataFrame, lateness: str | None = None) -> DataFrame
     )
 
 
-def gold_table(spark, settings) -> SnapshotTable:
-    return SnapshotTable(spark, settings.gold_path, GOLD, KEYS, partition="to_date(window_start)")
+def gold_table(spark, settings) -> KeyedTable:
+    return KeyedTable(
+        spark,
+        settings.gold_path,
+        GOLD,
+        KEYS,
+        partition="to_date(window_start)",
+        partition_on=("window_start",),
+    )
 
 
 def build_gold(
-    silver: SnapshotTable,
-    gold: SnapshotTable,
+    silver: KeyedTable,
+    gold: KeyedTable,
     *,
     touched: DataFrame | None = None,
     prune: bool = False,
@@ -107,13 +115,18 @@ def build_gold(
     ``touched`` (patient_id, recorded_hour) limits the work to those buckets; by default all
     are recomputed.  ``prune`` also removes those of them that hold no reading any more.
     """
-    readings = silver.read()
-    if touched is not None:
-        readings = readings.join(touched, ["patient_id", "recorded_hour"], "left_semi")
-    silver_rows = readings.count()
+    if touched is None:
+        readings = silver.read()
+    else:
+        # an hour lies in one day: only those folders are read
+        days = touched.select(F.to_date("recorded_hour").cast("string").alias("day")).distinct()
+        readings = silver.read([r["day"] for r in days.collect()]).join(
+            touched, ["patient_id", "recorded_hour"], "left_semi"
+        )
+    rows = materialize(aggregate_gold(readings, as_of))
+    silver_rows = rows.agg(F.coalesce(F.sum("readings_in_window"), F.lit(0))).first()[0]
     if not silver_rows and not prune:
         return {"gold_rows": 0, "silver_rows": 0}
-    rows = aggregate_gold(readings, as_of)
     if touched is None:
         metrics = gold.upsert(rows, prune=prune)
     else:
@@ -127,17 +140,14 @@ def build_gold(
     }
 
 
-def touched_buckets(before: DataFrame | None, source: DataFrame) -> DataFrame:
+def touched_buckets(source: DataFrame, located: DataFrame) -> DataFrame:
     """Buckets a merge of ``source`` changes: where its readings are now, and where they were.
 
-    ``before`` is Silver prior to the merge; a correction may move a reading to another hour.
+    ``located`` holds the stored rows of the same readings, which a correction may move to
+    another hour.
     """
     bucket = ["patient_id", "recorded_hour"]
-    now = source.select(*bucket)
-    if before is None:
-        return now.distinct()
-    moved = before.join(source.select("reading_id"), "reading_id", "left_semi").select(*bucket)
-    return now.union(moved).distinct()
+    return source.select(*bucket).union(located.select(*bucket)).distinct()
 
 
 def worst_windows(gold: DataFrame, n: int = 1) -> DataFrame:
@@ -192,29 +202,13 @@ def reduction(gold: DataFrame) -> DataFrame:
 def trend(gold: DataFrame) -> DataFrame:
     """Each patient's windows in order, with the mean score of the one before.
 
-    A patient has at most one row per hour.  Rows are still ordered within patient-months
-    only; the first row of a month takes its predecessor from a list of month ends.
+    A patient has at most one row an hour, so some 9,000 a year are ordered together.
     """
-    month = F.date_trunc("month", F.col("window_start"))
-    rows = gold.select("patient_id", "window_start", "mean_news2", "max_news2", month.alias("month"))
-    within = Window.partitionBy("patient_id", "month").orderBy("window_start")
-    ends = rows.groupBy("patient_id", "month").agg(
-        F.max_by("mean_news2", "window_start").alias("end_mean")
-    )
-    months = Window.partitionBy("patient_id").orderBy("month")
-    carried = ends.select(
-        "patient_id", "month", F.lag("end_mean").over(months).alias("carried_mean")
-    )
-    return (
-        rows.withColumn("same_month", F.lag("mean_news2").over(within))
-        .join(carried, ["patient_id", "month"])
-        .withColumn("previous_mean_news2", F.coalesce("same_month", "carried_mean"))
-        .select(
-            "patient_id",
-            "window_start",
-            "mean_news2",
-            "max_news2",
-            "previous_mean_news2",
-            F.bround(F.col("mean_news2") - F.col("previous_mean_news2"), 3).alias("change"),
-        )
-    )
+    before = F.lag("mean_news2").over(Window.partitionBy("patient_id").orderBy("window_start"))
+    return gold.select(
+        "patient_id",
+        "window_start",
+        "mean_news2",
+        "max_news2",
+        before.alias("previous_mean_news2"),
+    ).withColumn("change", F.bround(F.col("mean_news2") - F.col("previous_mean_news2"), 3))

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from wardflow.functions.times import hour_floor, instant
 from wardflow.schemas import BRONZE, SILVER
-from wardflow.sources.tables import AppendLog, MergeMetrics, SnapshotTable
+from wardflow.sources.tables import AppendLog, KeyedTable, MergeMetrics
 
 KEYS = ("reading_id",)
 
@@ -76,15 +76,21 @@ def bronze_table(spark, settings) -> AppendLog:
     return AppendLog(spark, settings.bronze_path, BRONZE, day="ingested_at")
 
 
-def silver_table(spark, settings) -> SnapshotTable:
-    return SnapshotTable(
-        spark, settings.silver_path, SILVER, KEYS, partition="to_date(recorded_at)"
+def silver_table(spark, settings) -> KeyedTable:
+    return KeyedTable(
+        spark,
+        settings.silver_path,
+        SILVER,
+        KEYS,
+        partition="to_date(recorded_at)",
+        partition_on=("recorded_at",),
+        newest="ingested_at",
     )
 
 
 def build_silver(
     bronze: AppendLog,
-    silver: SnapshotTable,
+    silver: KeyedTable,
     *,
     mode: str = "incremental",
     seen_offsets: dict[int, int] | None = None,
@@ -94,7 +100,8 @@ def build_silver(
 
     ``incremental`` merges rows ingested after the newest merged one; a row that lands later
     with an equal or older stamp is missed.  ``offsets`` merges everything beyond
-    ``seen_offsets`` and misses nothing.  ``remerge`` merges all of Bronze and keeps Silver
+    ``seen_offsets`` and misses nothing; a row older than the stored one
+    does not replace it.  ``remerge`` merges all of Bronze and keeps Silver
     rows Bronze lacks; ``rebuild`` replaces the table.
     """
     if mode not in ("incremental", "offsets", "remerge", "rebuild"):

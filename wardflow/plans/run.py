@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,20 +16,26 @@ from wardflow.operators.retrieval import index_rows
 from wardflow.schemas import INDEX
 from wardflow.session import prepare
 from wardflow.sources import messages as msg
-from wardflow.sources.tables import MergeMetrics, SnapshotTable
+from wardflow.sources.tables import KeyedTable, MergeMetrics
 from wardflow.streaming.ingest import ingest_available
 
 
-def index_table(spark: SparkSession, settings: Settings) -> SnapshotTable:
-    """Chunks with their vector, in hash buckets of the document so an upsert touches few."""
-    return SnapshotTable(
-        spark, settings.index_path, INDEX, ("point_id",), "pmod(xxhash64(doc_id), 64)"
-    )
+def index_table(spark: SparkSession, settings: Settings) -> KeyedTable:
+    """Chunks with their vector, in ``settings.index_buckets`` hash buckets of the document.
+
+    An upsert rewrites the buckets its documents fall into, so there should be many more
+    buckets than documents in a usual batch.  The number is a property of the table: changing
+    it needs a rebuild.
+    """
+    bucket = f"pmod(xxhash64(doc_id), {settings.index_buckets})"
+    # a point belongs to one document, so its id and both together are the same key
+    keys = ("doc_id", "point_id")
+    return KeyedTable(spark, settings.index_path, INDEX, keys, bucket, partition_on=("doc_id",))
 
 
 def build_index(
     chunks: DataFrame,
-    table: SnapshotTable,
+    table: KeyedTable,
     *,
     recreate: bool = True,
     prune: bool = False,
@@ -46,17 +53,27 @@ def build_index(
     return table.upsert(rows, replacing=documents).source_rows
 
 
+def stage_publish(lineage: Lineage, input_path: str, topic_path: str) -> DataFrame:
+    """Input lines to a file-backed topic; returns the topic as a stream."""
+    spark, settings = lineage.spark, lineage.settings
+    records = msg.keyed_records(msg.read_jsonl(spark, input_path))
+    msg.publish(records, topic_path, settings.raw_topic)
+    return msg.stream_messages(spark, topic_path)
+
+
 def stage_ingest(
-    lineage: Lineage, input_path: str, topic_path: str, max_files: int | None = None, as_of=None
+    lineage: Lineage, messages: DataFrame, as_of=None, deadletters: Callable | None = None
 ) -> dict[str, int]:
-    spark, settings = lineage.spark, lineage.settings
+    """Drain a stream of messages, from files or Kafka, into Bronze and the dead letters.
+
+    ``deadletters`` also gets the rejected messages of each batch as ``(key, value)`` records,
+    say ``lambda rows: publish_kafka(rows, servers, topic)``.
+    """
+    settings = lineage.settings
     with lineage.stage(
         "ingest", inputs=["kafka.raw"], outputs=["table.bronze", "kafka.deadletter"]
     ) as run:
-        records = msg.keyed_records(msg.read_jsonl(spark, input_path))
-        msg.publish(records, topic_path, settings.raw_topic)
-        stream = msg.stream_messages(spark, topic_path, max_files)
-        stats = ingest_available(stream, settings, as_of=as_of).as_dict()
+        stats = ingest_available(messages, settings, as_of=as_of, deadletters=deadletters).as_dict()
         run.rows(**stats)
         return stats
 
@@ -108,19 +125,22 @@ def stage_rag_index(lineage: Lineage) -> int:
 def run_pipeline(
     spark: SparkSession,
     settings: Settings,
-    input_path: str,
+    source: str | DataFrame,
     run_id: str | None = None,
     as_of: datetime | str | None = None,
+    deadletters: Callable | None = None,
 ) -> dict:
     """All stages under one parent run.
 
-    A failing gate raises, so Gold and the index stay as they are.
+    ``source`` is a path of input lines, published to a file-backed topic first, or a streaming
+    DataFrame in the Kafka layout (``stream_kafka``).  A failing gate raises, so Gold and the index stay as they are.
     """
     prepare(spark)
     lineage = Lineage(spark, settings, run_id)
-    topic = f"{settings.root}/topics/{settings.raw_topic}"
+    if isinstance(source, str):
+        source = stage_publish(lineage, source, f"{settings.root}/topics/{settings.raw_topic}")
     results: dict = {"parent_run_id": lineage.parent_run_id}
-    results["ingest"] = stage_ingest(lineage, input_path, topic, as_of=as_of)
+    results["ingest"] = stage_ingest(lineage, source, as_of, deadletters)
     results["silver"] = stage_build_silver(lineage, as_of).as_dict()
     stage_quality_gate(lineage, as_of)
     results["gold"] = stage_build_gold(lineage, as_of)

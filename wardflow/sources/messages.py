@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardflow.functions.text import strip
 from wardflow.schemas import MESSAGE
+from wardflow.session import materialize
 
 PRODUCER_MARK = "_corruption"
 
@@ -22,8 +24,17 @@ def nonblank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``value`` per non-blank line; the JSON is not decoded here."""
-    return nonblank_lines(spark.read.text(path))
+    """One row per non-blank line: ``value``, and its ``position`` in the input.
+
+    The position is the file, where the line's split begins in it, and a number that rises
+    within the split; the JSON is not decoded here.
+    """
+    position = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return nonblank_lines(spark.read.text(path).select("value", position.alias("position")))
 
 
 def without_mark(value: Column) -> Column:
@@ -36,36 +47,52 @@ def without_mark(value: Column) -> Column:
 
 
 def keyed_records(lines: DataFrame) -> DataFrame:
-    """``(key, value)`` to publish: the key is the patient, so one patient keeps its order."""
+    """``(key, value)`` to publish, with the position if there is one; the key is the patient."""
     return lines.select(
+        *[c for c in lines.columns if c == "position"],
         F.expr("try_variant_get(try_parse_json(value), '$.patient_id', 'string')").alias("key"),
         without_mark(F.col("value")).alias("value"),
     )
 
 
-def publish(records: DataFrame, path: str, topic: str, partitions: int = 3) -> None:
-    """Append keyed records to a file-backed topic in the Kafka layout.
+def publish(records: DataFrame, path: str, topic: str) -> None:
+    """Append keyed records to a file-backed topic in the Kafka layout, in input order.
 
-    The partition number is a hash of the key.  Offsets continue after those already in the
-    topic and grow, but are not dense: dense numbering would force each partition's rows
-    through one task.
+    Such a topic has one partition.  An offset is the rank of the record's split, by file name
+    and place in the file, followed by 33 bits of its number within the split: offsets grow
+    with the input and with each publish, but are not dense.  Records without a position keep
+    the order of the DataFrame's partitions.
     """
     try:
         last = read_messages(records.sparkSession, path).agg(F.max("offset")).first()[0]
     except AnalysisException:  # the topic's folder does not exist yet
         last = None
-    first_offset = 0 if last is None else last + 1
-    out = records.select(
+    first_split = 0 if last is None else (last >> 33) + 1
+    line_bits = (1 << 33) - 1
+    if "position" in records.columns:
+        records = materialize(records)
+        # one row for each split of the input
+        splits = records.select("position.file", "position.start").distinct()
+        ranked = splits.withColumn(
+            "split", F.row_number().over(Window.orderBy("file", "start")).cast("long") - 1
+        )
+        placed = records.select(
+            "key", "value", "position.file", "position.start", F.col("position.line").alias("line")
+        ).join(ranked, ["file", "start"])
+    else:
+        line = F.monotonically_increasing_id()
+        placed = records.withColumn("line", line).withColumn("split", F.shiftright("line", 33))
+    offset = F.shiftleft(F.col("split") + first_split, 33).bitwiseOR(
+        F.col("line").bitwiseAND(line_bits)
+    )
+    placed.select(
         "key",
         "value",
         F.lit(topic).alias("topic"),
-        F.pmod(F.xxhash64(F.coalesce("key", "value")), F.lit(partitions))
-        .cast("int")
-        .alias("partition"),
-        (F.monotonically_increasing_id() + first_offset).alias("offset"),
+        F.lit(0).alias("partition"),
+        offset.alias("offset"),
         F.current_timestamp().alias("timestamp"),
-    )
-    out.write.mode("append").json(path)
+    ).write.mode("append").json(path)
 
 
 def publish_kafka(records: DataFrame, servers: str, topic: str) -> None:

@@ -1,15 +1,12 @@
-"""Parquet tables: an append-only log, and keyed snapshots with upsert.
+"""Parquet tables: an append-only log, and keyed tables with upsert.
 
-With Delta Lake or Iceberg on the cluster use their MERGE; this module is the plain-parquet
-way for clusters without them.  Data files are ordinary Spark output.  The only extra is a
-list of the folders that make up each version, written last, so a job that dies half way
-leaves the previous version intact.  One writer per table at a time; a second writer that
-commits the same version fails instead of overwriting.
+Both are ordinary Spark output in partition folders.  Where Delta Lake or Iceberg is on the
+cluster, ``merge_statement`` gives the MERGE that does what ``KeyedTable.upsert`` does here with
+staged partitions and Spark's dynamic partition overwrite.  One writer per table at a time.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -17,18 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.operators.upsert import merge_rows
+from wardflow.operators.upsert import merge_rows, newest_rows
 from wardflow.schemas import enforce_schema
+from wardflow.session import materialize
 
 
 class TableMissing(LookupError):
     """The table has not been written yet."""
 
 
-class CommitConflict(RuntimeError):
-    """Another writer committed the same version first."""
-
-
 @dataclass(frozen=True)
 class MergeMetrics:
     source_rows: int
@@ -39,13 +33,24 @@ class MergeMetrics:
         return asdict(self)
 
 
+def merge_statement(
+    table: str, source: str, keys: tuple[str, ...], newest: str | None = None
+) -> str:
+    """MERGE of a view into a Delta or Iceberg table; with ``newest`` no older row wins."""
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    newer = f" AND s.{newest} >= t.{newest}" if newest else ""
+    return (
+        f"MERGE INTO {table} t USING {source} s ON {on} "
+        f"WHEN MATCHED{newer} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
 class _Files:
-    """The few Hadoop file system calls needed; works on any storage Spark can reach."""
+    """Listing and deleting folders on any storage Spark can reach."""
 
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark._jvm
-        self._conf = spark._jsc.hadoopConfiguration()
-        self._fs = self._path(root).getFileSystem(self._conf)
+        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
@@ -56,27 +61,11 @@ class _Files:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(path)]
 
-    def read(self, path: str) -> str:
-        stream = self._fs.open(self._path(path))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def write_once(self, path: str, text: str) -> bool:
-        """Create ``path`` with ``text`` in one step; False if it already exists."""
-        target = self._path(path)
-        draft = self._path(f"{path}.{uuid.uuid4().hex}.tmp")
-        stream = self._fs.create(draft, True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        # Local rename replaces silently, so the existence check comes first.
-        done = not self._fs.exists(target) and self._fs.rename(draft, target)
-        if not done:
-            self._fs.delete(draft, False)
-        return done
+    def exists(self, folder: str) -> bool:
+        return self._fs.exists(self._path(folder))
+
+    def make(self, folder: str) -> None:
+        self._fs.mkdirs(self._path(folder))
 
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
@@ -120,6 +109,13 @@ class AppendLog:
             df = df.filter(F.col("_day") >= F.lit(watermark).cast("date"))
         return df.filter(F.col(column) > F.lit(watermark)).select(*self.schema.fieldNames())
 
+    def clear(self) -> None:
+        """Drop all batches."""
+        files = _Files(self.spark, self.path)
+        for name in files.names(self.path):
+            if name.startswith("batch="):
+                files.delete(f"{self.path}/{name}")
+
     def append(self, rows: DataFrame, batch_id: str | None = None) -> int:
         """Write one batch and return its row count; an empty one writes no rows.
 
@@ -134,12 +130,17 @@ class AppendLog:
         return self.spark.read.schema(self.schema).parquet(target).count()
 
 
-class SnapshotTable:
-    """Keyed table kept as versions; an upsert rewrites only the partitions it touches.
+class KeyedTable:
+    """One row per key, in partition folders; an upsert reads and rewrites only those it touches.
+
+    ``partition`` is an expression over the columns ``partition_on`` (say, the day of a
+    timestamp).  Where those are part of the key, rows of arriving keys can only lie in the
+    arriving partitions; elsewhere one scan of the key columns finds where they are.  With
+    ``newest``, a column, an arriving row replaces only a row that is not newer.
 
-    ``partition`` is an expression over the columns (say, the day of a timestamp).  A
-    version is a list of folders, one per partition value, most of them shared with the
-    version before.
+    New partitions are staged in the shared folder first and then put in place by a dynamic
+    partition overwrite.  A job that dies in between leaves some partitions old and some new;
+    the same upsert run again completes it.
     """
 
     PART = "_part"
@@ -151,152 +152,147 @@ class SnapshotTable:
         schema: T.StructType,
         keys: tuple[str, ...],
         partition: str | None = None,
+        partition_on: tuple[str, ...] = (),
+        newest: str | None = None,
     ):
         self.spark, self.path, self.schema, self.keys = spark, path, schema, list(keys)
         self.partition: Column = F.expr(partition).cast("string") if partition else F.lit("all")
+        self.partition_on, self.newest = set(partition_on), newest
+        # without a partition there is one folder for all keys
+        self.known = bool(partition_on) or partition is None
         self._files = _Files(spark, path)
 
-    # versions
-
-    def versions(self) -> list[int]:
-        names = self._files.names(f"{self.path}/_versions")
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+    def parts(self) -> list[str]:
+        """The partition values that hold rows; one folder each, so a short list."""
+        prefix = f"{self.PART}="
+        names = self._files.names(self.path)
+        return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
     def exists(self) -> bool:
-        return bool(self.versions())
+        return self._files.exists(self.path)
+
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        return self._load(parts).select(*self.schema.fieldNames())
 
-    def _folders(self, version: int | None = None) -> dict[str, str]:
-        """Partition value -> folder of the given (default: newest) version."""
-        known = self.versions()
-        if not known:
+    def _load(self, parts: list[str] | None = None) -> DataFrame:
+        """Rows with their partition; ``parts`` prunes the folders."""
+        if not self.exists():
             raise TableMissing(self.path)
-        wanted = known[-1] if version is None else version
-        return json.loads(self._files.read(f"{self.path}/_versions/{wanted:012d}.json"))
-
-    def _commit(self, version: int, folders: dict[str, str]) -> None:
-        text = json.dumps(folders, sort_keys=True)
-        if not self._files.write_once(f"{self.path}/_versions/{version:012d}.json", text):
-            raise CommitConflict(f"version {version} of {self.path} exists")
-
-    def read(self, version: int | None = None) -> DataFrame:
-        return self._load(self._folders(version)).select(*self.schema.fieldNames())
-
-    def _load(self, folders: dict[str, str]) -> DataFrame:
-        layout = [T.StructField(self.PART, T.StringType()), T.StructField("_version", T.StringType())]
-        stored = T.StructType(self.schema.fields + layout)
-        if not folders:
-            return self.spark.createDataFrame([], stored).drop("_version")
-        return (
-            self.spark.read.schema(stored)
-            .option("basePath", self.path)
-            .parquet(*[f"{self.path}/{f}" for f in sorted(folders.values())])
-            .drop("_version")
+        stored = T.StructType([*self.schema.fields, T.StructField(self.PART, T.StringType())])
+        rows = self.spark.read.schema(stored).parquet(self.path)
+        return rows if parts is None else rows.filter(F.col(self.PART).isin(parts))
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return enforce_schema(rows.drop(self.PART), self.schema).withColumn(
+            self.PART, self.partition
         )
 
-    # writes
+    def _values(self, rows: DataFrame) -> list[str]:
+        """Partition values of rows: as many as folders."""
+        return [r[0] for r in rows.select(self.PART).distinct().collect()]
 
-    def _write(self, rows: DataFrame, version: int) -> dict[str, str]:
-        """Write rows, partitioned, to a fresh folder and return it by partition value.
+    def _put(self, rows: DataFrame) -> None:
+        """Replace the partitions of ``rows``.
 
         The rebalance hint lets adaptive execution split a partition that holds most of the
         rows over several tasks, and merge tiny ones.
         """
-        folder = f"data/_version={version:012d}-{uuid.uuid4().hex[:8]}"
+        self._files.make(self.path)  # an empty table has a folder too
         (
-            enforce_schema(rows.drop(self.PART), self.schema)
-            .withColumn(self.PART, self.partition)
-            .hint("rebalance", self.PART)
-            .write.partitionBy(self.PART)
-            .parquet(f"{self.path}/{folder}")
+            rows.hint("rebalance", self.PART)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.PART)
+            .parquet(self.path)
         )
-        prefix = f"{self.PART}="
-        names = self._files.names(f"{self.path}/{folder}")
-        return {n[len(prefix) :]: f"{folder}/{n}" for n in names if n.startswith(prefix)}
-
-    def _next(self) -> int:
-        return (self.versions() or [0])[-1] + 1
 
     def replace(self, rows: DataFrame) -> int:
         """Make ``rows`` the whole table; returns their number."""
-        version = self._next()
-        self._commit(version, self._write(rows, version))
-        return self.read().count()
-
-    def _checked_source(self, source: DataFrame) -> dict[str, int]:
-        """Rows of the source by partition value; refuses a source that has a key twice."""
-        per_key = source.groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias("n"), F.min(self.PART).alias(self.PART)
-        )
-        per_part = per_key.groupBy(self.PART).agg(
-            F.sum("n").alias("rows"), F.max("n").alias("most")
-        ).collect()
-        most = max((r["most"] for r in per_part), default=0)
-        if most > 1:
-            raise ValueError(f"source repeats a key {self.keys}: {most} rows for one key")
-        return {r[self.PART]: r["rows"] for r in per_part}
+        staged = materialize(self._placed(rows))
+        known = self.parts()
+        self._put(staged)
+        self._drop(set(known) - set(self._values(staged)))
+        return staged.count()
+
+    def _drop(self, parts: set[str]) -> None:
+        for part in parts:
+            self._files.delete(f"{self.path}/{self.PART}={part}")
+
+    def _parts_of(self, values: DataFrame) -> list[str] | None:
+        """Partitions in which rows with these values can lie, if the values tell."""
+        if not self.known or not self.partition_on <= set(values.columns):
+            return None
+        return self._values(values.withColumn(self.PART, self.partition))
+
+    def locate(self, source: DataFrame, *columns: str) -> DataFrame:
+        """Key, partition and ``columns`` of the stored rows whose key arrives."""
+        names = [*self.keys, self.PART, *columns, *([self.newest] if self.newest else [])]
+        names = list(dict.fromkeys(names))
+        if not self.exists():
+            full = T.StructType([*self.schema.fields, T.StructField(self.PART, T.StringType())])
+            return self.spark.createDataFrame([], full).select(*names)
+        parts = self._parts_of(source.select(*self.keys))
+        rows = self._load(parts).select(*names)
+        return materialize(rows.join(source.select(*self.keys), self.keys, "left_semi"))
 
     def upsert(
-        self, source: DataFrame, prune: bool = False, replacing: DataFrame | None = None
+        self,
+        source: DataFrame,
+        prune: bool = False,
+        replacing: DataFrame | None = None,
+        located: DataFrame | None = None,
     ) -> MergeMetrics:
         """Insert new keys, replace the rows of known ones; the rest stays.
 
         ``replacing`` names further rows to drop, by values of some of the columns: say, the
         documents that were chunked anew.  With ``prune`` the source is the complete table
-        and every key it lacks is dropped.
+        and every key it lacks is dropped.  ``located`` is the result of ``locate`` where the
+        caller has it already.
         """
-        source = source.withColumn(self.PART, self.partition).persist()
-        try:
-            arriving = self._checked_source(source)
-            source_rows = sum(arriving.values())
-            if not self.exists():
-                version = self._next()
-                self._commit(version, self._write(source, version))
-                return MergeMetrics(source_rows, 0, source_rows)
-            if not source_rows and not prune and replacing is None:
-                return MergeMetrics(0, 0, 0)
-
-            folders = self._folders()
-            updated = self._rows_per_part(self._load(folders), source.select(*self.keys))
-            if prune:
-                kept, merged = {}, source
-            else:
-                touched = set(updated) | set(arriving)
-                if replacing is not None:
-                    touched |= set(self._rows_per_part(self._load(folders), replacing))
-                kept = {p: f for p, f in folders.items() if p not in touched}
-                affected = self._load({p: f for p, f in folders.items() if p in touched})
-                if replacing is not None:
-                    affected = affected.join(replacing, replacing.columns, "left_anti")
-                merged = merge_rows(affected, source, self.keys)
-            version = self._next()
-            self._commit(version, {**kept, **self._write(merged, version)})
-            n_updated = sum(updated.values())
-            return MergeMetrics(source_rows, n_updated, source_rows - n_updated)
-        finally:
-            source.unpersist()
-
-    def _rows_per_part(self, target: DataFrame, values: DataFrame) -> dict[str, int]:
-        """Rows of the target that match ``values``, by partition.
-
-        Reads only the matched columns; collects one row per partition value, a list no
-        longer than the version's own.
-        """
-        matched = target.join(values, values.columns, "left_semi")
-        counted = matched.groupBy(self.PART).agg(F.count(F.lit(1)).alias("n"))
-        return {r[self.PART]: r["n"] for r in counted.collect()}
-
-    def vacuum(self, retain: int = 2) -> None:
-        """Drop all but the newest versions, and the folders only they used."""
-        known = self.versions()
-        keep, drop = known[-retain:], known[:-retain]
-        if not drop:
-            return
-        used = {f.rsplit("/", 1)[0] for v in keep for f in self._folders(v).values()}
-        live = {f for v in keep for f in self._folders(v).values()}
-        for version in drop:
-            for folder in self._folders(version).values():
-                if folder not in live:
-                    self._files.delete(f"{self.path}/{folder}")
-                if folder.rsplit("/", 1)[0] not in used:
-                    self._files.delete(f"{self.path}/{folder.rsplit('/', 1)[0]}")
-            self._files.delete(f"{self.path}/_versions/{version:012d}.json")
+        source = materialize(self._placed(source))
+        source_rows = source.count()  # from the file footers
+        if self.newest is None:
+            self._refuse_repeats(source)
+        if not self.exists():
+            self._put(source)
+            return MergeMetrics(source_rows, 0, source_rows)
+        if not source_rows and not prune and replacing is None:
+            return MergeMetrics(0, 0, 0)
+        located = self.locate(source) if located is None else located
+        updated, older = self._matches(located, source)
+        if prune:
+            self.replace(source)
+            return MergeMetrics(source_rows, updated, source_rows - updated - older)
+        touched = set(self._values(source)) | set(self._values(located))
+        if replacing is not None:
+            parts = self._parts_of(replacing)
+            if parts is None:
+                dropped = self._load().join(replacing, replacing.columns, "left_semi")
+                parts = self._values(dropped)
+            touched |= set(parts)
+        affected = self._load(sorted(touched))
+        if replacing is not None:
+            affected = affected.join(replacing, replacing.columns, "left_anti")
+        if self.newest is None:
+            merged = merge_rows(affected, source, self.keys)
+        else:
+            merged = newest_rows(affected, source, self.keys, self.newest)
+        staged = materialize(merged)
+        self._put(staged)
+        self._drop(touched - set(self._values(staged)))
+        return MergeMetrics(source_rows, updated, source_rows - updated - older)
+
+    def _matches(self, located: DataFrame, source: DataFrame) -> tuple[int, int]:
+        """Stored rows that are replaced, and those that stay as they are newer."""
+        if self.newest is None:
+            return located.count(), 0
+        newest = self.newest
+        arriving = source.groupBy(*self.keys).agg(F.max(newest).alias("_arriving"))
+        newer = F.count_if(F.col(newest) > F.col("_arriving"))
+        row = located.join(arriving, self.keys).agg(F.count(F.lit(1)), newer).first()
+        return row[0] - row[1], row[1]
+
+    def _refuse_repeats(self, source: DataFrame) -> None:
+        repeated = source.groupBy(*self.keys).count().filter("count > 1")
+        if not repeated.isEmpty():
+            raise ValueError(f"source repeats a key {self.keys}")

@@ -6,11 +6,15 @@ its own output: at-least-once delivery, exactly-once tables.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.config import Settings
@@ -46,9 +50,13 @@ def ingest_batch(
     as_of: datetime | str | None = None,
     ingested_at=None,
     tasks: int | None = None,
+    deadletters: Callable[[DataFrame], None] | None = None,
 ) -> tuple[int, int]:
     """Validate one batch and write both sides; returns (valid, rejected).
 
+    ``deadletters`` also sends the rejected messages somewhere, as JSON records: at least once,
+    as a replayed batch sends them again.
+
     The validated batch is kept while both sides are written, so each message is parsed once.
     ``tasks`` spreads a batch from a source with fewer partitions than the cluster has cores.
     """
@@ -64,11 +72,21 @@ def ingest_batch(
         rejected = deadletter_table(spark, settings).append(
             contract.deadletter_rows(validated, stamp), batch_id
         )
+        if deadletters is not None:
+            rows = deadletter_table(spark, settings)
+            rows = rows.rows() if batch_id is None else rows.batch(batch_id)
+            payload = contract.deadletter_payload(rows)
+            deadletters(payload.select(F.lit(None).cast("string").alias("key"), "value"))
         return valid, rejected
     finally:
         validated.unpersist()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_ingest(
     messages: DataFrame,
     settings: Settings,
@@ -79,6 +97,7 @@ def start_ingest(
     stats: IngestStats | None = None,
     after_batch: Callable[[str], None] | None = None,
     tasks: int | None = None,
+    deadletters: Callable[[DataFrame], None] | None = None,
     available_now: bool = True,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
@@ -88,9 +107,14 @@ def start_ingest(
     Offsets are committed to the checkpoint only after that.
     """
 
+    checkpoint = f"{settings.checkpoint_path}/{name}"
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        label = f"{name}-{batch_id:09d}"
-        valid, rejected = ingest_batch(batch, settings, label, as_of, ingested_at, tasks)
+        # a new checkpoint is a new stream: its batches must not replace an older one's
+        label = f"{name}-{stream_id(batch.sparkSession, checkpoint)}-{batch_id:09d}"
+        valid, rejected = ingest_batch(
+            batch, settings, label, as_of, ingested_at, tasks, deadletters
+        )
         if stats is not None:
             stats.add(valid, rejected)
         if after_batch is not None:
@@ -99,7 +123,7 @@ def start_ingest(
     writer = (
         messages.writeStream.queryName(name)
         .foreachBatch(write)
-        .option("checkpointLocation", f"{settings.checkpoint_path}/{name}")
+        .option("checkpointLocation", checkpoint)
     )
     if available_now:
         return writer.trigger(availableNow=True).start()
@@ -126,17 +150,35 @@ def refresh_after(
 
     A correction may move a reading to another hour: the buckets it left count as changed
     too, and lose their row when it was their last.
+
+    The changed hours are noted in the pending log before Silver is written, and struck off
+    after Gold is.  A job that dies between the two leaves its note behind, and the next
+    refresh, whichever way it finds its rows, brings those hours up to date as well.
     """
     bronze = silver.bronze_table(spark, settings)
     current, target = silver.silver_table(spark, settings), gold.gold_table(spark, settings)
-    before = current.read() if current.exists() else None
     if batch is not None:
         fresh = bronze.batch(batch)
     else:
-        mark = silver.watermark(before) if before is not None else None
+        mark = silver.watermark(current.read()) if current.exists() else None
         fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
     source = materialize(silver.shape_silver(fresh, as_of))
-    touched = materialize(gold.touched_buckets(before, source))
-    merged = current.upsert(source)
+    located = current.locate(source, "patient_id", "recorded_hour")
+    pending = pending_hours(spark, settings)
+    pending.append(gold.touched_buckets(source, located), uuid.uuid4().hex)
+    merged = current.upsert(source, located=located)
+    touched = materialize(pending.rows().distinct())
     refreshed = gold.build_gold(current, target, touched=touched, prune=True, as_of=as_of)
+    pending.clear()
     return {"silver": merged.as_dict(), "gold": refreshed}
+
+
+def pending_hours(spark: SparkSession, settings: Settings) -> AppendLog:
+    """Patient hours that Silver may have changed and Gold does not show yet."""
+    hours = T.StructType(
+        [
+            T.StructField("patient_id", T.StringType(), False),
+            T.StructField("recorded_hour", T.TimestampType(), False),
+        ]
+    )
+    return AppendLog(spark, f"{settings.root}/pending/gold", hours)

@@ -83,19 +83,39 @@ def ids_of(texts, per_doc=3):
     return [f"d{i // per_doc:03d}::{i % per_doc}" for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 2, "max_queries": 2}])
-def test_bm25_equals_brute_force_on_both_paths(spark, corpus, limits, monkeypatch):
+@pytest.mark.parametrize("block", [topk.QUERY_BLOCK, 2])
+def test_bm25_equals_brute_force(spark, corpus, block, monkeypatch):
     texts, df = corpus
-    if limits:
-        original = topk.best_matches
-        monkeypatch.setattr(rt, "best_matches", lambda *a, **k: original(*a, **{**k, **limits}))
-        monkeypatch.setattr(topk, "SHARD_ROWS", 20)
+    original = topk.best_matches
+    monkeypatch.setattr(rt, "best_matches", lambda *a: original(*a, query_block=block))
     got = listed(rt.bm25_search(queries_df(spark, QUERIES), df, 10))
     for i, query in enumerate(QUERIES):
         expected = best(ids_of(texts), okapi(texts, query), 10, positive=True)
         assert got.get(f"q{i}", []) == expected, query
 
 
+def test_two_thousand_questions_take_the_same_way(spark):
+    """Four blocks, each against the corpus where it lies."""
+    rng = np.random.default_rng(8)
+    vectors, wanted = rng.normal(size=(40, 4)), rng.normal(size=(2000, 4))
+    index = spark.createDataFrame(
+        [(f"v{i:02d}", f"v{i:02d}", 0, v.tolist()) for i, v in enumerate(vectors)],
+        "chunk_id string, doc_id string, ordinal int, embedding array<double>",
+    )
+    queries = spark.createDataFrame(
+        [(f"q{i:04d}", v.tolist()) for i, v in enumerate(wanted)],
+        "query_id string, embedding array<double>",
+    )
+    found = rt.dense_search(queries, index, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 4 and "Generate" not in plan
+    got = listed(found)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for i, w in enumerate(wanted):
+        scores = unit @ w / np.linalg.norm(w)
+        assert got[f"q{i:04d}"] == best([f"v{k:02d}" for k in range(40)], list(scores), 3, positive=False)
+
+
 def test_bm25_scores(spark, corpus):
     texts, df = corpus
     found = rt.bm25_search(queries_df(spark, QUERIES[:1]), df, 5).collect()
@@ -115,8 +135,8 @@ def test_bm25_by_hand(spark):
     assert hit["score"] == pytest.approx(idf_rare * 2 * 2.5 / (2 + 1.5 * (0.25 + 0.75 * 3 / 2)))
 
 
-@pytest.mark.parametrize("limit", [topk.MAX_BROADCAST_QUERIES, 2])
-def test_dense_equals_numpy_on_both_paths(spark, limit, monkeypatch):
+@pytest.mark.parametrize("limit", [topk.QUERY_BLOCK, 2])
+def test_dense_equals_numpy(spark, limit, monkeypatch):
     rng = np.random.default_rng(3)
     vectors = rng.normal(size=(300, 16)).astype(np.float32)
     vectors[200:] = vectors[7]  # copies: a third of all rows tie
@@ -127,8 +147,8 @@ def test_dense_equals_numpy_on_both_paths(spark, limit, monkeypatch):
     queries = spark.createDataFrame(
         [(i, v.tolist()) for i, v in enumerate(wanted)], "query_id int, embedding array<float>"
     )
-    monkeypatch.setattr(rt, "MAX_BROADCAST_QUERIES", limit)
-    monkeypatch.setattr(topk, "SHARD_ROWS", 70)
+    original = topk.best_matches
+    monkeypatch.setattr(rt, "best_matches", lambda *a: original(*a, query_block=limit))
     monkeypatch.setattr(topk, "BLOCK_ROWS", 37)
     got = listed(rt.dense_search(queries, index.repartition(4), 20))
     v64, w64 = vectors.astype(float), wanted.astype(float)
@@ -146,15 +166,14 @@ def test_a_task_returns_at_most_k_rows_per_query(spark, corpus):
 
 
 def test_rrf(spark):
-    lists = {"dense": ["a", "b", "c", "d"], "bm25": ["c", "a", "e", "f"]}
+    """Three rankers over a handful of chunks, against the sum written out."""
+    lists = {"one": "kmpqz", "two": "zpx", "three": "qyzk"}
     rows = [("q", ranker, c, i + 1) for ranker, ids in lists.items() for i, c in enumerate(ids)]
     rankings = spark.createDataFrame(rows, ["query_id", "ranker", "chunk_id", "rank"])
-    fused = {r["chunk_id"]: r["rrf_score"] for r in rt.reciprocal_rank_fusion(rankings).collect()}
-    assert fused["a"] == 1 / 61 + 1 / 62 and fused["c"] == pytest.approx(1 / 63 + 1 / 61)
-    assert sorted(fused, key=fused.get, reverse=True)[:2] == ["a", "c"]
-    assert fused["a"] > fused["b"] and fused["c"] > fused["e"]
-    flat = {r["chunk_id"]: r["rrf_score"] for r in rt.reciprocal_rank_fusion(rankings, 1000).collect()}
-    assert fused["a"] - fused["b"] > flat["a"] - flat["b"]
+    for k in (60, 7):
+        found = rt.reciprocal_rank_fusion(rankings, k).collect()
+        wanted = {c: sum(1 / (k + 1 + ids.index(c)) for ids in lists.values() if c in ids) for c in "kmpqzxy"}
+        assert {r["chunk_id"]: r["rrf_score"] for r in found} == pytest.approx(wanted)
 
 
 def test_fused_ties_keep_dense_first(spark):
@@ -296,10 +315,10 @@ def test_gold_window_links_to_cited_guidance(spark, index):
     gold = g.aggregate_gold(silver(spark, rows))
     questions = {r["patient_id"]: r["query"] for r in an.window_queries(gold).collect()}
     assert questions["P100001"] == (
-        "NEWS2 19 (high risk), respiratory rate 30, SpO2 88% on oxygen, systolic BP 85, "
-        "heart rate 140, temperature 39.5. Recommended escalation and immediate management?"
+        "NEWS2 17 (high risk), respiratory rate 27, SpO2 90% on oxygen, systolic BP 94, "
+        "heart rate 118, temperature 39.9. Recommended escalation and immediate management?"
     )
-    assert "SpO2 98%, systolic" in questions["P100002"] and "temperature 36.2." in questions["P100002"]
+    assert "SpO2 97%, systolic" in questions["P100002"] and "temperature 36.2." in questions["P100002"]
     out = an.explain_gold_window(gold, index, Settings(root="x", min_rerank_score=-9))
     [row] = out.collect()
     assert row["patient_id"] == "P100001" and row["query"] == questions["P100001"]

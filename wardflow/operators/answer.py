@@ -137,9 +137,15 @@ def candidate_sentences(chunks: DataFrame) -> DataFrame:
 def pick_sentences(
     sentences: DataFrame, max_sentences: int = 4, load: ModelLoader = HashedWords
 ) -> DataFrame:
-    """The distinct sentences nearest to their query: query_id, marker, pick, sentence."""
-    similarity = cosine(embed(F.col("query"), load), embed(F.col("sentence"), load))
-    scored = sentences.withColumn("similarity", F.round(similarity, SCORE_DECIMALS))
+    """The distinct sentences nearest to their query: query_id, marker, pick, sentence.
+
+    Each question is embedded once, not once for each of its sentences.
+    """
+    asked = sentences.select("query_id", "query").distinct()
+    asked = asked.select("query_id", embed(F.col("query"), load).alias("_asked"))
+    embedded = sentences.withColumn("_said", embed(F.col("sentence"), load))
+    similarity = F.round(cosine(F.col("_asked"), F.col("_said")), SCORE_DECIMALS)
+    scored = embedded.join(asked, "query_id").withColumn("similarity", similarity)
     best_first = [F.desc("similarity"), F.col("marker"), F.col("position")]
     same = Window.partitionBy("query_id", "sentence").orderBy(*best_first)
     of_query = Window.partitionBy("query_id").orderBy(*best_first)

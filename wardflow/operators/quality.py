@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardflow.functions.times import age_minutes, instant
 from wardflow.operators.contract import CONSCIOUSNESS_LEVELS, PATIENT_PATTERN, RANGES
@@ -204,18 +206,37 @@ def suite_results(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     return expectation_measures(df, suite).select(F.inline(F.array(*results)))
 
 
-def _sample(df: DataFrame, e: Expectation) -> list[str]:
-    """Up to 20 unexpected values, read only when the expectation failed."""
-    if e.kind == "expect_column_values_to_be_unique":
-        repeated = (
-            df.filter(F.col(e.column).isNotNull()).groupBy(e.column).count().filter("count > 1")
+def failure_samples(df: DataFrame, suite: list[Expectation], failed: list[int]) -> DataFrame:
+    """``position, rank, value``: up to 20 unexpected values of each failed expectation.
+
+    ``failed`` lists positions in the suite, from 1.  The values come in the order of their
+    texts, so every run shows the same ones, and one pass finds those of all expectations but
+    uniqueness, which needs the counts of its column.
+    """
+    parts = []
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.col(e.column).cast("string").alias("value"),
+            F.coalesce(e.bad, F.lit(False)).alias("bad"),
         )
-        values = repeated.select(e.column)
-    elif e.bad is not None:
-        values = df.filter(e.bad).select(e.column)
-    else:
-        return []
-    return [str(r[0]) for r in values.limit(SAMPLE_VALUES).collect()]
+        for i, e in enumerate(suite, 1)
+        if i in failed and e.bad is not None
+    ]
+    if rows:
+        parts.append(df.select(F.inline(F.array(*rows))).filter("bad").drop("bad"))
+    for i, e in enumerate(suite, 1):
+        if i in failed and e.kind == "expect_column_values_to_be_unique":
+            known = df.filter(F.col(e.column).isNotNull())
+            repeated = known.groupBy(e.column).count().filter("count > 1")
+            parts.append(
+                repeated.select(F.lit(i).alias("position"), F.col(e.column).cast("string").alias("value"))
+            )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "position int, rank int, value string")
+    order = Window.partitionBy("position").orderBy("value")
+    ranked = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= SAMPLE_VALUES).select("position", "rank", "value")
 
 
 def run_silver_quality_gate(
@@ -233,12 +254,17 @@ def run_silver_quality_gate(
     aged = with_age(silver, as_of)
     # One row per expectation, so this collect has the size of the suite.
     outcomes = sorted(suite_results(aged, suite).collect(), key=lambda r: r["position"])
+    failed = [r["position"] for r in outcomes if not r["success"]]
+    samples: dict[int, list[str]] = {}
+    if failed:  # at most 20 values for each
+        for row in failure_samples(aged, suite, failed).orderBy("position", "rank").collect():
+            samples.setdefault(row["position"], []).append(str(row["value"]))
     failures = [
         {
             "expectation": r["expectation"],
             "column": r["column"],
             "unexpected_count": r["unexpected_count"],
-            "partial_unexpected": _sample(aged, suite[r["position"] - 1]),
+            "partial_unexpected": samples.get(r["position"], []),
         }
         for r in outcomes
         if not r["success"]

@@ -15,7 +15,7 @@ from wardflow.functions import text as tx
 from wardflow.functions.embedding import HashedWords, ModelLoader, embed
 from wardflow.functions.ids import uuid5
 from wardflow.session import materialize
-from wardflow.operators.topk import ID_COLUMNS, MAX_BROADCAST_QUERIES, best_matches
+from wardflow.operators.topk import ID_COLUMNS, best_matches
 
 # BM25 (Okapi) parameters.
 BM25_K1 = 1.5
@@ -170,13 +170,7 @@ def bm25_search(
 def dense_search(queries: DataFrame, index: DataFrame, top_k: int = 20) -> DataFrame:
     """Each query's ``top_k`` nearest index rows by cosine; both sides have ``embedding``."""
     corpus = index.select(*ID_COLUMNS, "embedding")
-    return best_matches(
-        corpus,
-        queries.select("query_id", "embedding"),
-        CosineScorer,
-        top_k,
-        max_rows=MAX_BROADCAST_QUERIES,
-    )
+    return best_matches(corpus, queries.select("query_id", "embedding"), CosineScorer, top_k)
 
 
 def reciprocal_rank_fusion(rankings: DataFrame, k: int = 60) -> DataFrame:

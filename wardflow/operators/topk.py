@@ -4,35 +4,33 @@ Every query is compared with every corpus row, but pairs never become rows: a ta
 one Arrow block of the corpus against the whole query batch as a matrix and keeps only the
 best k per query.  What leaves a task is at most k rows per query.
 
-A query batch whose size has been checked travels to the tasks as a broadcast, so the corpus
-is read in place and not shuffled.  A larger one is cut into blocks, the corpus into shards,
-and each (block, shard) pair is one co-group of bounded size.
+Queries go to the tasks in blocks of a stated size, each a broadcast of its own, and the corpus
+is read in place for each block: it is never shuffled or copied, and a batch of any size takes
+the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from wardflow.session import materialize
+
 # Scores are compared at this many decimals, so that sums taken in another order (another
 # partitioning, a recomputed task) give the same ranks; ties go by doc_id, then ordinal.
 SCORE_DECIMALS = 8
 
-# Largest query batch that is broadcast.  For BM25 its weights form a dense matrix of at most
-# rows x queries = 200 MB per Python worker.
-MAX_BROADCAST_QUERIES = 500
-MAX_BROADCAST_ROWS = 50_000
+# Queries of a block: its rows are on the driver and in a broadcast at once, and a task holds a
+# matrix of this many scores for each of BLOCK_ROWS corpus rows.
+QUERY_BLOCK = 512
 BLOCK_ROWS = 2_048
-SHARD_ROWS = 50_000
 
 ID_COLUMNS = ("chunk_id", "doc_id", "ordinal")
 
@@ -131,70 +129,38 @@ def _with_broadcast(
     return corpus.mapInArrow(search, schema)
 
 
-def _with_cogroups(
-    corpus: DataFrame, queries: DataFrame, factory: ScorerFactory, k: int, schema: str, blocks: int
-) -> DataFrame:
-    shards = max(1, -(-corpus.count() // SHARD_ROWS))
-
-    def spread(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def bucket(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    left = queries.withColumn("_block", bucket("query_id", blocks)).withColumn(
-        "_shard", spread(shards)
-    )
-    right = corpus.withColumn("_shard", bucket("chunk_id", shards)).withColumn(
-        "_block", spread(blocks)
-    )
-    nothing = to_arrow_schema(T.StructType.fromDDL(schema)).empty_table()
-
-    def search(query_group: pa.Table, corpus_group: pa.Table) -> pa.Table:
-        found = None
-        if query_group.num_rows and corpus_group.num_rows:
-            scorer = factory(query_group.drop_columns(["_block", "_shard"]))
-            best = _Best(scorer, k)
-            for block in _blocks(corpus_group.drop_columns(["_block", "_shard"])):
-                best.add(block)
-            found = best.result()
-        return nothing if found is None else found
-
-    keys = ["_block", "_shard"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
-
-
 def best_matches(
     corpus: DataFrame,
     queries: DataFrame,
     factory: ScorerFactory,
     k: int,
-    *,
-    max_queries: int = MAX_BROADCAST_QUERIES,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``query_id, chunk_id, doc_id, ordinal, score, rank`` of each query's best k rows.
 
     ``corpus`` has ``chunk_id, doc_id, ordinal`` and what the scorer reads; ``queries`` one or
-    more rows per ``query_id``.  Exact: every corpus row is scored for every query.
+    more rows per ``query_id``.  Exact: every corpus row is scored for every query.  Scores are
+    ranked at ``SCORE_DECIMALS`` decimals, so two that differ only beyond them are ties.
     """
     schema = _schema(queries, corpus)
-    # Read one row more than may be broadcast: if it is there, the batch is too large.
-    head = queries.limit(max_rows + 1).toArrow()
-    n_queries = pc.count_distinct(head["query_id"]).as_py()
-    if not head.num_rows:
-        found = corpus.sparkSession.createDataFrame([], schema)
-    elif head.num_rows <= max_rows and n_queries <= max_queries:
-        found = _with_broadcast(corpus, head, factory, k, schema)
-    else:
-        sizes = queries.agg(
-            F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("query_id").alias("ids")
-        ).first()
-        blocks = max(
-            -(-sizes["rows"] // max(1, max_rows // 2)), -(-sizes["ids"] // max(1, max_queries // 2)), 1
-        )
-        found = _with_cogroups(corpus, queries, factory, k, schema, int(blocks))
-    return rank_matches(found, k)
+    queries = materialize(queries)
+    # query ids alone, in order; every query_block-th begins a block
+    order = Window.orderBy("query_id")
+    firsts = (
+        queries.select("query_id")
+        .distinct()
+        .withColumn("_row", F.row_number().over(order) - 1)
+        .filter(F.col("_row") % query_block == 0)
+    )
+    starts = [r["query_id"] for r in firsts.orderBy("_row").collect()]
+    found = []
+    for start, stop in zip(starts, [*starts[1:], None], strict=True):
+        block = queries.filter(F.col("query_id") >= F.lit(start))
+        if stop is not None:
+            block = block.filter(F.col("query_id") < F.lit(stop))
+        found.append(_with_broadcast(corpus, block.toArrow(), factory, k, schema))
+    nothing = corpus.sparkSession.createDataFrame([], schema)
+    return rank_matches(reduce(DataFrame.unionByName, found) if found else nothing, k)
 
 
 def rank_matches(found: DataFrame, k: int) -> DataFrame:

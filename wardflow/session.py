@@ -17,6 +17,9 @@ RESULT_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Name of the session setting that ``spread`` reads.
+SPREAD = "wardflow.spread"
+
 # Speed settings for a session the library creates itself.  On a cluster the operator's
 # own values win; nothing here is forced onto an existing session.
 SPEED_SETTINGS = {
@@ -63,6 +66,7 @@ def local_session(cpus: int = 8, app: str = "wardflow", memory: str = "8g") -> S
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config(SPREAD, str(cpus))  # the test tables have one row group each
     )
     for key, value in {**SPEED_SETTINGS, **RESULT_SETTINGS}.items():
         builder = builder.config(key, value)
@@ -101,13 +105,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores, for costly per-row work on an input too small to be split for them.
+    """Rows dealt out over as many tasks as the session's ``wardflow.spread`` says, if it does.
 
-    An input of at least one file split per core already is, and is left as it lies: no
-    shuffle at scale.
+    For inputs of few row groups in front of costly work per row: the number is a statement of
+    whoever starts the session, not a guess from sizes.  Unset, as on a cluster whose files
+    have row groups enough, nothing is shuffled.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = 128 * 1024 * 1024
-    estimated = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if estimated < cores * split else df
+    tasks = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(tasks), *keys) if tasks else df

@@ -20,50 +20,58 @@ def test_good_reading_becomes_a_bronze_row(spark):
     good, bad = contract.route(messages(spark, [GOOD]), AS_OF)
     row = good.collect()[0].asDict()
     assert bad.count() == 0
-    assert row["reading_id"] == "r-1" and row["heart_rate"] == 72
-    assert row["temperature_c"] == 36.8 and row["on_supplemental_o2"] is False
+    assert row["reading_id"] == "r-1" and row["heart_rate"] == 66
+    assert row["temperature_c"] == 37.1 and row["on_supplemental_o2"] is False
     assert (row["kafka_partition"], row["kafka_offset"]) == (0, 0)
     assert good.schema.fieldNames()[-3:] == ["ingested_at", "kafka_partition", "kafka_offset"]
 
 
+# One fault each, by the kind of rule it breaks.
+NOT_A_RECORD = {
+    "{broken": "record: invalid JSON",
+    "": "record: invalid JSON",
+    "[]": "record: expected a JSON object, got list",
+    '"lone"': "record: expected a JSON object, got str",
+    "17": "record: expected a JSON object, got int",
+    "-0.25": "record: expected a JSON object, got float",
+    "false": "record: expected a JSON object, got bool",
+    "null": "record: expected a JSON object, got NoneType",
+    None: "record: expected a JSON object, got NoneType",
+}
+LIMITS = {
+    "heart_rate": (20, 250),
+    "resp_rate": (4, 60),
+    "systolic_bp": (50, 260),
+    "spo2": (50, 100),
+    "temperature_c": (30, 45),
+}
+LATER = "2024-02-01T00:05:01+00:00"
 MUTATIONS = [
-    (reading(heart_rate=...), ["heart_rate: Field required"]),
-    (reading(heart_rate=400), ["heart_rate: Input should be less than or equal to 250"]),
-    (
-        reading(heart_rate="fast"),
-        ["heart_rate: Input should be a valid integer, unable to parse string as an integer"],
-    ),
-    (reading(spo2=3), ["spo2: Input should be greater than or equal to 50"]),
-    (reading(temperature_c=55.0), ["temperature_c: Input should be less than or equal to 45"]),
-    (reading(consciousness="Z"), ["consciousness: Input should be 'A', 'V', 'P' or 'U'"]),
-    (reading(patient_id="12345"), [r"patient_id: String should match pattern '^P\d{6}$'"]),
-    (reading(reading_id=""), ["reading_id: String should have at least 1 character"]),
-    (reading(diagnosis="sepsis"), ["diagnosis: Extra inputs are not permitted"]),
-    (
-        reading(recorded_at="2024-02-03T00:00:00+00:00"),
-        ["recorded_at: Value error, recorded_at 2024-02-03T00:00:00+00:00 is in the future"],
-    ),
+    *[(reading(**{f: ...}), f"{f}: Field required") for f in ("systolic_bp", "recorded_at", "source_device")],
+    *[
+        (reading(**{f: low - 1}), f"{f}: Input should be greater than or equal to {low}")
+        for f, (low, _) in LIMITS.items()
+    ],
+    *[
+        (reading(**{f: high + 1}), f"{f}: Input should be less than or equal to {high}")
+        for f, (_, high) in LIMITS.items()
+    ],
     (
-        reading(recorded_at="2024-02-03T01:00:00.25+01:00"),
-        ["recorded_at: Value error, recorded_at 2024-02-03T01:00:00.250000+01:00 is in the future"],
+        reading(resp_rate="rapid"),
+        "resp_rate: Input should be a valid integer, unable to parse string as an integer",
     ),
-    ({"payload": ["x"]}, None),
-    ("[1, 2]", ["record: expected a JSON object, got list"]),
-    ('"text"', ["record: expected a JSON object, got str"]),
-    ("3", ["record: expected a JSON object, got int"]),
-    ("3.5", ["record: expected a JSON object, got float"]),
-    ("true", ["record: expected a JSON object, got bool"]),
-    ("null", ["record: expected a JSON object, got NoneType"]),
-    (None, ["record: expected a JSON object, got NoneType"]),
-    ("{broken", ["record: invalid JSON"]),
+    (reading(consciousness="drowsy"), "consciousness: Input should be 'A', 'V', 'P' or 'U'"),
+    (reading(patient_id="P12345"), r"patient_id: String should match pattern '^P\d{6}$'"),
+    (reading(reading_id=" "), "reading_id: String should have at least 1 character"),
+    (reading(bed="7b"), "bed: Extra inputs are not permitted"),
+    (reading(recorded_at=LATER), f"recorded_at: Value error, recorded_at {LATER} is in the future"),
+    *NOT_A_RECORD.items(),
 ]
 
 
 def test_each_fault_names_its_reason(spark):
     found = errors_of(spark, [value for value, _ in MUTATIONS])
-    for (value, expected), got in zip(MUTATIONS, found):
-        if expected is not None:
-            assert got == expected, value
+    assert found == [[reason] for _, reason in MUTATIONS]
 
 
 def test_structurally_broken_record_lists_all_fields_then_the_unknown_one(spark):

@@ -52,33 +52,30 @@ MESSAGES_SQL = (
     """
 SELECT patient_id AS msg_key, kafka_partition AS part_no, kafka_offset AS off_no, stamp,
        CASE fault
-         WHEN 10 THEN concat('{"payload":["', reading_id, '"]}')
-         WHEN 11 THEN concat('["', reading_id, '"]')
-         WHEN 12 THEN concat('{"reading_id":"', reading_id)
+         WHEN 3 THEN concat('{"broken":["', reading_id, '"]}')
+         WHEN 8 THEN concat('["', reading_id, '", 1]')
+         WHEN 14 THEN concat('{"reading_id":"', reading_id)
          ELSE concat(
-           '{"reading_id":"', CASE fault WHEN 8 THEN '' ELSE reading_id END,
-           '","patient_id":"', CASE fault WHEN 5 THEN '12345' ELSE patient_id END,
-           '","recorded_at":"', CASE fault WHEN 6 THEN '2024-02-03T' ELSE '2024-01-01T' END,
+           '{"reading_id":"', CASE fault WHEN 1 THEN ' ' ELSE reading_id END,
+           '","patient_id":"', CASE fault WHEN 17 THEN 'Q100001' ELSE patient_id END,
+           '","recorded_at":"', CASE fault WHEN 11 THEN '2024-02-09T' ELSE '2024-01-01T' END,
            lpad(CAST(CAST(floor(secs / 3600) AS INT) AS STRING), 2, '0'), ':',
            lpad(CAST(CAST(floor(secs / 60) AS INT) % 60 AS STRING), 2, '0'), ':',
-           lpad(CAST(secs % 60 AS STRING), 2, '0'), '+00:00"',
-           CASE fault WHEN 0 THEN ''
-                      WHEN 1 THEN ',"heart_rate":400'
-                      WHEN 9 THEN ',"heart_rate":"fast"'
-                      WHEN 13 THEN ',"heart_rate":-5'
-                      WHEN 14 THEN concat(',"heart_rate":"', heart_rate, '"')
-                      WHEN 15 THEN ',"heart_rate":78.5'
-                      ELSE concat(',"heart_rate":', heart_rate) END,
-           ',"resp_rate":', resp_rate, ',"systolic_bp":', systolic_bp,
-           ',"spo2":', CASE fault WHEN 2 THEN '3' WHEN 13 THEN '250' WHEN 16 THEN 'null'
-                                  ELSE CAST(spo2 AS STRING) END,
-           ',"temperature_c":', CASE fault WHEN 3 THEN '55.0'
+           lpad(CAST(secs % 60 AS STRING), 2, '0'), '+00:00","heart_rate":',
+           CASE fault WHEN 0 THEN '19' WHEN 9 THEN concat('"', heart_rate, '"')
+                      WHEN 16 THEN '90.75' WHEN 19 THEN '"high"' ELSE CAST(heart_rate AS STRING) END,
+           CASE fault WHEN 4 THEN '' ELSE concat(',"resp_rate":', resp_rate) END,
+           ',"systolic_bp":', CASE fault WHEN 6 THEN '261' WHEN 0 THEN '999'
+                                         ELSE CAST(systolic_bp AS STRING) END,
+           ',"spo2":', CASE fault WHEN 12 THEN 'null' ELSE CAST(spo2 AS STRING) END,
+           ',"temperature_c":', CASE fault WHEN 2 THEN '29.4'
              ELSE concat(CAST(floor(tenths / 10) AS INT), '.', tenths % 10) END,
-           ',"consciousness":"', CASE fault WHEN 4 THEN 'Z' ELSE consciousness END,
-           '","on_supplemental_o2":', CASE fault WHEN 17 THEN '"maybe"' WHEN 18 THEN '"yes"'
+           ',"consciousness":"', CASE fault WHEN 7 THEN 'asleep' ELSE consciousness END,
+           '","on_supplemental_o2":', CASE fault WHEN 5 THEN '"mask"' WHEN 13 THEN '"on"'
              ELSE CASE WHEN on_supplemental_o2 THEN 'true' ELSE 'false' END END,
-           ',"source_device":"', CASE fault WHEN 19 THEN ' ' ELSE source_device END, '"',
-           CASE fault WHEN 7 THEN ',"diagnosis":"sepsis"' ELSE '' END, '}') END AS msg
+           ',"source_device":"', CASE fault WHEN 15 THEN '' ELSE source_device END, '"',
+           CASE fault WHEN 10 THEN ',"ward":"B2"' WHEN 18 THEN ',"bed":4,"aisle":"x"'
+                      ELSE '' END, '}') END AS msg
 FROM (SELECT *, CAST(kafka_offset % 100 AS INT) AS fault, ingested_at AS stamp,
              CAST(round(temperature_c * 10) AS INT) AS tenths,
              CAST((kafka_offset - CASE WHEN kafka_offset % 10 = 9 THEN 5 ELSE 0 END) * 8 % 86400

@@ -155,13 +155,16 @@ oracle(
 oracle(
     "mrg1_orders_upsert",
     """
-    SELECT * EXCLUDE (a, b) FROM (
-      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS a,
-             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)
-               AS b
-      FROM orders) WHERE a = 1 OR b = 1
+    SELECT * EXCLUDE (fixed) REPLACE (
+      CASE WHEN fixed THEN 'corrected' ELSE o_orderpriority END AS o_orderpriority,
+      CASE WHEN fixed THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+    FROM (SELECT *, o_orderdate < DATE '1996-01-01' AND o_orderkey % 7 = 0 AS fixed FROM orders)
     """,
 )
+oracle(
+    "prj2_run_stamp", f"SELECT reading_id, {AS_OF} AS updated_at FROM x_latest"
+)
+oracle("stm5_out_of_order", "SELECT * FROM x_silver")
 oracle(
     "set1_append_all",
     "SELECT reading_id, count(*) AS versions FROM x_bronze GROUP BY reading_id",
@@ -189,7 +192,8 @@ oracle(
     FROM x_scored
     """,
 )
-for _name in ("agg1_gold_patient_hour", "mrg2_gold_upsert", "stm3_hourly_windows", "stm4_incremental_gold"):
+for _name in ("agg1_gold_patient_hour", "mrg2_gold_upsert", "stm3_hourly_windows",
+              "stm4_incremental_gold", "stm4_replayed_refresh"):
     oracle(_name, "SELECT * FROM x_gold")
 oracle(
     "agg6_band_histogram",
@@ -211,6 +215,7 @@ oracle(
       FROM x_gold)
     """,
 )
+part("x_high", "SELECT * FROM x_gold WHERE worst_risk_band = 'high'")
 part(
     "x_worst",
     """
@@ -371,6 +376,41 @@ BRONZE = (
 )
 oracle("con12_bronze_rows", BRONZE)
 oracle("stm2_stream_ingest", BRONZE)
+oracle("stm1_many_batches", BRONZE)
+_READ = f"SELECT DISTINCT reading_id FROM ({BRONZE})"
+_HOURS = f"SELECT DISTINCT patient_id, date_trunc('hour', recorded_at) FROM ({BRONZE})"
+_COUNTS = [
+    ("ingest", "consumed", "SELECT * FROM x_judged"),
+    ("ingest", "valid", "SELECT * FROM x_judged WHERE len(errors) = 0"),
+    ("ingest", "rejected", "SELECT * FROM x_judged WHERE len(errors) > 0"),
+    ("build_silver", "source_rows", _READ),
+    ("build_silver", "num_target_rows_updated", "SELECT 1 WHERE false"),
+    ("build_silver", "num_target_rows_inserted", _READ),
+    ("build_gold", "gold_rows", _HOURS),
+    ("build_gold", "silver_rows", _READ),
+    ("build_gold", "num_target_rows_updated", "SELECT 1 WHERE false"),
+    ("build_gold", "num_target_rows_inserted", _HOURS),
+]
+# readings of the first of January are too old for the gate
+oracle(
+    "pip2_staged_run",
+    """
+    SELECT 'staged-run' AS parent_run_id, 'quality_gate' AS job, 'FAIL' AS status,
+           CAST(2 AS BIGINT) AS events, NULL AS counted, NULL AS n
+    """
+    + "".join(
+        f"""
+    UNION ALL SELECT 'staged-run', '{job}', 'COMPLETE', 2, '{name}', (SELECT count(*) FROM ({rows}))"""
+        for job, name, rows in _COUNTS
+    ),
+)
+oracle(
+    "jsn1_deadletter_json",
+    """
+    SELECT off_no, array_to_string(errors, '; ') AS errors,
+           CASE WHEN json_valid(msg) THEN 'json' ELSE 'text' END AS raw_kind FROM x_rejected
+    """,
+)
 oracle(
     "rte1_routes",
     """
@@ -527,6 +567,39 @@ _suite(
     ],
 )
 
+oracle(
+    "exp8_failure_samples",
+    """
+    SELECT position, rank, md5(value) AS digest FROM (
+      SELECT position, CAST(row_number() OVER (PARTITION BY position ORDER BY value) AS INT) AS rank, value
+      FROM (SELECT 1 AS position, text AS value FROM documents GROUP BY text HAVING count(*) > 1
+            UNION ALL SELECT 2, lang FROM documents WHERE lang NOT IN ('en', 'fr')
+            UNION ALL SELECT 3, CAST(toxic AS VARCHAR) FROM x_labelled WHERE toxic <> 0))
+    WHERE rank <= 20
+    """,
+)
+_GATES = " UNION ALL ".join(f"SELECT {k} AS gate, * FROM ({ORACLE_SQL['exp_suite_on_bronze']})" for k in (1, 2))
+# the second gate bounds the age of the oldest reading, which is beyond it as well
+oracle(
+    "snk5_gate_results",
+    f"""
+    SELECT {AS_OF} AS evaluated_at, bool_and(success) AS success,
+           CAST(count(*) AS INT) AS evaluated_expectations,
+           CAST(count(*) FILTER (success) AS INT) AS successful_expectations,
+           CAST(count(*) FILTER (NOT success) AS INT) AS unsuccessful_expectations,
+           100.0::DOUBLE * count(*) FILTER (success) / count(*) AS success_percent
+    FROM ({_GATES}) GROUP BY gate
+    """,
+)
+oracle(
+    "exp9_gate_failures",
+    f"""
+    SELECT CASE WHEN gate = 2 AND position = 14 THEN 'expect_column_max_to_be_between'
+                ELSE expectation END AS expectation, "column", unexpected_count
+    FROM ({_GATES}) WHERE NOT success
+    """,
+)
+
 # Text
 
 def tokens(text: str) -> str:
@@ -600,6 +673,14 @@ oracle(
     """,
 )
 
+oracle(
+    "str2_front_matter",
+    f"""
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'Text ' || doc_id AS title, source, lang AS topic,
+           md5({strip("text")}) AS digest FROM documents
+    """,
+)
+
 # Chunks
 
 part(
@@ -650,6 +731,9 @@ oracle(
     GROUP BY term
     """,
 )
+oracle(
+    "snk6_index_upsert", "SELECT count(*) AS points, count(DISTINCT doc_id) AS documents FROM x_chunks"
+)
 UUID = """regexp_replace(substr(h, 1, 12) || '5' || substr(h, 14, 3)
   || substr('89ab', CAST('0x' || substr(h, 17, 1) AS INT) % 4 + 1, 1) || substr(h, 18, 15),
   '(.{8})(.{4})(.{4})(.{4})(.{12})', '\\1-\\2-\\3-\\4-\\5')"""
@@ -662,10 +746,20 @@ oracle(
     """,
 )
 
+oracle(
+    "mrg3_index_prune",
+    f"""
+    SELECT {UUID} AS point_id, chunk_id, doc_id FROM (
+      SELECT chunk_id, doc_id,
+             sha1(unhex('6f9619ff8b86d011b42d00cf4fc964ff') || encode(chunk_id)) AS h
+      FROM x_chunks WHERE ordinal = 0)
+    """,
+)
+
 # Retrieval over one question table (x_questions or x_window_questions)
 
 part("x_questions", "SELECT item_id AS query_id, text AS query FROM benchmark")
-part("x_window_questions", f"SELECT DISTINCT md5({QUESTION}) AS query_id, {QUESTION} AS query FROM x_worst")
+part("x_window_questions", f"SELECT DISTINCT md5({QUESTION}) AS query_id, {QUESTION} AS query FROM x_high")
 
 
 def _buckets(rows: str, key: str) -> str:
@@ -821,7 +915,7 @@ def _retrieval(q: str, table: str, floor: float) -> None:
 _retrieval("q", "x_questions", -2.0)
 _retrieval("w", "x_window_questions", -4.0)
 
-CUT = "floor(score * 10000) / 10000"
+CUT = "round(score, 6)"
 oracle(
     "ret4_bm25_topk", f"SELECT query_id, chunk_id, {CUT} AS score, CAST(rank AS INT) AS rank FROM q_bm25"
 )
@@ -858,7 +952,7 @@ oracle(
     "ret9_explained_windows",
     f"""
     SELECT g.patient_id, g.window_start, a.query, a.refused, a.answer
-    FROM (SELECT *, {QUESTION} AS query FROM x_worst) g JOIN w_answers a USING (query)
+    FROM (SELECT *, {QUESTION} AS query FROM x_high) g JOIN w_answers a USING (query)
     """,
 )
 oracle(
@@ -912,17 +1006,16 @@ oracle(
 
 # Lineage
 
-oracle(
-    "agg10_run_summary",
-    """
+_SUMMARY = """
     SELECT 'user-' || user_id AS parent_run_id, 'run-' || event_id AS run_id, event_type AS job,
            CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'COMPLETE' END AS status,
            ts AS started_at, make_timestamp(epoch_us(ts) + CAST(floor(value * 1000) AS BIGINT)) AS ended_at,
            CAST(2 AS BIGINT) AS events, CASE WHEN event_type = 'error' THEN 'event error' END AS error,
            CAST(floor(value * 1000) AS BIGINT) / 1000000 AS seconds
     FROM events
-    """,
-)
+    """
+oracle("agg10_run_summary", _SUMMARY)
+oracle("src6_stage_events", _SUMMARY)
 oracle(
     "agg10_events_per_run",
     """

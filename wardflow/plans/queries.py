@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 
@@ -18,10 +19,12 @@ from wardflow.functions.vectors import cosine
 from wardflow.operators import answer as an
 from wardflow.operators import contract, gold, lineage, quality, retrieval, silver
 from wardflow.operators.chunking import section_rows
-from wardflow.operators.upsert import merge_metrics, merge_rows
+from wardflow.operators.upsert import merge_metrics, merge_rows, newest_rows
 from wardflow.plans import fixtures as fx
+from wardflow.plans import run
 from wardflow.session import materialize, prepare, shared_dir, spread
 from wardflow.sources import messages as msg
+from wardflow.sources.corpus import parse_documents
 from wardflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +37,11 @@ SHOWN = 6
 def query(fn: Query) -> Query:
     """Register ``fn`` under its own name."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
         return _plain_times(fn(spark, sf_dir))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__] = prepared
     return fn
 
 
@@ -116,6 +119,18 @@ def src3_json_decode(spark, sf_dir):
     )
 
 
+@query
+def str2_front_matter(spark, sf_dir):
+    """Texts with a front-matter block in front, parsed again."""
+    head = F.concat(F.lit("---\ntitle: Text "), F.col("doc_id").cast("string"), F.lit("\nsource: "),
+                    "source", F.lit("\ntopic: first\ntopic: "), "lang", F.lit("\n---\n"))
+    files = fx.texts(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.concat(head, "text").alias("value")
+    )
+    parsed = parse_documents(files)
+    return parsed.select("doc_id", "title", "source", "topic", F.md5("body").alias("digest"))
+
+
 @query
 def src5_table_read(spark, sf_dir):
     """Bronze written as a table, read back and profiled."""
@@ -156,6 +171,24 @@ def snk4_first_build_metrics(spark, sf_dir):
     )
 
 
+@query
+def jsn1_deadletter_json(spark, sf_dir):
+    """Dead letters as JSON, read back: is the refused message nested, or kept as a text?"""
+    payload = contract.deadletter_payload(_deadletter(spark, sf_dir))
+    doc = F.parse_json("value")
+    raw = F.schema_of_variant(F.variant_get(doc, "$.raw", "variant"))
+    return payload.select(
+        F.variant_get(doc, "$.source.offset", "bigint").alias("off_no"),
+        F.array_join(F.variant_get(doc, "$.errors", "array<string>"), "; ").alias("errors"),
+        F.when(raw == "STRING", "text").otherwise("json").alias("raw_kind"),
+    )
+
+
+@query
+def prj2_run_stamp(spark, sf_dir):
+    return _silver(spark, sf_dir).select("reading_id", "updated_at")
+
+
 # contract
 
 
@@ -289,15 +322,20 @@ def agg9_merge_metrics(spark, sf_dir):
     return merge_metrics(early, late, ["reading_id"])
 
 
+# Orders from this day on arrive with the increment; every seventh older one is corrected.
+ORDERS_SINCE = "1996-01-01"
+
+
 @query
 def mrg1_orders_upsert(spark, sf_dir):
-    """Latest order per customer merged over all customers' first orders."""
+    """All orders before a day, merged with all later ones and corrected versions of old ones."""
     orders = fx.table(spark, sf_dir, "orders")
-    newest = silver.latest_per_key(
-        orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]
+    since = F.col("o_orderdate") >= F.lit(ORDERS_SINCE).cast("date")
+    corrected = orders.filter(~since & (F.col("o_orderkey") % 7 == 0)).withColumns(
+        {"o_orderpriority": F.lit("corrected"), "o_totalprice": F.col("o_totalprice") + 1}
     )
-    oldest = silver.latest_per_key(orders, ["o_custkey"], [F.asc("o_orderdate"), F.asc("o_orderkey")])
-    return merge_rows(oldest, newest, ["o_orderkey"])
+    source = orders.filter(since).unionByName(corrected)
+    return merge_rows(orders.filter(~since), source, ["o_orderkey"])
 
 
 @query
@@ -330,10 +368,15 @@ def agg1_gold_patient_hour(spark, sf_dir):
 
 @query
 def mrg2_gold_upsert(spark, sf_dir):
-    """Gold of the first half, with every window of the complete Silver upserted."""
+    """Gold of the first half, with only the windows that the second half touches upserted."""
     early, late = (silver.shape_silver(part, fx.AS_OF) for part in _halves(spark, sf_dir))
-    target = gold.aggregate_gold(early, fx.AS_OF)
-    source = gold.aggregate_gold(merge_rows(early, late, ["reading_id"]), fx.AS_OF)
+    located = early.join(late.select("reading_id"), "reading_id", "left_semi")
+    touched = materialize(gold.touched_buckets(late, located))
+    merged = newest_rows(early, late, ["reading_id"], "ingested_at")
+    again = merged.join(touched, ["patient_id", "recorded_hour"], "left_semi")
+    windows = touched.withColumnRenamed("recorded_hour", "window_start")
+    target = gold.aggregate_gold(early, fx.AS_OF).join(windows, list(gold.KEYS), "left_anti")
+    source = gold.aggregate_gold(again, fx.AS_OF)
     return merge_rows(target, source, list(gold.KEYS)).drop("computed_at")
 
 
@@ -413,6 +456,41 @@ def exp_suite_on_labels(spark, sf_dir):
     return quality.suite_results(joined, suite)
 
 
+def _label_suite():
+    return [quality.unique("text"), quality.in_set("lang", ("en", "fr")), quality.between("toxic", 0, 0)]
+
+
+@query
+def exp8_failure_samples(spark, sf_dir):
+    """The unexpected values that a failing gate shows."""
+    labels = fx.table(spark, sf_dir, "labels")
+    joined = fx.table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    found = quality.failure_samples(joined, _label_suite(), [1, 2, 3])
+    return found.select("position", "rank", F.md5("value").alias("digest"))
+
+
+def _gate_rows(spark, sf_dir):
+    """Two gate runs over Bronze, which fails, kept as results and read back."""
+    settings = _fresh(spark)
+    for freshness in ("newest", "oldest"):
+        quality.run_silver_quality_gate(
+            fx.bronze(spark, sf_dir), max_age_minutes=60, freshness=freshness, not_in_future=True,
+            as_of=fx.AS_OF, raise_on_failure=False, results_path=settings.quality_path,
+        )
+    return quality.read_results(spark, settings.quality_path)
+
+
+@query
+def snk5_gate_results(spark, sf_dir):
+    return _gate_rows(spark, sf_dir).select("evaluated_at", "success", "statistics.*")
+
+
+@query
+def exp9_gate_failures(spark, sf_dir):
+    failures = _gate_rows(spark, sf_dir).select(F.inline("failures"))
+    return failures.select("expectation", "column", "unexpected_count")
+
+
 # text
 
 
@@ -505,9 +583,7 @@ def joi4_postings(spark, sf_dir):
 
 
 def _shown(name: str):
-    """A score cut to four decimals: scores are rounded once already, and rounding them again
-    would meet exact ties, which engines break differently."""
-    return (F.floor(F.col(name) * 10_000) / 10_000).alias(name)
+    return F.round(name, SHOWN).alias(name)
 
 
 def _shown_matches(found: DataFrame) -> DataFrame:
@@ -553,6 +629,26 @@ def _index(spark, sf_dir):
     return materialize(retrieval.index_rows(fx.chunks(spark, sf_dir)))
 
 
+@query
+def snk6_index_upsert(spark, sf_dir):
+    """The index of half of the documents, then all of them upserted; as the table holds it."""
+    table = run.index_table(spark, _fresh(spark))
+    chunks = fx.chunks(spark, sf_dir)
+    run.build_index(chunks.filter(F.col("doc_id").cast("long") % 2 == 0), table)
+    run.build_index(chunks, table, recreate=False)
+    return retrieval.index_profile(table.read())
+
+
+@query
+def mrg3_index_prune(spark, sf_dir):
+    """All chunks indexed, then every document chunked anew to its first chunk only."""
+    table = run.index_table(spark, _fresh(spark))
+    chunks = fx.chunks(spark, sf_dir)
+    run.build_index(chunks, table)
+    run.build_index(chunks.filter("ordinal = 0"), table, recreate=False, prune=True)
+    return table.read().select("point_id", "chunk_id", "doc_id")
+
+
 def _hits(spark, sf_dir, index, statistics=None):
     return retrieval.hybrid_search(fx.questions(spark, sf_dir), index, statistics=statistics)
 
@@ -602,10 +698,10 @@ def ret8_citations(spark, sf_dir):
 
 @query
 def ret9_explained_windows(spark, sf_dir):
-    """Guidance for each patient's worst window; a low floor, as no document is clinical."""
-    worst = gold.worst_window_per_patient(_gold(spark, sf_dir))
+    """Guidance for every high-risk window; a low floor, as no document is clinical."""
+    high = materialize(_gold(spark, sf_dir).filter(F.col("worst_risk_band") == "high"))
     found = an.explain_gold_windows(
-        worst, _index(spark, sf_dir), Settings(root="", min_rerank_score=-4.0)
+        high, _index(spark, sf_dir), Settings(root="", min_rerank_score=-4.0)
     )
     return found.select("patient_id", "window_start", "query", "refused", "answer")
 
@@ -634,6 +730,46 @@ def stm2_stream_ingest(spark, sf_dir):
     return silver.bronze_table(spark, settings).rows()
 
 
+@query
+def stm1_many_batches(spark, sf_dir):
+    """The events as many files, drained in micro-batches of three files each."""
+    settings = _fresh(spark)
+    folder = f"{settings.root}/events"
+    events = fx.table(spark, sf_dir, "events")
+    events.repartition(12, "event_id").write.parquet(folder)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3)
+    ingest.ingest_available(
+        fx.messages_of(reader.parquet(folder)),
+        settings,
+        as_of=fx.AS_OF,
+        ingested_at=F.col("timestamp"),
+    )
+    return silver.bronze_table(spark, settings).rows()
+
+
+@query
+def stm5_out_of_order(spark, sf_dir):
+    """The later load first: Silver still ends with the latest version of every reading."""
+    settings = _fresh(spark)
+    table = silver.bronze_table(spark, settings)
+    for load, rows in enumerate(reversed(_halves(spark, sf_dir))):
+        table.append(rows, f"load-{load}")
+        ingest.refresh_after(spark, settings, fx.AS_OF, f"load-{load}")
+    return silver.silver_table(spark, settings).read().drop("updated_at")
+
+
+@query
+def stm4_replayed_refresh(spark, sf_dir):
+    """Each load refreshed twice, as after a lost commit; Gold as the tables hold it."""
+    settings = _fresh(spark)
+    table = silver.bronze_table(spark, settings)
+    for load, rows in enumerate(_halves(spark, sf_dir)):
+        table.append(rows, f"load-{load}")
+        for _ in range(2):
+            ingest.refresh_after(spark, settings, fx.AS_OF, f"load-{load}")
+    return gold.gold_table(spark, settings).read().drop("computed_at")
+
+
 @query
 def stm4_incremental_gold(spark, sf_dir):
     """Two loads, each followed by an incremental refresh; Gold as the tables hold it."""
@@ -645,9 +781,39 @@ def stm4_incremental_gold(spark, sf_dir):
     return gold.gold_table(spark, settings).read().drop("computed_at")
 
 
+@query
+def pip2_staged_run(spark, sf_dir):
+    """Ingest, Silver, gate and Gold as stages of one run: their lineage, read back."""
+    settings = _fresh(spark)
+    schema = fx.table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    steps = lineage.Lineage(spark, settings, "staged-run")
+    run.stage_ingest(steps, fx.messages_of(events), fx.AS_OF)
+    run.stage_build_silver(steps, fx.AS_OF)
+    with contextlib.suppress(quality.QualityGateError):
+        run.stage_quality_gate(steps, fx.AS_OF)
+    run.stage_build_gold(steps, fx.AS_OF)
+    events = lineage.read_events(spark, settings.lineage_path)
+    summary = lineage.run_summary(events)
+    counts = events.filter("run.facets.outputStatistics is not null").select(
+        F.col("job.name").alias("job"), F.explode("run.facets.outputStatistics").alias("counted", "n")
+    )
+    return summary.join(counts, "job", "left").select(
+        "parent_run_id", "job", "status", "events", "counted", "n"
+    )
+
+
 # lineage
 
 
+@query
+def src6_stage_events(spark, sf_dir):
+    """Stage events written as an event table, read back and summed up."""
+    path = _fresh(spark).lineage_path
+    fx.lineage_events(spark, sf_dir).write.json(path)
+    return lineage.run_summary(lineage.read_events(spark, path))
+
+
 @query
 def agg10_run_summary(spark, sf_dir):
     events = fx.lineage_events(spark, sf_dir)

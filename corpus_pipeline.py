@@ -30,7 +30,7 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.identify(docs).filter("_keep").select(docs.columns)
+    return language.identify(docs).filter("kept").select("doc.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -285,12 +285,16 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     Rows without a key are told apart by their text.
     """
-    digest = F.when(F.col(key).isNull(), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    marked = docs.withColumn("_digest", digest)
-    rows, places, _ = matches(marked, benchmark, [key, "_digest"], text=text)
+    rows = docs.select(
+        F.struct("*").alias("whole"),
+        F.col(key).alias("id"),
+        F.when(F.col(key).isNull(), F.sha2(F.coalesce(F.col(text), F.lit("")), 256)).alias("digest"),
+        F.col(text).alias("text"),
+    )
+    found, places, _ = matches(rows, benchmark, ["id", "digest"])
     held = places.select("row").distinct()
-    bad = rows.join(held, "row").select(
-        F.col(f"key.{key}").alias("_bad"), F.col("key._digest").alias("_bad_digest")
+    bad = found.join(held, "row").select(
+        F.col("key.id").alias("bad"), F.col("key.digest").alias("bad_digest")
     )
-    same = F.col(key).eqNullSafe(F.col("_bad")) & F.col("_digest").eqNullSafe(F.col("_bad_digest"))
-    return marked.join(bad.distinct(), same, "left_anti").select(docs.columns)
+    same = F.col("id").eqNullSafe(F.col("bad")) & F.col("digest").eqNullSafe(F.col("bad_digest"))
+    return rows.join(bad.distinct(), same, "left_anti").select("whole.*")

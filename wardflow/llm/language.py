@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wardflow.llm.batches import per_text, pieces, raw
+from wardflow.llm.terms import first_by_hash
 from wardflow.session import materialize
 
 LANGUAGES = ("en", "de", "fr", "es")
@@ -105,13 +105,7 @@ def learn(
     rows = docs.select(
         F.col(key).alias("key"), number.cast("int").alias("language"), F.col(text).alias("text")
     ).filter("key is not null and language >= 0 and text is not null")
-    order = Window.partitionBy("language").orderBy(F.xxhash64("key"), "key")
-    taken = (
-        rows.select("key", "language")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= PER_LANGUAGE)
-        .select("key", "language")
-    )
+    taken, _ = first_by_hash(rows.select("key", "language"), "language", PER_LANGUAGE)
     # at most PER_LANGUAGE rows a language: a bounded broadcast
     counts = (
         rows.join(F.broadcast(taken), ["key", "language"], "left_semi")
@@ -151,13 +145,13 @@ def likelihoods(text: Column, model: Broadcast) -> Column:
 def host_priors(
     docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, declared: str = "lang", host: str = "source"
 ) -> DataFrame:
-    """``_host`` and ``_prior``: log prior of each language, ``und`` last."""
+    """``host`` and ``prior``: log prior of each language, ``und`` last."""
     counts = [F.sum((F.lower(declared) == x).cast("long")) for x in languages]
     by_host = materialize(
         docs.filter(F.col(host).isNotNull())
-        .groupBy(F.lower(host).alias("_host"))
+        .groupBy(F.lower(host).alias("host"))
         .agg(F.array(*[F.coalesce(c, F.lit(0)) for c in counts]).alias("own"))
-        .withColumn("_parent", F.regexp_replace("_host", r"^[^.]*\.?", ""))
+        .withColumn("_parent", F.regexp_replace("host", r"^[^.]*\.?", ""))
     )
     sums = [F.sum(F.col("own")[k]) for k in range(len(languages))]
     overall = by_host.agg(F.array(*sums).alias("all"))
@@ -179,7 +173,7 @@ def host_priors(
     )
     log = F.transform("share", lambda x: F.log(x * F.lit(1 - UNKNOWN_PRIOR)))
     return materialize(
-        priors.select("_host", F.concat(log, F.array(F.log(F.lit(UNKNOWN_PRIOR)))).alias("_prior"))
+        priors.select("host", F.concat(log, F.array(F.log(F.lit(UNKNOWN_PRIOR)))).alias("prior"))
     )
 
 
@@ -202,39 +196,39 @@ def identified(
     host: str = "source",
     suffix: Column | None = None,
 ) -> DataFrame:
-    """``docs`` with ``_language``, ``_probability`` and ``_keep``."""
+    """The rows of ``docs`` in ``doc``, with ``language``, ``probability`` and ``kept``."""
     spoken = F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair])
     nothing = F.array(*[F.lit(0.0)] * (len(languages) + 1))
-    evidence = [
-        F.col("_text"),
-        _told(F.lower(declared), languages, DECLARED_RIGHT),
-        F.coalesce("_prior", nothing),
-    ]
+    said = [_told(F.lower(declared), languages, DECLARED_RIGHT)]
     if suffix is not None:
-        evidence.append(_told(F.element_at(spoken, F.lower(suffix)), languages, SUFFIX_RIGHT))
-    total = evidence[0]
-    for more in evidence[1:]:
-        total = F.zip_with(total, more, lambda a, b: a + b)
+        said.append(_told(F.element_at(spoken, F.lower(suffix)), languages, SUFFIX_RIGHT))
+    rows = docs.select(
+        F.struct("*").alias("doc"),
+        F.col(text).alias("text"),
+        F.lower(host).alias("host"),
+        F.array(*said).alias("said"),
+    )
+    total = F.zip_with("likely", F.coalesce("prior", nothing), lambda a, b: a + b)
+    for k in range(len(said)):
+        total = F.zip_with(total, F.col("said")[k], lambda a, b: a + b)
     names = F.array(*[F.lit(x) for x in (*languages, UNKNOWN)])
-    scored = (
-        docs.join(priors, F.lower(host) == F.col("_host"), "left")
-        .withColumn("_text", likelihoods(F.col(text), model))
-        .withColumn("_total", total)
-        .withColumn("_best", F.array_max("_total"))
-        .withColumn(
-            "_language",
-            F.coalesce(F.element_at(names, F.array_position("_total", F.col("_best")).cast("int")), F.lit(UNKNOWN)),
+    best = F.element_at(names, F.array_position("total", F.col("best")).cast("int"))
+    odds = F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))
+    return (
+        rows.join(priors, "host", "left")
+        .withColumn("likely", likelihoods(F.col("text"), model))
+        .withColumn("total", total)
+        .withColumn("best", F.array_max("total"))
+        .select(
+            "doc",
+            F.coalesce(best, F.lit(UNKNOWN)).alias("language"),
+            F.coalesce(1 / odds, F.lit(1.0)).alias("probability"),
         )
         .withColumn(
-            "_probability",
-            F.coalesce(
-                1 / F.aggregate("_total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best"))),
-                F.lit(1.0),
-            ),
+            "kept",
+            (F.col("language") != UNKNOWN) & (F.col("probability") >= KEEP_PROBABILITY),
         )
-        .withColumn("_keep", (F.col("_language") != UNKNOWN) & (F.col("_probability") >= KEEP_PROBABILITY))
     )
-    return scored.select(*docs.columns, "_language", "_probability", "_keep")
 
 
 def identify(

@@ -79,10 +79,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents")).select(
-        "doc_id",
-        F.col("_language").alias("language"),
-        F.round("_probability", 6).alias("probability"),
-        F.col("_keep").alias("kept"),
+        "doc.doc_id", "language", F.round("probability", 6).alias("probability"), "kept"
     )
 
 
@@ -115,7 +112,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = (
     "list_filter(string_split_regex(coalesce(" + _LOWER + ", ''), "
-    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 )
 
 ORACLE_SQL["op5_benchmark_hits"] = f"""
@@ -155,10 +152,10 @@ FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id =
 
 ORACLE_SQL["op9_exact_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
          CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score

@@ -229,9 +229,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     Components in which no row has a key keep one row of each root fingerprint.
     """
     marked = near_duplicates(docs, key, text)
-    kept = marked.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept"))
-    named = docs.join(kept.distinct(), F.col(key) == F.col("_kept"), "left_semi")
-    nameless = docs.filter(F.col(key).isNull()).withColumn("_fp", fingerprints(F.col(text)))
-    orphans = marked.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct()
-    alone = nameless.join(orphans, "_fp").dropDuplicates(["_root"]).select(docs.columns)
-    return named.dropDuplicates([key]).unionByName(alone)
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
+    kept = marked.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("id"))
+    named = rows.join(kept.distinct(), "id", "left_semi").dropDuplicates(["id"])
+    nameless = rows.filter(F.col("id").isNull()).withColumn("fp", fingerprints(F.col("text")))
+    orphans = marked.filter(F.col("component_id").isNull()).select("fp", "root").distinct()
+    alone = nameless.join(orphans, "fp").dropDuplicates(["root"])
+    return named.select("row.*").unionByName(alone.select("row.*"))

@@ -130,6 +130,24 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def first_by_hash(rows: DataFrame, group: str, most: int) -> tuple[DataFrame, dict]:
+    """At most ``most`` distinct (key, group) rows of each group by the hash of the key.
+
+    Also returns how many rows each group has; groups are classes or languages, so few.  Only
+    rows below a hash that some twice as many pass are ranked, so no task gets a whole group.
+    """
+    totals = {r[0]: r[1] for r in rows.groupBy(group).agg(F.count("*")).collect()}
+    share = F.lit(1.0)
+    for value, n in totals.items():
+        if n > 2 * most:
+            share = F.when(F.col(group) == value, 2 * most / n).otherwise(share)
+    low = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share * (1 << 30)
+    order = Window.partitionBy(group).orderBy(F.xxhash64("key"), "key")
+    ranked = rows.filter(low).select("key", group).distinct()
+    ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    return ranked.select("key", group), totals
+
+
 def sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -149,13 +167,16 @@ def sample(
         labels.select(F.col(key).alias("key"), label.cast("int").alias("label"))
         .dropna()
         .filter(~held_out(F.col("key")))
+        .distinct()
     )
-    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    taken = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_class)
-    # the sample is bounded by per_class, so this broadcast is
-    joined = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        F.broadcast(taken.select("key", "label")), "key"
+    taken, totals = first_by_hash(rows, "label", per_class)
+    # the sample is bounded by per_class, so this broadcast is; a key that many rows share
+    # counts once
+    joined = (
+        docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
+        .join(F.broadcast(taken), "key")
+        .groupBy("key", "label")
+        .agg(F.min("text").alias("text"))
     )
     table = joined.select("label", "text").mapInArrow(
         _lists(shapes), "label int, buckets array<int>, shares array<float>"

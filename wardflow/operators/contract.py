@@ -112,27 +112,34 @@ def _record_reason() -> Column:
     return (
         F.when(F.col("value").isNull(), f"{NOT_OBJECT}NoneType")
         .when(F.col("_doc").isNull(), INVALID_JSON)
-        .when(F.col("_keys").isNull(), F.concat(F.lit(NOT_OBJECT), python_name))
+        .when(F.col("_others").isNull(), F.concat(F.lit(NOT_OBJECT), python_name))
     )
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Adds the parsed message, its keys, and kind and text of every contract field."""
-    # Keys come from the text, not the VARIANT, which sorts them; input order decides the
-    # order of the reasons for unknown fields.
-    parsed = messages.withColumns(
-        {
-            "_doc": F.expr("try_parse_json(value)"),
-            "_keys": F.expr("array_distinct(json_object_keys(value))"),
-        }
-    )
-    # Texts of all fields from one pass; kinds from the VARIANT, which tells "78" from 78.
-    texts = "struct<" + ", ".join(f"{name}: string" for name in FIELDS) + ">"
-    return parsed.withColumn("_texts", F.from_json("value", texts)).withColumns(
-        {
-            f"_kind_{name}": F.expr(f"schema_of_variant(try_variant_get(_doc, '$.{name}', 'variant'))")
-            for name in FIELDS
-        }
+    """Adds the parsed message, its unknown fields, and kind and text of every contract field.
+
+    The text is parsed once, into a VARIANT, which tells "78" from 78.  A VARIANT sorts its keys,
+    so only a message with two unknown fields or more is looked at again for their input order,
+    which decides the order of its reasons.
+    """
+    known = F.lit(list(FIELDS))
+    parsed = messages.withColumn("_doc", F.expr("try_parse_json(value)"))
+    keys = F.map_keys(F.expr("try_variant_get(_doc, '$', 'map<string,variant>')"))
+    in_order = F.array_except(F.expr("array_distinct(json_object_keys(value))"), known)
+    return (
+        parsed.withColumn("_others", F.array_except(keys, known))
+        .withColumn("_unknown", F.when(F.size("_others") > 1, in_order).otherwise(F.col("_others")))
+        .withColumns(
+            {
+                f"_{part}_{name}": F.expr(expression.format(f"try_variant_get(_doc, '$.{name}', {kind})"))
+                for name in FIELDS
+                for part, expression, kind in (
+                    ("kind", "schema_of_variant({})", "'variant'"),
+                    ("text", "{}", "'string'"),
+                )
+            }
+        )
     )
 
 
@@ -146,7 +153,7 @@ def validate(messages: DataFrame, as_of: datetime | str | None = None) -> DataFr
     # One projection per step: each refers to the columns of the one before by name, so no
     # expression is repeated inside another.
     decoded = decode(messages)
-    fields = {n: (F.col(f"_kind_{n}"), F.col(f"_texts.{n}")) for n in FIELDS}
+    fields = {n: (F.col(f"_kind_{n}"), F.col(f"_text_{n}")) for n in FIELDS}
     coerced = decoded.withColumns({f"_value_{n}": _value(n, *f) for n, f in fields.items()})
     reasons = []
     for n, f in fields.items():
@@ -155,10 +162,7 @@ def validate(messages: DataFrame, as_of: datetime | str | None = None) -> DataFr
         reasons.append(
             F.when(f[0].isNull(), f"{n}: {MISSING}").otherwise(F.concat(F.lit(f"{n}: "), reason))
         )
-    unknown = F.transform(
-        F.array_except("_keys", F.lit(list(FIELDS))),
-        lambda key: F.concat(key, F.lit(f": {EXTRA}")),
-    )
+    unknown = F.transform("_unknown", lambda key: F.concat(key, F.lit(f": {EXTRA}")))
     # Dropping nulls with array_except keeps the rules in generated code; array_compact is a
     # lambda function, and everything inside one is interpreted.
     nothing = F.array(F.lit(None).cast("string"))

@@ -2,13 +2,13 @@
 
 Every block starts from the same state and can be decoded alone.  Within a block three models
 predict the next id: order 2 and order 1 remember, by hash of the last two ids or of the last one,
-which id followed and how surely; order 0 counts the ids' digits.  They are mixed into one
-distribution,
+which id followed; order 0 counts the ids' digits.  They are mixed into one distribution,
 
     a [id is order 2's guess] + b [id is order 1's guess] + (1 - a - b) order 0,
 
-whose weights a and b adapt, each in the context of both models' confidence.  The mixed
-distribution drives a carry-less range coder with 16-bit output.
+whose weights a and b adapt, each in the context of which models guessed right the last two times
+and whether both guess the same now.  The mixed distribution drives a carry-less range coder with
+16-bit output.
 
 Blocks lie side by side as lanes of numpy arrays: one step codes the next id of each.
 """
@@ -17,28 +17,23 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 4096  # ids of a block
-LANES = 3072  # blocks coded side by side
+BLOCK = 2048  # ids of a block
+LANES = 4096  # blocks coded side by side
 
-_SLOT_BITS = 11
+_SLOT_BITS = 10
 _TOTAL_BITS, _DIGIT_BITS = 20, 12
-_GROUPS = 16
-_RENEW = (64, 256, 768, 1536, 2560)  # ids after which order 0 looks at its counts again
+_GROUPS = 4  # of high digits, for the counts of low ones
+_RENEW = (32, 128, 384, 1024)  # ids after which order 0 looks at its counts again
 _U = np.uint64
 _SETTLED, _LEAST = _U(1 << 48), _U(1 << 32)
 
 
-# How sure a guess becomes, by whether it was right and how sure it was.
-_TRUST = np.array([[1, 1, 1, 2], [1, 2, 3, 3]], np.uint8)
-
-
 class _Model:
     """Predictions for ``n`` lanes."""
 
     def __init__(self, n: int):
         slots = n << _SLOT_BITS
         self.guess = [np.zeros(slots, np.uint16) for _ in range(2)]
-        self.sure = [np.zeros(slots, np.uint8) for _ in range(2)]
         self.weight = [np.full(n * 32, 8192, np.int32) for _ in range(2)]
         # order 0: small ids are the more frequent ones
         prior = np.maximum(1, 128 // (np.arange(256) + 4)).astype(np.uint16)
@@ -46,6 +41,7 @@ class _Model:
         self.low = np.full((n, _GROUPS, 256), 1, np.uint16)
         self.high_flat, self.low_flat = self.high.reshape(-1), self.low.reshape(-1)
         self.last = np.zeros((2, n), np.uint32)
+        self.past = np.zeros(n, np.int64)  # orders that guessed the last two ids
         self.lane = np.arange(n)
         self.renew(n)
 
@@ -73,9 +69,8 @@ class _Model:
         base = lane << _SLOT_BITS
         self.slot = [base + (h >> shift).astype(np.int64) for h in (both ^ (both >> np.uint32(15)), one)]
         self.next = [self.guess[k][self.slot[k]] for k in (0, 1)]
-        self.trust = [self.sure[k][self.slot[k]] for k in (0, 1)]
-        same = (self.next[0] == self.next[1]).astype(np.int64)
-        mixed = (lane << 5) + (self.trust[0] << 2).astype(np.int64) + self.trust[1] + (same << 4)
+        same = self.next[0] == self.next[1]
+        mixed = (lane << 5) + (self.past[:n] << 1) + same
         self.context = mixed
         room = 1 << _TOTAL_BITS
         self.a = self.weight[0][mixed].astype(np.int64) << 4
@@ -93,17 +88,13 @@ class _Model:
             now = self.weight[k][at]
             now += (right * np.int32(62976) + np.int32(64) - now) >> 5
             self.weight[k][at] = now
-            slot, guess, trust = self.slot[k], self.next[k], self.trust[k]
-            held = guess == ids
-            # right: surer, up to 3; wrong: less sure, and below 1 the new id takes the slot
-            self.sure[k][slot] = _TRUST[held.view(np.uint8), trust]
-            swap = np.flatnonzero(~held & (trust < 2))
-            self.guess[k][slot[swap]] = ids[swap]
+            self.guess[k][self.slot[k]] = ids
+        self.past[:n] = (self.past[:n] & 3) << 2 | hit
         self.last[1, :n] = self.last[0, :n]
         self.last[0, :n] = ids
         lane, high = self.lane[:n], (ids >> 8).astype(np.int64)
         self.high_flat[(lane << 8) + high] += 6
-        self.low_flat[((lane << 4) + (high >> 4) << 8) + (ids & 255)] += 6
+        self.low_flat[(lane * _GROUPS + (high >> 6) << 8) + (ids & 255)] += 6
 
 
 def _short(low: np.ndarray, span: np.ndarray) -> np.ndarray:
@@ -162,11 +153,7 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         now = ids[t, :n]
         model.look(n)
         a, b, rest = model.a, model.b, model.rest
-        hit = np.where(
-            (now == model.next[0]) & (model.trust[0] > 0),
-            0,
-            np.where((now == model.next[1]) & (model.trust[1] > 0), 1, 2),
-        )
+        hit = np.where(now == model.next[0], 0, np.where(now == model.next[1], 1, 2))
         digit = model.lane[:n] * 257 + (now >> 8)
         first = rest * model.high_sums[digit] >> _DIGIT_BITS
         after = rest * model.high_sums[digit + 1] >> _DIGIT_BITS
@@ -174,7 +161,7 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         size = np.where(hit == 0, a, np.where(hit == 1, b, after - first))
         put(n, start, size, _TOTAL_BITS)
         # the low digit; lanes that were guessed pass over it with the whole interval
-        digit = (model.lane[:n] * _GROUPS + (now >> 12)) * 257 + (now & 255)
+        digit = (model.lane[:n] * _GROUPS + (now >> 14)) * 257 + (now & 255)
         lows = model.low_sums[digit]
         start = np.where(hit == 2, lows, 0)
         size = np.where(hit == 2, model.low_sums[digit + 1] - lows, 1 << _DIGIT_BITS)
@@ -258,7 +245,7 @@ def _decode(coded: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
         size = np.where(hit == 0, a, np.where(hit == 1, b, after - first))
         take(n, start, size, _TOTAL_BITS)
         found = value(n, _DIGIT_BITS)
-        base = (model.lane[:n] * _GROUPS + np.where(hit == 2, high >> 4, 0)) * 257
+        base = (model.lane[:n] * _GROUPS + np.where(hit == 2, high >> 6, 0)) * 257
         digit = _digit(model.low_sums, base, found, None)
         lows = model.low_sums[base + digit]
         start = np.where(hit == 2, lows, 0)

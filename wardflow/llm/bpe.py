@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from wardflow.llm.batches import per_text
 
 # Pre-tokens that a worker remembers, twice.  Bounds memory, not results.
-MEMO = 300_000
+MEMO = 200_000
 
 # Children of a segment-tree node.
 FAN = 16

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -781,26 +782,46 @@ def stm4_incremental_gold(spark, sf_dir):
     return gold.gold_table(spark, settings).read().drop("computed_at")
 
 
+def _event_stream(spark, sf_dir):
+    """The messages as a stream over the ``events`` table."""
+    schema = fx.table(spark, sf_dir, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return fx.messages_of(reader.parquet(sf_dir))
+
+
+def _stage_counts(spark, settings):
+    """Stages of a run from its lineage: status, events, and each count they left."""
+    events = lineage.read_events(spark, settings.lineage_path)
+    counts = events.filter("run.facets.outputStatistics is not null").select(
+        F.col("job.name").alias("job"), F.explode("run.facets.outputStatistics").alias("counted", "n")
+    )
+    return (
+        lineage.run_summary(events)
+        .join(counts, "job", "left")
+        .select("parent_run_id", "job", "status", "events", "counted", "n")
+    )
+
+
+@query
+def pip1_full_run(spark, sf_dir):
+    """All five stages as one run on the event stream; the folder holds no guideline."""
+    days = 60 * 24 * 40
+    settings = dataclasses.replace(_fresh(spark), corpus_dir=sf_dir, max_age_minutes=days)
+    run.run_pipeline(spark, settings, _event_stream(spark, sf_dir), "full-run", fx.AS_OF)
+    return _stage_counts(spark, settings)
+
+
 @query
 def pip2_staged_run(spark, sf_dir):
-    """Ingest, Silver, gate and Gold as stages of one run: their lineage, read back."""
+    """Ingest, Silver, a gate that fails, and Gold as stages of one run."""
     settings = _fresh(spark)
-    schema = fx.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     steps = lineage.Lineage(spark, settings, "staged-run")
-    run.stage_ingest(steps, fx.messages_of(events), fx.AS_OF)
+    run.stage_ingest(steps, _event_stream(spark, sf_dir), fx.AS_OF)
     run.stage_build_silver(steps, fx.AS_OF)
     with contextlib.suppress(quality.QualityGateError):
         run.stage_quality_gate(steps, fx.AS_OF)
     run.stage_build_gold(steps, fx.AS_OF)
-    events = lineage.read_events(spark, settings.lineage_path)
-    summary = lineage.run_summary(events)
-    counts = events.filter("run.facets.outputStatistics is not null").select(
-        F.col("job.name").alias("job"), F.explode("run.facets.outputStatistics").alias("counted", "n")
-    )
-    return summary.join(counts, "job", "left").select(
-        "parent_run_id", "job", "status", "events", "counted", "n"
-    )
+    return _stage_counts(spark, settings)
 
 
 # lineage

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from wardflow.operators.upsert import merge_metrics, merge_rows, newest_rows
 from wardflow.schemas import BRONZE, SchemaError, enforce_schema
+from wardflow.session import materialize, shared_dir, work_tables
 from wardflow.sources.tables import AppendLog, KeyedTable, TableMissing, merge_statement
 
 KV = T.StructType().add("k", "integer", False).add("day", "string", False).add("v", "string", False)
@@ -164,6 +165,20 @@ def test_replacing_and_prune(spark, table):
     assert rows(table.read()) == [(2, "b", "z")]
 
 
+def test_upserts_leave_no_work_tables(spark, table):
+    work = Path(shared_dir(spark).removeprefix("file:"), "work")
+    before = set(work.glob("*"))
+    table.upsert(kv(spark, [(1, "a", "x")]))
+    table.upsert(kv(spark, [(1, "b", "y"), (2, "a", "y")]))
+    table.replace(kv(spark, [(3, "c", "z")]))
+    assert set(work.glob("*")) == before
+    kept = materialize(kv(spark, [(1, "a", "x")]))
+    with work_tables(spark):
+        inner = materialize(kept)
+        assert inner.count() == 1
+    assert len(set(work.glob("*")) - before) == 1 and kept.count() == 1
+
+
 def test_empty_source_changes_nothing(spark, table):
     table.upsert(kv(spark, [(1, "a", "x")]))
     assert table.upsert(kv(spark, [])).source_rows == 0

@@ -14,7 +14,7 @@ from wardflow.operators.chunking import build_chunks
 from wardflow.operators.lineage import Lineage
 from wardflow.operators.retrieval import index_rows
 from wardflow.schemas import INDEX
-from wardflow.session import prepare
+from wardflow.session import prepare, work_tables
 from wardflow.sources import messages as msg
 from wardflow.sources.tables import KeyedTable, MergeMetrics
 from wardflow.streaming.ingest import ingest_available
@@ -106,9 +106,9 @@ def stage_quality_gate(lineage: Lineage, as_of=None, freshness: str = "oldest")
 def stage_build_gold(lineage: Lineage, as_of=None) -> dict[str, int]:
     spark, settings = lineage.spark, lineage.settings
     with lineage.stage("build_gold", inputs=["table.silver"], outputs=["table.gold"]) as run:
-        metrics = gold.build_gold(
-            silver.silver_table(spark, settings), gold.gold_table(spark, settings), as_of=as_of
-        )
+        tables = silver.silver_table(spark, settings), gold.gold_table(spark, settings)
+        with work_tables(spark):
+            metrics = gold.build_gold(*tables, as_of=as_of)
         run.rows(**metrics)
         return metrics
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,10 +103,28 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
+    for made in getattr(_made, "open", [])[-1:]:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made = threading.local()  # a stream's batches run in a thread of their own
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes on leaving the work tables made inside, so nothing read from them may get out."""
+    _made.open = [*getattr(_made, "open", []), []]
+    try:
+        yield
+    finally:
+        *_made.open, made = _made.open
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt out over as many tasks as the session's ``wardflow.spread`` says, if it does.
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from wardflow.operators.upsert import merge_rows, newest_rows
 from wardflow.schemas import enforce_schema
-from wardflow.session import materialize
+from wardflow.session import materialize, work_tables
 
 
 class TableMissing(LookupError):
@@ -208,11 +208,12 @@ class KeyedTable:
 
     def replace(self, rows: DataFrame) -> int:
         """Make ``rows`` the whole table; returns their number."""
-        staged = materialize(self._placed(rows))
-        known = self.parts()
-        self._put(staged)
-        self._drop(set(known) - set(self._values(staged)))
-        return staged.count()
+        with work_tables(self.spark):
+            staged = materialize(self._placed(rows))
+            known = self.parts()
+            self._put(staged)
+            self._drop(set(known) - set(self._values(staged)))
+            return staged.count()
 
     def _drop(self, parts: set[str]) -> None:
         for part in parts:
@@ -249,6 +250,12 @@ class KeyedTable:
         and every key it lacks is dropped.  ``located`` is the result of ``locate`` where the
         caller has it already.
         """
+        with work_tables(self.spark):
+            return self._upsert(source, prune, replacing, located)
+
+    def _upsert(
+        self, source: DataFrame, prune: bool, replacing: DataFrame | None, located: DataFrame | None
+    ) -> MergeMetrics:
         source = materialize(self._placed(source))
         source_rows = source.count()  # from the file footers
         if self.newest is None:

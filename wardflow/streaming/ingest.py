@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardflow.config import Settings
 from wardflow.operators import contract, gold, silver
 from wardflow.schemas import DEADLETTER
-from wardflow.session import materialize
+from wardflow.session import materialize, work_tables
 from wardflow.sources.tables import AppendLog
 
 
@@ -162,15 +162,16 @@ def refresh_after(
     else:
         mark = silver.watermark(current.read()) if current.exists() else None
         fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
-    source = materialize(silver.shape_silver(fresh, as_of))
-    located = current.locate(source, "patient_id", "recorded_hour")
-    pending = pending_hours(spark, settings)
-    pending.append(gold.touched_buckets(source, located), uuid.uuid4().hex)
-    merged = current.upsert(source, located=located)
-    touched = materialize(pending.rows().distinct())
-    refreshed = gold.build_gold(current, target, touched=touched, prune=True, as_of=as_of)
-    pending.clear()
-    return {"silver": merged.as_dict(), "gold": refreshed}
+    with work_tables(spark):
+        source = materialize(silver.shape_silver(fresh, as_of))
+        located = current.locate(source, "patient_id", "recorded_hour")
+        pending = pending_hours(spark, settings)
+        pending.append(gold.touched_buckets(source, located), uuid.uuid4().hex)
+        merged = current.upsert(source, located=located)
+        touched = materialize(pending.rows().distinct())
+        refreshed = gold.build_gold(current, target, touched=touched, prune=True, as_of=as_of)
+        pending.clear()
+        return {"silver": merged.as_dict(), "gold": refreshed}
 
 
 def pending_hours(spark: SparkSession, settings: Settings) -> AppendLog:

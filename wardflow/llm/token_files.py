@@ -24,6 +24,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -216,35 +217,35 @@ def crc32_joined(pieces_: list[tuple[int, int]]) -> int:
     """
     total = 0
     for crc, size in pieces_:
-        total = _after_zeros(total, size) ^ crc
+        total = (_after_zeros(total, size) if total else 0) ^ crc
     return total
 
 
 def _times(matrix: list[int], vector: int) -> int:
     out = 0
-    for k in range(32):
-        if vector >> k & 1:
-            out ^= matrix[k]
+    for row in matrix:
+        if vector & 1:
+            out ^= row
+        vector >>= 1
     return out
 
 
-def _zero_matrices() -> Iterator[list[int]]:
-    """Matrices of 1, 2, 4, ... zero bytes."""
-    bit = [0xEDB88320, *[1 << k for k in range(31)]]
-    for _ in range(3):
-        bit = [_times(bit, x) for x in bit]
-    while True:
-        yield bit
-        bit = [_times(bit, x) for x in bit]
+@cache
+def _zeros(power: int) -> list[int]:
+    """The matrix of 2^power zero bits."""
+    if power == 0:
+        return [0xEDB88320, *[1 << k for k in range(31)]]
+    half = _zeros(power - 1)
+    return [_times(half, x) for x in half]
 
 
 def _after_zeros(crc: int, size: int) -> int:
-    for matrix in _zero_matrices():
-        if not size:
-            return crc
+    power = 3  # of a byte
+    while size:
         if size & 1:
-            crc = _times(matrix, crc)
+            crc = _times(_zeros(power), crc)
         size >>= 1
+        power += 1
     return crc
 
 

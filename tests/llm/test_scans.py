@@ -136,3 +136,50 @@ def test_matching_statistics(sequences, stream):
     for end, n, state in found:
         for k, place in automaton.ends[state].items():
             assert sequences[k][place - n + 1 : place + 1] == stream[end - n : end]
+
+
+def test_notices_are_found_at_every_place(spark):
+    rows = [(1, "Some text. Licensed under CC BY-NC 4.0. More.\nLicensed under CC BY-NC 4.0.", "en", "a")]
+    rows += [(2, "free for now, under the terms of CC BY-NC-SA 3.0 only", "en", "a")]
+    rows += [(3, "Copyright 2020. All rights reserved.", "en", "a"), (4, "all rights are reserved", "en", "a")]
+    rows += [(5, "a letter, cc by mail", "en", "a"), (6, None, "en", "a")]
+    found = {r.doc_id: (r.labels, r.score, r.spans) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert found[1] == ("cc-by-nc", 1.0, "cc-by-nc:2:7:5,cc-by-nc:10:15:5")
+    assert found[2] == ("cc-by-nc-sa", 1.0, "cc-by-nc-sa:7:11:4")
+    assert found[3] == ("all-rights-reserved", 1.0, "all-rights-reserved:2:5:3")
+    assert found[4] == found[5] == found[6] == ("", 0.0, "")
+
+
+def test_spans_of_edited_and_repeated_templates():
+    scanner = licenses.Licenses()
+    bsd = licenses.TEMPLATES["bsd"].split()
+    n = len(licenses.words_of(" ".join(bsd)))
+    edited = " ".join([*bsd[:20], "by", "anyone", *bsd[20:40], *bsd[43:]])
+    *_, labels, score, spans = scanner.scan(f"intro {edited} outro")
+    assert labels == "bsd" and spans == f"bsd:1:{n}:{n - 3}" and score == (n - 3) / n
+    whole = " ".join(bsd)
+    assert scanner.scan(f"{whole} some words {whole}")[-1] == f"bsd:0:{n}:{n},bsd:{n + 2}:{2 * n + 2}:{n}"
+    # a stretch that stands twice in the template is used at its second place
+    twice = licenses.Licenses({"x": "a b c d e f g h a b c d e i j k l m"}, {}, {})
+    assert twice.scan("f g h a b z a b c d e")[-1] == "x:0:11:8"
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(0, 3), min_size=5, max_size=12), min_size=1, max_size=3),
+    st.lists(st.integers(0, 4), max_size=25),
+)
+def test_stretches_of_every_template(sequences, stream):
+    """Each template's own maximal stretches, at all of their places."""
+    names = {str(k): " ".join(f"w{x}" for x in s) for k, s in enumerate(sequences)}
+    scanner = licenses.Licenses(names, {}, {})
+    coded = [scanner.ids.get(f"w{x}".encode(), -1) for x in stream]
+    for sequence, found in zip(sequences, scanner.stretches([(0, coded)]), strict=True):
+        ends = lambda x: [k for k in range(len(x) - 1, len(sequence)) if sequence[k - len(x) + 1 : k + 1] == x]  # noqa: E731, B023
+        longest = [max(n for n in range(e + 1) if n == 0 or ends(stream[e - n : e])) for e in range(len(stream) + 1)]
+        wanted = [
+            (e - n, e, ends(stream[e - n : e]))
+            for e, n in enumerate(longest)
+            if n >= 5 and (e == len(stream) or longest[e + 1] != n + 1)
+        ]
+        assert found == wanted

@@ -183,3 +183,36 @@ def test_stretches_of_every_template(sequences, stream):
             if n >= 5 and (e == len(stream) or longest[e + 1] != n + 1)
         ]
         assert found == wanted
+
+
+def test_every_copy_of_a_secret_is_found():
+    scanner = secrets.Scanner()
+    random = "q8Zt3LxV0mKe7RbW2yNc5HjD"
+
+    def copies(text):
+        return [(m.start(), m.end(), "novel") for m in re.finditer(random, text)]
+
+    line = f"the bearer {random} was sent\n"
+    for text in (
+        line,
+        line * 2,
+        line * 9,
+        f"seen {random} and {random} so the key is {random}",
+        f"the parcel {random}" + " word" * 100 + " " + line,
+        f"{random} is the key",
+        "the bearer " + random + " x" * 95 + " bearer " + random,
+    ):
+        assert scanner.spans(text)[1] == copies(text)
+        assert random not in scanner.redacted(text, "#")
+    assert random not in scanner.redacted(f"auth sig={random} and cookie a={random}, key {random}", "#")
+    assert scanner.spans(f"the parcel {random} and {random}")[1] == []
+    assert scanner.spans("the bearer " + "xy1" * 10 + " and the bearer " + "xy1" * 10)[1] == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab", max_size=40), st.integers(0, 20), st.integers(0, 40), st.sets(st.text("ab", min_size=1, max_size=6), max_size=3))
+def test_copies_are_taken_out(text, start, size, strings):
+    start, end = min(start, len(text)), min(start + size, len(text))
+    gone = {k for s in strings for a in range(len(text)) if text.startswith(s, a) for k in range(a, a + len(s))}
+    # a copy counts where it overlaps the piece
+    assert secrets.without(text, start, end, strings) == "".join(text[k] for k in range(start, end) if k not in gone)

@@ -1,10 +1,15 @@
 """Secret scans: fixed patterns, and strings whose novelty zstandard measures.
 
 Base spans are assignments to password-like names, access key ids and long hexadecimal runs.
-The method adds strings that stand near a sensitive word and do not compress: a candidate's
-marginal size is what it adds to the compressed text around it, with zstandard primed by a
-dictionary of source code and identifiers.  A candidate of which each character still costs
-``NOVEL_BYTES`` is reported.
+The method adds strings that stand near a sensitive word, before or after it, and do not compress:
+a candidate's marginal size is what it adds to the compressed text around it, with zstandard primed by
+a dictionary of source code and identifiers.  Other copies of the candidate, or of a part of it that
+``=`` or ``/`` sets off, are taken out of that text first, so a repeated secret is as novel as a single
+one.  A candidate of which each character still costs ``NOVEL_BYTES`` is reported, and with it every
+copy in the text, whatever stands near the copy.
+
+Strings without a digit are not measured: to the compressor, long words, paths and names in mixed
+case are as novel as random letters.  So a secret of letters alone is found by the base patterns only.
 
 Spans are ``kind:start:end`` in code points, end exclusive.  Null texts count as empty and have no
 spans; repeated rows have the same spans; an empty table gives an empty result.  Whole texts are
@@ -39,10 +44,12 @@ _NAMES = ("passw", "secret", "token", "api")
 
 # Candidates of the method: unbroken strings of at least this many characters.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+PART = re.compile(r"[A-Za-z0-9+_-]{20,}")
+DIGIT = re.compile("[0-9]")
 SENSITIVE = re.compile(
     r"key|auth|bearer|credential|private|signature|cookie|session|passw|secret|token|login", re.I
 )
-CONTEXT = 48  # characters before a candidate that must hold a sensitive word
+CONTEXT = 48  # characters on either side of a candidate that must hold a sensitive word
 AROUND = 200  # characters on either side that the candidate is measured against
 NOVEL_BYTES = 0.5  # marginal bytes a character
 
@@ -95,20 +102,33 @@ class Scanner:
         )
 
     def novel(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-        """Incompressible strings in a sensitive context that no base span covers."""
-        found = []
+        """Copies of incompressible strings in a sensitive context that no base span covers."""
+        places: dict[str, list[tuple[int, int]]] = {}
+        secret = set()
         for m in CANDIDATE.finditer(text):
             start, end = m.span()
             if any(s <= start and end <= e for s, e, _ in base):
                 continue
             candidate = m.group()
-            if not any(c.isdigit() for c in candidate):
+            if not DIGIT.search(candidate):
                 continue
-            if not SENSITIVE.search(text, max(0, start - CONTEXT), start):
+            parts = {m.span()} | {p.span() for p in PART.finditer(text, start, end) if DIGIT.search(p.group())}
+            for a, b in parts:
+                places.setdefault(text[a:b], []).append((a, b))
+            if not SENSITIVE.search(text, max(0, start - CONTEXT), start) and not SENSITIVE.search(
+                text, end, end + CONTEXT
+            ):
                 continue
-            size = self.marginal(text[max(0, start - AROUND) : start], candidate, text[end : end + AROUND])
-            if size >= NOVEL_BYTES * (end - start):
+            strings = {text[a:b] for a, b in parts}
+            before = without(text, max(0, start - AROUND), start, strings)
+            after = without(text, end, min(len(text), end + AROUND), strings)
+            if self.marginal(before, candidate, after) >= NOVEL_BYTES * (end - start):
+                secret |= strings
+        found, reached = [], 0
+        for start, end in sorted((p for s in secret for p in places[s]), key=lambda p: (p[0], -p[1])):
+            if end > reached:
                 found.append((start, end, "novel"))
+                reached = end
         return found
 
     def spans(self, text: str) -> tuple[list, list]:
@@ -126,6 +146,22 @@ class Scanner:
         return "".join(out) + text[at:]
 
 
+def without(text: str, start: int, end: int, strings: set[str]) -> str:
+    """``text[start:end]`` without what copies of ``strings`` cover, also those that reach out of it."""
+    spans = []
+    for string in strings:
+        # a copy that reaches out of the piece may begin before it or end behind it
+        at = text.find(string, max(0, start - len(string) + 1), end + len(string) - 1)
+        while at >= 0:
+            spans.append((at, at + len(string)))
+            at = text.find(string, at + 1, end + len(string) - 1)
+    out, at = [], start
+    for a, b in sorted(spans):
+        out.append(text[at : max(at, min(a, end))])
+        at = max(at, min(b, end))
+    return "".join(out) + text[at:end]
+
+
 _RANK = {kind: k for k, kind in enumerate((*BASE_KINDS, "novel"))}
 
 

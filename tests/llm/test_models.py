@@ -175,3 +175,29 @@ def test_decontamination_reads_the_benchmark_by_its_own_names(spark):
     bench = spark.createDataFrame([("q w", "x1")], "question string, name string")
     found = decontaminate.contamination(docs, bench, ["doc_id"], item="name", item_text="question")
     assert {r.doc_id: r["items"] for r in found.collect()} == {1: ["x1"], 2: []}
+
+
+def test_language_query_covers_documents_and_pages(spark, shared):
+    rows = QUERIES["op7_language_id"](spark, SF).collect()
+    docs, pages = shared["documents"].collect(), shared["pages"].collect()
+    assert sorted(r.doc_id for r in rows if r.page_id is None) == sorted(r.doc_id for r in docs)
+    assert sorted(r.page_id for r in rows if r.doc_id is None) == sorted(r.page_id for r in pages)
+    declared = {r.page_id: r.lang for r in language.page_evidence(shared["pages"]).collect()}
+    found = {r.page_id: r.language for r in rows if r.doc_id is None}
+    assert np.mean([found[k] == declared[k] for k in found]) > 0.97
+
+
+def test_address_suffix_counts(spark):
+    texts = {"de": "und der die das", "en": "the and of to"}
+    rows = [
+        (k, f"http://a{k}.example.org/", f'<html lang="{x}">{texts[x]}</html>')
+        for k, x in enumerate(["de", "en"] * 20)
+    ]
+    both = f"<html>{texts['de']} {texts['en']}</html>"
+    rows += [(100, "http://x.de/", both), (101, "http://x.uk/", both), (102, "http://x.org/", both), (103, "http://x.org/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows = language.identify_pages(pages).select("doc.page_id", "language", "probability").collect()
+    found = {r.page_id: r for r in rows}
+    assert len(found) == 44 and found[103].language == "und"
+    assert {found[k].language for k in (100, 101, 102)} == {"de"}
+    assert found[100].probability > found[102].probability > found[101].probability

@@ -256,3 +256,8 @@ def page_evidence(pages: DataFrame) -> DataFrame:
         host.alias("source"),
         F.regexp_extract(host, r"\.([a-z]+)$", 1).alias("suffix"),
     )
+
+
+def identify_pages(pages: DataFrame) -> DataFrame:
+    """``identify`` over all evidence of web pages; models and hosts are those of the pages."""
+    return identify(page_evidence(pages), key="page_id", suffix=F.col("suffix"))

@@ -78,8 +78,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(table(spark, sf_dir, "documents")).select(
-        "doc.doc_id", "language", F.round("probability", 6).alias("probability"), "kept"
+    found = ["language", F.round("probability", 6).alias("probability"), "kept"]
+    docs = language.identify(table(spark, sf_dir, "documents"))
+    pages = language.identify_pages(table(spark, sf_dir, "pages"))
+    return docs.select("doc.doc_id", F.lit(None).cast("long").alias("page_id"), *found).unionByName(
+        pages.select(F.lit(None).cast("long").alias("doc_id"), "doc.page_id", *found)
     )
 
 

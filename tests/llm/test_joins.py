@@ -246,3 +246,20 @@ def test_items_digest(spark):
     assert hashlib.sha256(b"10,100,9").hexdigest() == docs.select(
         F.sha2(F.lit("10,100,9"), 256)
     ).first()[0]
+
+
+def test_different_texts_under_one_key_are_rows_of_their_own(spark):
+    rng = random.Random(5)
+    one, two, three = (" ".join(f"w{rng.randrange(9999)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, one), (1, two), (0, two), (5, three), (5, one), (5, three), (None, "of no key")]
+    docs = frame(spark, [(k, t, "en", "a") for k, t in rows])
+    for parts in (1, 4):
+        kept = simhash.keep_one(docs.repartition(parts)).collect()
+        wanted = [(1, one), (0, two), (5, three), (None, "of no key")]
+        assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(wanted, key=repr)
+    both = simhash.keep_one(frame(spark, [(7, one, "en", "a"), (7, two, "en", "a")])).collect()
+    assert sorted(r.text for r in both) == sorted([one, two])
+    bench = spark.createDataFrame([(1, " ".join(two.split()[20:40]))], "item_id long, text string")
+    clean = [(1, one), (5, three), (5, one), (5, three), (None, "of no key")]
+    got = decontaminate.clean(docs, bench).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(clean, key=repr)

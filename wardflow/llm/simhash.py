@@ -224,15 +224,28 @@ def fingerprint_hex(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component with all its columns: that of the smallest key.
+    """One row of each component with all its columns: one of those with the smallest key.
 
-    Components in which no row has a key keep one row of each root fingerprint.
+    Rows are told apart by key and fingerprint, so different texts under one key each count in the
+    component of their own.  Components in which no row has a key keep a row too.
     """
     marked = near_duplicates(docs, key, text)
+    named = F.col(key) == F.col("component_id")
+    # the smallest fingerprint under the smallest key
+    kept = (
+        marked.filter(named | F.col("component_id").isNull())
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col(key).alias("id"), "fp")).alias("least"))
+        .select("least.id", "least.fp")
+    )
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
-    kept = marked.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("id"))
-    named = rows.join(kept.distinct(), "id", "left_semi").dropDuplicates(["id"])
-    nameless = rows.filter(F.col("id").isNull()).withColumn("fp", fingerprints(F.col("text")))
-    orphans = marked.filter(F.col("component_id").isNull()).select("fp", "root").distinct()
-    alone = nameless.join(orphans, "fp").dropDuplicates(["root"])
-    return named.select("row.*").unionByName(alone.select("row.*"))
+    own = rows.withColumn("fp", fingerprints(F.col("text"))).drop("text")
+    named_rows = own.filter(F.col("id").isNotNull()).join(kept, ["id", "fp"], "left_semi")
+    nameless = own.filter(F.col("id").isNull()).join(
+        kept.filter(F.col("id").isNull()).select("fp"), "fp", "left_semi"
+    )
+    return (
+        named_rows.dropDuplicates(["id", "fp"])
+        .select("row.*")
+        .unionByName(nameless.dropDuplicates(["fp"]).select("row.*"))
+    )

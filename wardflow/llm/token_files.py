@@ -66,6 +66,13 @@ def library(model: Broadcast) -> Encoder:
     return _loaded[key]
 
 
+def narrow(ids: np.ndarray) -> np.ndarray:
+    """The ids in 16 bits; an id that does not fit is an error."""
+    if len(ids) and int(ids.max()) > 0xFFFF:
+        raise ValueError(f"token id {int(ids.max())} does not fit 16 bits")
+    return ids.astype(np.uint16)
+
+
 def packed(blocks: list[np.ndarray]) -> list[bytes]:
     """Blocks of ids as payloads."""
     return [
@@ -130,7 +137,7 @@ def _write(model: Broadcast) -> Callable:
                 keys = batch.column(0).slice(start, len(texts)).to_pylist()
                 start += len(texts)
                 for key, ids in zip(keys, encode(texts.to_pylist()), strict=True):
-                    whole = np.append(np.frombuffer(ids, "<u4").astype(np.uint16), np.uint16(END))
+                    whole = np.append(narrow(np.frombuffer(ids, "<u4")), np.uint16(END))
                     at = 0
                     while at < len(whole):
                         n = min(len(whole) - at, range_coder.BLOCK - size)

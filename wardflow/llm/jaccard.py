@@ -125,29 +125,29 @@ def with_sets(docs: DataFrame, text: str, size: int, whole: bool) -> DataFrame:
 # ---- rows that can reach the bound -----------------------------------------------------------
 
 
-def _possible(rows: DataFrame) -> DataFrame:
-    """Nodes of rows (node, n, shingles) with at most ``n // SLACK`` shingles that no other row has."""
-    each = rows.select("node", F.explode("shingles").alias("shingle"))
-    # a shingle of one row names that row, so nothing is joined back to the shingles
-    alone = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+def _possible(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes (node, n, ...) with at most ``n // SLACK`` shingles that no other node has.
+
+    ``sets`` are rows (node, shingles), copies included.
+    """
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    # a shingle of one node names that node, so nothing is joined back to the shingles
+    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
     lacking = alone.groupBy("node").agg(F.count("*").alias("lacking"))
-    return (
-        rows.select("node", "n")
-        .join(lacking, "node", "left")
-        .filter(F.coalesce("lacking", F.lit(0)) <= F.floor(F.col("n") / SLACK))
-        .select("node")
-    )
+    few = F.coalesce("lacking", F.lit(0)) <= F.floor(F.col("n") / SLACK)
+    return nodes.join(lacking, "node", "left").filter(few).drop("lacking")
 
 
 def _incidence(rows: DataFrame) -> DataFrame:
     """(node, n, shingles): shared shingles only, rarest first, of rows that share enough of them."""
-    each = materialize(rows.select("node", "n", F.explode("shingles").alias("shingle")))
+    each = rows.select("node", F.explode("shingles").alias("shingle"))
     counted = attach(each, ["shingle"], "node", df=("count", "*")).filter("df > 1")
-    gathered = counted.groupBy("node", "n").agg(
+    gathered = counted.groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("found")
     )
     enough = F.col("n") - F.size("found") <= F.floor(F.col("n") / SLACK)
-    return gathered.filter(enough).select("node", "n", F.col("found.shingle").alias("shingles"))
+    found = rows.select("node", "n").join(gathered, "node").filter(enough)
+    return found.select("node", "n", F.col("found.shingle").alias("shingles"))
 
 
 # ---- blocks ----------------------------------------------------------------------------------
@@ -356,13 +356,14 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     sets = materialize(with_sets(named, "text", size, whole=False))
     filled = sets.filter("n > 0")
     first = F.min(F.struct(F.col("key").isNull().alias("nameless"), "key", "print")).alias("first")
-    nodes = materialize(filled.groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"), first))
+    nodes = materialize(filled.groupBy("node").agg(F.first("n").alias("n"), first))
 
-    left = nodes.join(_possible(nodes), "node", "left_semi").select("first.key", "first.print")
+    left = materialize(_possible(filled, nodes).select("first.key", "first.print"))
     # by text and key, so copies of one text are not one key of the join
     same = (F.col("d.print") == F.col("l.print")) & F.col("d.key").eqNullSafe(F.col("l.key"))
-    texts = named.alias("d").join(left.distinct().alias("l"), same, "left_semi").select("text")
-    whole = with_sets(texts, "text", size, whole=True).filter("n > 0").dropDuplicates(["node"])
+    texts = named.alias("d").join(left.alias("l"), same, "left_semi").select("text")
+    whole = materialize(with_sets(texts, "text", size, whole=True).filter("n > 0").dropDuplicates(["node"]))
+    whole = materialize(_possible(whole, whole))
     roots = _roots(materialize(_incidence(whole)))
 
     classes = nodes.select("node", F.col("first.key").alias("least")).join(roots, "node", "left")

@@ -431,13 +431,17 @@ def edits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = Window.partitionBy("key")
     parts = segments.groupBy("key", "part").agg(F.count("*").alias("n"))
     many = parts.withColumn("all", F.sum("n").over(sizes)).filter(F.col("all") > 1).select("key").distinct()
-    segments = materialize(segments.join(many.withColumn("long", F.lit(True)), "key", "left"))
+    # a search is costly for the bytes it reads, so tasks are not merged by bytes
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    segments = segments.join(many.withColumn("long", F.lit(True)), "key", "left")
+    segments = materialize(segments.repartition(tasks, "key", "part", "chunk"))
     tail = F.array(*[F.lit(x).cast("long") for x in TAIL])
 
     short = segments.filter("long is null").withColumn("path", _paths("rows", tail, F.array(F.lit(0).cast("long")))[0])
     short = short.select("key", "rows", F.lit(0).cast("long").alias("entry"), "path", F.lit(0).alias("at"))
 
-    long = materialize(_numbered(segments.filter("long")).select("key", "at", "rows"))
+    long = _numbered(segments.filter("long")).select("key", "at", "rows")
+    long = materialize(long.repartition(tasks, "key", "at"))
     if not long.isEmpty():
         costs = long.select("key", "at", _matrix("rows").alias("item"))
         after = _tree(costs, _cost_merge, _cost_push, TAIL)

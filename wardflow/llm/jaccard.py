@@ -358,10 +358,11 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     first = F.min(F.struct(F.col("key").isNull().alias("nameless"), "key", "print")).alias("first")
     nodes = materialize(filled.groupBy("node").agg(F.first("n").alias("n"), first))
 
-    left = materialize(_possible(filled, nodes).select("first.key", "first.print"))
-    # by text and key, so copies of one text are not one key of the join
+    left = _possible(filled, nodes).select("first.key", "first.print")
+    # by text and key, so copies of one text are not one key of the join; what is left grows with
+    # the input, so the plan is the one for large tables at any size
     same = (F.col("d.print") == F.col("l.print")) & F.col("d.key").eqNullSafe(F.col("l.key"))
-    texts = named.alias("d").join(left.alias("l"), same, "left_semi").select("text")
+    texts = named.alias("d").join(left.hint("merge").alias("l"), same, "left_semi").select("text")
     whole = materialize(with_sets(texts, "text", size, whole=True).filter("n > 0").dropDuplicates(["node"]))
     whole = materialize(_possible(whole, whole))
     roots = _roots(materialize(_incidence(whole)))

@@ -95,15 +95,17 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """``df`` written as a work table in the shared folder and read back.
 
     Cuts the lineage so that later steps do not repeat the work, survives lost executors, and
-    gives the planner the measured size: whether it is broadcast follows from that.
+    gives the planner the measured size: whether it is broadcast follows from that.  With ``keep``
+    it outlives the innermost ``work_tables`` around it, as the result of what is done there.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/work/{uuid.uuid4().hex}"
-    for made in getattr(_made, "open", [])[-1:]:
+    around = getattr(_made, "open", [])
+    for made in around[-2:-1] if keep else around[-1:]:
         made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from wardflow.llm.batches import Words, mixed, pieces, raw, shingle_hashes
 from wardflow.llm.components import components
 from wardflow.llm.salted import attach
-from wardflow.session import materialize
+from wardflow.session import materialize, work_tables
 
 SHINGLE = 5
 
@@ -126,7 +126,7 @@ def with_sets(docs: DataFrame, text: str, size: int, whole: bool) -> DataFrame:
 
 
 def _possible(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The nodes (node, n, ...) with at most ``n // SLACK`` shingles that no other node has.
+    """The rows of ``nodes`` (node, n, ...) with at most ``n // SLACK`` shingles that no other node has.
 
     ``sets`` are rows (node, shingles), copies included.
     """
@@ -140,6 +140,7 @@ def _possible(sets: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _incidence(rows: DataFrame) -> DataFrame:
     """(node, n, shingles): shared shingles only, rarest first, of rows that share enough of them."""
+    rows = materialize(rows)
     each = rows.select("node", F.explode("shingles").alias("shingle"))
     counted = attach(each, ["shingle"], "node", df=("count", "*")).filter("df > 1")
     gathered = counted.groupBy("node").agg(
@@ -353,19 +354,23 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """``key``, ``n_shingles`` and ``component_id`` of every row."""
     printed = F.xxhash64(text)
     named = docs.select(F.col(key).alias("key"), printed.alias("print"), F.col(text).alias("text"))
-    sets = materialize(with_sets(named, "text", size, whole=False))
-    filled = sets.filter("n > 0")
-    first = F.min(F.struct(F.col("key").isNull().alias("nameless"), "key", "print")).alias("first")
-    nodes = materialize(filled.groupBy("node").agg(F.first("n").alias("n"), first))
-
-    left = _possible(filled, nodes).select("first.key", "first.print")
-    # by text and key, so copies of one text are not one key of the join; what is left grows with
-    # the input, so the plan is the one for large tables at any size
-    same = (F.col("d.print") == F.col("l.print")) & F.col("d.key").eqNullSafe(F.col("l.key"))
-    texts = named.alias("d").join(left.hint("merge").alias("l"), same, "left_semi").select("text")
-    whole = materialize(with_sets(texts, "text", size, whole=True).filter("n > 0").dropDuplicates(["node"]))
-    whole = materialize(_possible(whole, whole))
-    roots = _roots(materialize(_incidence(whole)))
+    spark = docs.sparkSession
+    with work_tables(spark):  # the bands go as soon as they have been read
+        banded = materialize(with_sets(named, "text", size, whole=False))
+        sets = materialize(banded.drop("shingles"), keep=True)
+        filled = sets.filter("n > 0")
+        first = F.min(F.struct(F.col("key").isNull().alias("nameless"), "key", "print")).alias("first")
+        nodes = materialize(filled.groupBy("node").agg(F.first("n").alias("n"), first), keep=True)
+        left = _possible(banded.filter("n > 0"), nodes).select("first.key", "first.print")
+        # by text and key, so copies of one text are not one key of the join; what is left grows
+        # with the input, so the plan is the one for large tables at any size
+        same = (F.col("d.print") == F.col("l.print")) & F.col("d.key").eqNullSafe(F.col("l.key"))
+        texts = named.alias("d").join(left.hint("merge").alias("l"), same, "left_semi").select("text")
+        whole = materialize(with_sets(texts, "text", size, whole=True).filter("n > 0"), keep=True)
+    with work_tables(spark):
+        rows = materialize(_incidence(_possible(whole, whole.dropDuplicates(["node"]))), keep=True)
+    with work_tables(spark):
+        roots = materialize(_roots(rows), keep=True)
 
     classes = nodes.select("node", F.col("first.key").alias("least")).join(roots, "node", "left")
     classes = materialize(classes.withColumn("root", F.coalesce("root", "node")))

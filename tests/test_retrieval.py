@@ -12,6 +12,7 @@ from wardflow.config import Settings
 from wardflow.functions.embedding import HashedWords, embed
 from wardflow.functions.vectors import cosine
 from wardflow.operators import answer as an
+from wardflow.operators import postings
 from wardflow.operators import retrieval as rt
 from wardflow.operators import topk
 
@@ -83,11 +84,11 @@ def ids_of(texts, per_doc=3):
     return [f"d{i // per_doc:03d}::{i % per_doc}" for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("block", [topk.QUERY_BLOCK, 2])
-def test_bm25_equals_brute_force(spark, corpus, block, monkeypatch):
+@pytest.mark.parametrize("chunks, first", [(postings.BLOCK_CHUNKS, 4), (3, 1)])
+def test_bm25_equals_brute_force(spark, corpus, chunks, first, monkeypatch):
     texts, df = corpus
-    original = topk.best_matches
-    monkeypatch.setattr(rt, "best_matches", lambda *a: original(*a, query_block=block))
+    monkeypatch.setattr(postings, "BLOCK_CHUNKS", chunks)
+    monkeypatch.setattr(postings, "FIRST_BLOCKS", first)
     got = listed(rt.bm25_search(queries_df(spark, QUERIES), df, 10))
     for i, query in enumerate(QUERIES):
         expected = best(ids_of(texts), okapi(texts, query), 10, positive=True)
@@ -106,10 +107,7 @@ def test_two_thousand_questions_take_the_same_way(spark):
         [(f"q{i:04d}", v.tolist()) for i, v in enumerate(wanted)],
         "query_id string, embedding array<double>",
     )
-    found = rt.dense_search(queries, index, 3)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") >= 4 and "Generate" not in plan
-    got = listed(found)
+    got = listed(rt.dense_search(queries, index, 3))
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     for i, w in enumerate(wanted):
         scores = unit @ w / np.linalg.norm(w)
@@ -158,13 +156,70 @@ def test_dense_equals_numpy(spark, limit, monkeypatch):
         assert got[i] == best([r[0] for r in rows], list(scores), 20, positive=False)
 
 
-def test_a_task_returns_at_most_k_rows_per_query(spark, corpus):
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_of_the_searches(spark, corpus):
+    """BM25 is joins and sums on the JVM; a dense search returns a task's best k."""
     _, df = corpus
-    queries = queries_df(spark, ["the of and"])
-    plan = rt.bm25_search(queries, df, 4)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(rt.bm25_search(queries_df(spark, ["the of and"]), df, 4))
+    assert not any(x in plan for x in ("Python", "Arrow", "Cartesian", "NestedLoop"))
+    index = spark.createDataFrame([("c", "d", 0, [1.0])], "chunk_id string, doc_id string, ordinal int, embedding array<double>")
+    plan = plan_of(rt.dense_search(index.select(F.lit(1).alias("query_id"), "embedding"), index, 4))
     assert "MapInArrow" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_postings_hold_every_term_once(spark, corpus):
+    texts, df = corpus
+    built = postings.build(df)
+    wanted = {}
+    for i, text in enumerate(texts):
+        for term in tokenize(text):
+            wanted[ids_of(texts)[i], term] = wanted.get((ids_of(texts)[i], term), 0) + 1
+    rows = built.rows.join(built.names.select("no", "chunk_id"), "no").collect()
+    assert {(r["chunk_id"], r["term"]): r["tf"] for r in rows} == wanted and len(rows) == len(wanted)
+    heads = {(r["term"], r["block"]): r for r in built.heads.collect()}
+    for r in rows:
+        assert r["length"] == len(tokenize(texts[ids_of(texts).index(r["chunk_id"])]))
+        assert heads[r["term"], r["block"]]["most"] > 0
+    assert sum(h["df"] for h in heads.values()) == len(wanted)
+    order = built.names.orderBy("no").select("chunk_id").collect()
+    assert [r["chunk_id"] for r in order] == sorted(ids_of(texts))
+
+
+def test_stored_postings_search_alike(spark, corpus, tmp_path):
+    """Written, read, and pruned: blocks below a question's floor are not scored."""
+    texts, df = corpus
+    postings.write(df, str(tmp_path / "index"))
+    assert len(list((tmp_path / "index/rows").glob("bucket=*"))) > 1
+    stored = postings.read(spark, str(tmp_path / "index"))
+    queries = queries_df(spark, QUERIES)
+    assert listed(postings.search(queries, stored, 7)) == listed(rt.bm25_search(queries, df, 7))
+
+
+def test_blocks_below_the_floor_are_left_out(spark, monkeypatch):
+    texts = ["rare words here"] * 5 + [f"common filler number {k}" for k in range(200)]
+    df = chunks_df(spark, texts, per_doc=1)
+    monkeypatch.setattr(postings, "BLOCK_CHUNKS", 4)
+    asked, scored = [], postings._scored
+    monkeypatch.setattr(postings, "_scored", lambda blocks, *a: asked.append(blocks.count()) or scored(blocks, *a))
+    built = postings.build(df)
+    found = postings.search(queries_df(spark, ["rare words common"]), built, 3).collect()
+    assert len(found) == 3 and {r["chunk_id"] for r in found} <= set(ids_of(texts, 1)[:5])
+    assert built.heads.select("block").distinct().count() > 20 and sum(asked) < 12
+
+
+def test_awkward_postings(spark):
+    empty = chunks_df(spark, ["x"]).filter("false")
+    assert postings.search(queries_df(spark, ["x"]), postings.build(empty), 3).count() == 0
+    df = chunks_df(spark, ["", None, "one ONE one-two", "..."], per_doc=1)
+    built = postings.build(df)
+    assert built.corpus.first()["n"] == 4 and {(r["term"], r["tf"]) for r in built.rows.collect()} == {("one", 3), ("two", 1)}
+    [hit] = postings.search(queries_df(spark, ["two", "", None, "zzz"]), built, 3).collect()
+    assert hit["query_id"] == "q0" and hit["chunk_id"] == "d002::0"
+
+
 def test_rrf(spark):
     """Three rankers over a handful of chunks, against the sum written out."""
     lists = {"one": "kmpqz", "two": "zpx", "three": "qyzk"}

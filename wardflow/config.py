@@ -60,6 +60,10 @@ class Settings:
     def index_path(self) -> str:
         return f"{self.root}/index/guidelines"
 
+    @property
+    def postings_path(self) -> str:
+        return f"{self.root}/index/postings"
+
     @property
     def quality_path(self) -> str:
         return f"{self.root}/quality/results"

@@ -15,7 +15,8 @@ from wardflow.functions import text as tx
 from wardflow.functions.embedding import HashedWords, ModelLoader, embed
 from wardflow.functions.vectors import cosine
 from wardflow.operators.gold import find_windows, worst_windows
-from wardflow.operators.retrieval import TermStatistics, hybrid_search, term_statistics
+from wardflow.operators.postings import Postings, build
+from wardflow.operators.retrieval import TermStatistics, hybrid_search
 from wardflow.operators.topk import SCORE_DECIMALS
 from wardflow.session import materialize
 
@@ -50,7 +51,7 @@ def model_scorer(load: Callable[[], PairModel]) -> PairScorer:
     return lambda pairs: pairs.withColumn("score", run("query", "text"))
 
 
-def lexical_scorer(queries: DataFrame, statistics: TermStatistics) -> PairScorer:
+def lexical_scorer(queries: DataFrame, statistics: TermStatistics | Postings) -> PairScorer:
     """Log-odds of the share of the query's term weight that the text covers.
 
     A term weighs ``ln(1 + (n - df + 0.5) / (df + 0.5))``, so a term the corpus lacks weighs
@@ -181,14 +182,15 @@ def answer_questions(
     *,
     scorer: PairScorer | None = None,
     load: ModelLoader = HashedWords,
-    statistics: TermStatistics | None = None,
+    postings: Postings | None = None,
 ) -> DataFrame:
     """One row per query: answer or refusal, citations, contexts and the retrieval trace.
 
-    ``queries`` has ``query_id, query``; ``index`` chunk rows with ``embedding``.
+    ``queries`` has ``query_id, query``; ``index`` chunk rows with ``embedding``, ``postings`` their
+    inverted index (built here without one).
     """
-    statistics = statistics or term_statistics(index)
-    scorer = scorer or lexical_scorer(queries, statistics)
+    postings = postings or build(index)
+    scorer = scorer or lexical_scorer(queries, postings)
     # At most pool rows per query, and then top_n: work tables keep the searches from being
     # repeated for each of the lists made from them.
     pool = materialize(
@@ -199,7 +201,7 @@ def answer_questions(
             bm25_top_k=settings.bm25_top_k,
             rrf_k=settings.rrf_k,
             load=load,
-            statistics=statistics,
+            postings=postings,
         ).filter(F.col("fused_rank") <= settings.rerank_pool)
     )
     pairs = candidate_pairs(queries, pool, index, settings.rerank_pool)

@@ -14,15 +14,10 @@ from pyspark.sql.window import Window
 from wardflow.functions import text as tx
 from wardflow.functions.embedding import HashedWords, ModelLoader, embed
 from wardflow.functions.ids import uuid5
+from wardflow.operators import postings as ps
 from wardflow.session import materialize
 from wardflow.operators.topk import ID_COLUMNS, best_matches
 
-# BM25 (Okapi) parameters.
-BM25_K1 = 1.5
-BM25_B = 0.75
-BM25_EPSILON = 0.25
-
-
 # BM25 corpus statistics
 
 
@@ -35,13 +30,9 @@ class TermStatistics:
 
 
 def token_counts(chunks: DataFrame) -> DataFrame:
-    """Postings ``chunk_id, term, tf``."""
-    exploded = chunks.select("chunk_id", F.explode(tx.tokens(F.col("text"))).alias("term"))
-    return exploded.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def raw_idf(n: Column, df: Column) -> Column:
-    return F.ln(n - df + 0.5) - F.ln(df + 0.5)
+    """Postings ``chunk_id, term, tf``, counted inside each chunk."""
+    tokens = F.coalesce(tx.tokens(F.col("text")), F.array().cast("array<string>"))
+    return chunks.select("chunk_id", F.inline(ps.counted(tokens))).withColumn("tf", F.col("tf").cast("long"))
 
 
 def term_statistics(chunks: DataFrame) -> TermStatistics:
@@ -72,55 +63,10 @@ def term_statistics(chunks: DataFrame) -> TermStatistics:
         F.coalesce(F.sum("df"), F.lit(0)).alias("n"), F.avg(F.col("length") / F.col("df")).alias("avgdl")
     )
     n = corpus.select("n").scalar()
-    terms = counted.filter(F.col("term") != "").select(
-        "term", "df", raw_idf(n, F.col("df")).alias("idf")
-    )
-    floor = terms.agg(F.avg("idf") * BM25_EPSILON).scalar()
-    idf = F.when(F.col("idf") < 0, floor).otherwise(F.col("idf"))
-    return TermStatistics(corpus, terms.withColumn("idf", idf))
+    return TermStatistics(corpus, ps.with_idf(counted.filter(F.col("term") != ""), n))
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    """``query_id, term, qtf``: a repeated query word counts as often as it occurs."""
-    exploded = queries.select("query_id", F.explode(tx.tokens(F.col("query"))).alias("term"))
-    return exploded.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
-
-
-# Scorers
-
-
-class Bm25Scorer:
-    """Query side: ``query_id, term, weight, avgdl``.  Corpus side: ``tokens``."""
-
-    def __init__(self, queries: pa.Table):
-        self.query_ids = pc.unique(queries["query_id"].combine_chunks())
-        column = pc.index_in(queries["query_id"], value_set=self.query_ids).to_numpy()
-        terms = queries["term"].combine_chunks()
-        self.vocabulary = pc.unique(terms)
-        row = pc.index_in(terms, value_set=self.vocabulary).to_numpy(zero_copy_only=False)
-        self.weights = np.zeros((len(self.vocabulary), len(self.query_ids)))
-        self.weights[row, column] = queries["weight"].to_numpy()
-        self.avgdl = queries["avgdl"][0].as_py()
-
-    def score(self, block: pa.Table) -> np.ndarray:
-        lists = block["tokens"].combine_chunks()
-        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        term = pc.index_in(pc.list_flatten(lists), value_set=self.vocabulary)
-        known = pc.is_valid(term).to_numpy(zero_copy_only=False)
-        term = pc.fill_null(term, 0).to_numpy(zero_copy_only=False)[known].astype(np.int64)
-        chunk = np.repeat(np.arange(len(lengths)), lengths)[known]
-        # (chunk, term) pairs of this block only, with their frequency
-        pair, tf = np.unique(chunk * len(self.vocabulary) + term, return_counts=True)
-        chunk, term = np.divmod(pair, len(self.vocabulary))
-        damp = BM25_K1 * (1 - BM25_B + BM25_B * lengths[chunk] / self.avgdl)
-        impact = tf * (BM25_K1 + 1) / (tf + damp)
-        out = np.full((len(self.query_ids), len(lengths)), -np.inf)
-        bounds = np.searchsorted(chunk, np.arange(len(lengths) + 1))
-        for i in np.unique(chunk):
-            cut = slice(bounds[i], bounds[i + 1])
-            out[:, i] = impact[cut] @ self.weights[term[cut]]
-        out[out <= 0] = -np.inf
-        return out
+# Dense scores
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -149,22 +95,13 @@ class CosineScorer:
 
 
 def bm25_search(
-    queries: DataFrame, chunks: DataFrame, top_k: int = 20, statistics: TermStatistics | None = None
+    queries: DataFrame, chunks: DataFrame, top_k: int = 20, postings: ps.Postings | None = None
 ) -> DataFrame:
-    """Each query's best ``top_k`` chunks by BM25 with a score above 0."""
-    statistics = statistics or term_statistics(chunks)
-    weighted = (
-        query_terms(queries)
-        .join(statistics.terms, "term")
-        .select(
-            "query_id",
-            "term",
-            (F.col("qtf") * F.col("idf")).alias("weight"),
-            statistics.corpus.select("avgdl").scalar().alias("avgdl"),
-        )
-    )
-    corpus = chunks.select(*ID_COLUMNS, tx.tokens(F.col("text")).alias("tokens"))
-    return best_matches(corpus, weighted, Bm25Scorer, top_k)
+    """Each query's best ``top_k`` chunks by BM25 with a score above 0.
+
+    ``postings`` is the index of ``chunks``; without one it is built for this search.
+    """
+    return ps.search(queries, postings or ps.build(chunks), top_k)
 
 
 def dense_search(queries: DataFrame, index: DataFrame, top_k: int = 20) -> DataFrame:
@@ -217,15 +154,16 @@ def hybrid_search(
     bm25_top_k: int = 20,
     rrf_k: int = 60,
     load: ModelLoader = HashedWords,
-    statistics: TermStatistics | None = None,
+    postings: ps.Postings | None = None,
 ) -> DataFrame:
     """Dense and BM25 lists of each query, fused.
 
-    ``queries`` has ``query_id, query``; ``index`` chunk rows with their ``embedding``.
+    ``queries`` has ``query_id, query``; ``index`` chunk rows with their ``embedding``;
+    ``postings`` the inverted index of the same chunks.
     """
     embedded = queries.select("query_id", embed(F.col("query"), load).alias("embedding"))
     dense = dense_search(embedded, index, dense_top_k)
-    bm25 = bm25_search(queries, index, bm25_top_k, statistics)
+    bm25 = bm25_search(queries, index, bm25_top_k, postings)
     return fuse_rankings(dense, bm25, rrf_k)
 
 

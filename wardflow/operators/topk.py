@@ -4,19 +4,19 @@ Every query is compared with every corpus row, but pairs never become rows: a ta
 one Arrow block of the corpus against the whole query batch as a matrix and keeps only the
 best k per query.  What leaves a task is at most k rows per query.
 
-Queries go to the tasks in blocks of a stated size, each a broadcast of its own, and the corpus
-is read in place for each block: it is never shuffled or copied, and a batch of any size takes
-the same way.
+Queries go to the tasks in blocks of about a stated size, each a broadcast of its own that goes when
+its block has been written, and the corpus is read in place for each block: it is never shuffled or
+copied, and a batch of any size takes the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -112,10 +112,8 @@ def _schema(query_ids: DataFrame, corpus: DataFrame) -> str:
 
 
 def _with_broadcast(
-    corpus: DataFrame, queries: pa.Table, factory: ScorerFactory, k: int, schema: str
+    corpus: DataFrame, shared: Broadcast, factory: ScorerFactory, k: int, schema: str
 ) -> DataFrame:
-    shared = corpus.sparkSession.sparkContext.broadcast(queries)
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = factory(shared.value)
         best = _Best(scorer, k)
@@ -133,34 +131,32 @@ def best_matches(
     corpus: DataFrame,
     queries: DataFrame,
     factory: ScorerFactory,
-    k: int,
+    k_best: int,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """``query_id, chunk_id, doc_id, ordinal, score, rank`` of each query's best k rows.
+    """``query_id, chunk_id, doc_id, ordinal, score, rank`` of each query's best ``k_best``.
 
     ``corpus`` has ``chunk_id, doc_id, ordinal`` and what the scorer reads; ``queries`` one or
     more rows per ``query_id``.  Exact: every corpus row is scored for every query.  Scores are
     ranked at ``SCORE_DECIMALS`` decimals, so two that differ only beyond them are ties.
     """
-    schema = _schema(queries, corpus)
+    spark, schema = corpus.sparkSession, _schema(queries, corpus)
     queries = materialize(queries)
-    # query ids alone, in order; every query_block-th begins a block
-    order = Window.orderBy("query_id")
-    firsts = (
-        queries.select("query_id")
-        .distinct()
-        .withColumn("_row", F.row_number().over(order) - 1)
-        .filter(F.col("_row") % query_block == 0)
-    )
-    starts = [r["query_id"] for r in firsts.orderBy("_row").collect()]
-    found = []
-    for start, stop in zip(starts, [*starts[1:], None], strict=True):
-        block = queries.filter(F.col("query_id") >= F.lit(start))
-        if stop is not None:
-            block = block.filter(F.col("query_id") < F.lit(stop))
-        found.append(_with_broadcast(corpus, block.toArrow(), factory, k, schema))
-    nothing = corpus.sparkSession.createDataFrame([], schema)
-    return rank_matches(reduce(DataFrame.unionByName, found) if found else nothing, k)
+    # blocks by the hash of the id, about query_block ids each; no task sees all ids
+    blocks = max(1, -(-queries.select("query_id").distinct().count() // query_block))
+    placed = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    found = spark.createDataFrame([], schema)
+    for k in range(blocks):
+        block = placed.filter(F.col("_block") == k).drop("_block").toArrow()
+        if block.num_rows == 0:
+            continue
+        shared = spark.sparkContext.broadcast(block)
+        part = _with_broadcast(corpus, shared, factory, k_best, schema)
+        if blocks > 1:  # written out, so that its broadcast can go
+            part = materialize(rank_matches(part, k_best).drop("rank"))
+            shared.destroy()
+        found = found.unionByName(part)
+    return rank_matches(found, k_best)
 
 
 def rank_matches(found: DataFrame, k: int) -> DataFrame:

@@ -740,6 +740,21 @@ oracle(
     GROUP BY term
     """,
 )
+oracle(
+    "joi4_stored_postings",
+    """
+    SELECT term, count(*) AS chunks, CAST(sum(tf) AS BIGINT) AS occurrences FROM x_postings
+    GROUP BY term
+    """,
+)
+oracle(
+    "ret0_index_build",
+    """
+    SELECT points, documents, terms, postings, round(avgdl, 6) AS avgdl
+    FROM (SELECT count(*) AS points, count(DISTINCT doc_id) AS documents FROM x_chunks),
+         (SELECT count(*) AS terms, CAST(sum(df) AS BIGINT) AS postings FROM x_df), x_corpus
+    """,
+)
 oracle(
     "snk6_index_upsert", "SELECT count(*) AS points, count(DISTINCT doc_id) AS documents FROM x_chunks"
 )

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.config import Settings
 from wardflow.functions.embedding import HashedWords, ModelLoader
-from wardflow.operators import gold, quality, silver
+from wardflow.operators import gold, postings, quality, silver
 from wardflow.operators.chunking import build_chunks
 from wardflow.operators.lineage import Lineage
 from wardflow.operators.retrieval import index_rows
 from wardflow.schemas import INDEX
-from wardflow.session import prepare, work_tables
+from wardflow.session import materialize, prepare, work_tables
 from wardflow.sources import messages as msg
 from wardflow.sources.tables import KeyedTable, MergeMetrics
 from wardflow.streaming.ingest import ingest_available
@@ -115,9 +115,13 @@ def stage_build_gold(lineage: Lineage, as_of=None) -> dict[str, int]:
 
 def stage_rag_index(lineage: Lineage) -> int:
     spark, settings = lineage.spark, lineage.settings
-    with lineage.stage("rag_index", inputs=["corpus"], outputs=["table.index"]) as run:
-        chunks = build_chunks(spark, settings.corpus_dir)
+    with (
+        lineage.stage("rag_index", inputs=["corpus"], outputs=["table.index"]) as run,
+        work_tables(spark),
+    ):
+        chunks = materialize(build_chunks(spark, settings.corpus_dir))
         points = build_index(chunks, index_table(spark, settings), recreate=True)
+        postings.write(chunks, settings.postings_path)
         run.rows(points=points)
         return points
 

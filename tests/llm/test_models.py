@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import corpus_pipeline
 import numpy as np
 import pytest
 from llm_fixtures import SF_DIR, documents, frame, words
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wardflow.llm import decontaminate, language, quality, secrets, simhash, toxicity
 from wardflow.llm.batches import ready
@@ -121,7 +124,7 @@ def test_held_out_is_a_fifth(spark):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in QUERIES and set(ORACLE_SQL) <= set(QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None
 
@@ -158,7 +161,14 @@ def test_pipeline_stages(spark, tmp_path):
             assert {r.doc_id: r.text for r in kept} == wanted
             assert all(r.n_chars == len(r.text) for r in kept)
         else:
-            assert len(kept) == len(given)
+            assert len(kept) == len(given) and set(docs.columns) < set(after.columns)
+            plain = Tokenizer.from_file(corpus_pipeline.TOKENIZER)
+            assert sorted(map(repr, given)) == sorted(repr(r) for r in after.select(docs.columns).collect())
+            for r in kept:
+                ids = np.frombuffer(r.ids, "<u4").tolist()
+                assert len(ids) == r.n_tokens and hashlib.sha256(r.ids).hexdigest() == r.ids_sha256
+                assert plain.decode(ids, skip_special_tokens=False) == r.text
+                assert hashlib.sha256(r.text.encode()).hexdigest() == r.decoded_sha256
         docs = after
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,7 +61,55 @@ def test_novel_strings_need_context_and_novelty():
     assert kinds(f"the bearer {random} was sent") == ["novel"]
     assert kinds(f"the parcel {random} was sent") == []
     assert kinds("the bearer " + "xy1" * 10 + " was sent") == []
-    assert kinds(f"seen {random} and {random} so the key is {random}") == []
+    assert kinds(f"seen {random} and {random} so the key is {random}") == ["novel"] * 3
+
+
+def brute_novel(scanner, text):
+    """Novel spans with every candidate held against every base span."""
+    base, places, secret = scanner.base(text), {}, set()
+    for m in secrets.CANDIDATE.finditer(text):
+        start, end = m.span()
+        if any(s <= start and end <= e for s, e, _ in base) or not secrets.DIGIT.search(m.group()):
+            continue
+        parts = {(start, end)}
+        parts |= {p.span() for p in secrets.PART.finditer(text, start, end) if secrets.DIGIT.search(p.group())}
+        for a, b in parts:
+            places.setdefault(text[a:b], set()).add((a, b))
+        near = text[max(0, start - secrets.CONTEXT) : start], text[end : end + secrets.CONTEXT]
+        if not any(secrets.SENSITIVE.search(t) for t in near):
+            continue
+        around = [text[max(0, start - secrets.AROUND) : start], text[end : end + secrets.AROUND]]
+        whole = text.count(text[start:end]) == 1
+        if whole and scanner.marginal(around[0], m.group(), around[1]) >= secrets.NOVEL_BYTES * (end - start):
+            secret |= {text[a:b] for a, b in parts}
+    spans = sorted((p for x in secret for p in places[x]), key=lambda p: (p[0], -p[1]))
+    kept = []
+    for a, b in spans:
+        if b > max((e for _, e in kept), default=0):
+            kept.append((a, b))
+    return kept
+
+
+def test_novel_spans_of_the_shared_documents(spark):
+    """Strings that stand once in a text: the measure is recomputed without the linear sweep."""
+    scanner, found = secrets.Scanner(), 0
+    for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        candidates = [m.group() for m in secrets.CANDIDATE.finditer(row.text or "")]
+        if len(set(candidates)) < len(candidates):
+            continue
+        got = [(a, b) for a, b, kind in scanner.spans(row.text or "")[1] if kind == "novel"]
+        assert got == brute_novel(scanner, row.text or "")
+        found += len(candidates)
+    assert found > 0
+
+
+def test_time_grows_with_the_text():
+    """Twenty thousand digests in one text, each a base span."""
+    lines = [hashlib.sha256(str(k).encode()).hexdigest() for k in range(20_000)]
+    scanner, began = secrets.Scanner(), time.process_time()
+    base, spans = scanner.spans("\n".join(lines))
+    assert len(base) == 20_000 and spans == base
+    assert time.process_time() - began < 5
 
 
 def test_redaction_masks_overlapping_spans_once():

@@ -273,31 +273,44 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encoded(text: Column, model: Broadcast) -> Column:
-    """Ids of a text, as little-endian unsigned 32-bit integers in one binary value."""
-    return per_text(
-        lambda texts: pa.array(loaded(model).encode(texts.to_pylist()), pa.binary()), "binary"
-    )(text)
+FOUND = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def digests(text: Column, model: Broadcast) -> Column:
-    """Number of ids, and SHA-256 of the ids and of the text decoded from them."""
+def digests(text: Column, model: Broadcast, with_ids: bool = False) -> Column:
+    """Number of ids, and SHA-256 of the ids and of the text decoded from them.
+
+    ``with_ids`` adds the ids, as little-endian unsigned 32-bit integers in one binary value.
+    """
 
     def one(texts: pa.Array) -> pa.Array:
         bpe, counts, ids_sha, text_sha = loaded(model), [], [], []
-        for ids in bpe.encode(texts.to_pylist()):
+        encoded = bpe.encode(texts.to_pylist())
+        for ids in encoded:
             counts.append(len(ids) // 4)
             ids_sha.append(hashlib.sha256(ids).hexdigest())
             text_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-            ["n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        columns = [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+        names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            columns, names = [*columns, pa.array(encoded, pa.binary())], [*names, "ids"]
+        return pa.StructArray.from_arrays(columns, names)
 
-    return per_text(one, "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
+    return per_text(one, FOUND + ", ids binary" if with_ids else FOUND)(text)
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` with the digests of each row's ids and decoded text."""
     found = digests(F.col(text), vocabulary(docs.sparkSession, path))
     return docs.select(F.col(key), found.alias("found")).select(key, "found.*")
+
+
+def with_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with the ids of each row's text and their digests.
+
+    All columns stay, the text too; one named like an added column is replaced by it.
+    """
+    found = digests(F.col(text), vocabulary(docs.sparkSession, path), with_ids=True)
+    names = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    kept = [c for c in docs.columns if c not in names]
+    rows = docs.select(F.struct(*kept).alias("row"), found.alias("found"))
+    return rows.select("row.*", *[F.col(f"found.{c}") for c in names])

@@ -105,9 +105,14 @@ class Scanner:
         """Copies of incompressible strings in a sensitive context that no base span covers."""
         places: dict[str, list[tuple[int, int]]] = {}
         secret = set()
+        # base spans come by start: how far those that began so far reach
+        begun, reach = 0, 0
         for m in CANDIDATE.finditer(text):
             start, end = m.span()
-            if any(s <= start and end <= e for s, e, _ in base):
+            while begun < len(base) and base[begun][0] <= start:
+                reach = max(reach, base[begun][1])
+                begun += 1
+            if end <= reach:
                 continue
             candidate = m.group()
             if not DIGIT.search(candidate):

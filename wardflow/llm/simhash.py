@@ -209,14 +209,18 @@ def links(prints: DataFrame, column: str = "fp") -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``fp`` (signed), ``root`` (a fingerprint of the component), ``component_id``."""
     rows = materialize(docs.select(F.col(key), fingerprints(F.col(text)).alias("fp")))
+    return rows.join(print_classes(rows, key), "fp").select(key, "fp", "root", "component_id")
+
+
+def print_classes(rows: DataFrame, key: str) -> DataFrame:
+    """``fp, root, component_id`` of each fingerprint of rows ``key, fp``."""
     prints = materialize(rows.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(links(prints))
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
     of_root = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = materialize(named.select("fp", "root").join(of_root, "root"))
-    return rows.join(of_print, "fp").select(key, "fp", "root", "component_id")
+    return materialize(named.select("fp", "root", "least").join(of_root, "root"))
 
 
 def fingerprint_hex(fp: Column) -> Column:
@@ -227,25 +231,24 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """One row of each component with all its columns: one of those with the smallest key.
 
     Rows are told apart by key and fingerprint, so different texts under one key each count in the
-    component of their own.  Components in which no row has a key keep a row too.
+    component of their own.  Components in which no row has a key keep a row too.  Of rows equal in
+    both, the one whose columns hash lowest stays.  Fingerprints are computed once, with the rows.
     """
-    marked = near_duplicates(docs, key, text)
-    named = F.col(key) == F.col("component_id")
-    # the smallest fingerprint under the smallest key
+    whole = F.struct("*")
+    own = materialize(
+        docs.select(whole.alias("row"), F.col(key).alias("id"), fingerprints(F.col(text)).alias("fp"))
+    )
+    classes = print_classes(own.select("id", "fp"), "id")
+    # the smallest fingerprint under the smallest key; a fingerprint's smallest key is its own
+    named = F.col("least").eqNullSafe(F.col("component_id"))
     kept = (
-        marked.filter(named | F.col("component_id").isNull())
+        classes.filter(named)
         .groupBy("root")
-        .agg(F.min(F.struct(F.col(key).alias("id"), "fp")).alias("least"))
-        .select("least.id", "least.fp")
-    )
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
-    own = rows.withColumn("fp", fingerprints(F.col("text"))).drop("text")
-    named_rows = own.filter(F.col("id").isNotNull()).join(kept, ["id", "fp"], "left_semi")
-    nameless = own.filter(F.col("id").isNull()).join(
-        kept.filter(F.col("id").isNull()).select("fp"), "fp", "left_semi"
-    )
-    return (
-        named_rows.dropDuplicates(["id", "fp"])
-        .select("row.*")
-        .unionByName(nameless.dropDuplicates(["fp"]).select("row.*"))
+        .agg(F.min("fp").alias("fp"), F.first("component_id").alias("id"))
+        .select("fp", "id")
     )
+    # by key too, so copies of one text are not one key of the join
+    same = (F.col("o.fp") == F.col("k.fp")) & F.col("o.id").eqNullSafe(F.col("k.id"))
+    rows = own.alias("o").join(kept.alias("k"), same, "left_semi")
+    first = F.min_by("row", F.xxhash64("row")).alias("row")
+    return rows.groupBy("fp", "id").agg(first).select("row.*")

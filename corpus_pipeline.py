@@ -4,7 +4,8 @@
 2. SimHash near-dedup: one document of each group stays;
 3. benchmark decontamination: documents that hold a window of a benchmark item go;
 4. secret scans: secrets are masked in the texts, ``n_chars`` follows;
-5. BPE: each remaining text as ids, with the digests of ids and of the text decoded from them.
+5. BPE: each remaining text as ids (binary, 32-bit little-endian) beside all its columns, with the
+   digests of ids and of the text decoded from them.
 
 Every stage but the last returns the columns of ``documents``.  SQL can express neither the
 language models nor the fingerprints, so ``ORACLE_SQL`` is None and the stages are tested against
@@ -47,7 +48,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(docs, TOKENIZER)
+    return bpe.with_ids(docs, TOKENIZER)
 
 
 def _stage(fn):

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from wardflow.operators import gold as g
 from wardflow.operators import silver as s
+from wardflow.sources.tables import KeyedTable
+from wardflow.streaming.ingest import refresh_after
 
 
 @pytest.fixture
@@ -197,3 +199,21 @@ def test_gold_partial_aggregation_in_the_plan(spark):
     plan = g.aggregate_gold(silver(spark, [silver_row()]))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "partial_max" in plan and "SortAggregate" not in plan
     assert F is not None
+
+
+def test_a_refresh_reads_only_the_days_it_touches(spark, settings, tables, monkeypatch):
+    """Neither the watermark, nor the places of corrected readings, nor Gold scan all of Silver."""
+    log, sv, gd = tables
+    days = [T0 - minutes(1440 * d) for d in range(6)]
+    log.append(bronze(spark, [bronze_row(f"R{d}", recorded_at=at) for d, at in enumerate(days)]))
+    refresh_after(spark, settings)
+    late = T0 + minutes(5)
+    log.append(bronze(spark, [bronze_row("R2", recorded_at=days[3], ingested_at=late, heart_rate=140)]))
+    read, load = [], KeyedTable._load
+    monkeypatch.setattr(KeyedTable, "_load", lambda self, parts=None: read.append((self.path, parts)) or load(self, parts))
+    done = refresh_after(spark, settings)
+    assert done["silver"]["num_target_rows_updated"] == 1 and done["gold"]["gold_rows"] == 1
+    wanted = {str(days[2].date()), str(days[3].date())}
+    assert read and all(parts is not None and set(parts) <= wanted for _, parts in read)
+    assert {sv.path, gd.path} == {path for path, _ in read}
+    assert current(sv)["R2"]["heart_rate"] == 140 and gd.read().count() == 5

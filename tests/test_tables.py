@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 from pathlib import Path
 
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from wardflow.operators.upsert import merge_metrics, merge_rows, newest_rows
 from wardflow.schemas import BRONZE, SchemaError, enforce_schema
 from wardflow.session import materialize, shared_dir, work_tables
+from wardflow.sources import key_index
 from wardflow.sources.tables import AppendLog, KeyedTable, TableMissing, merge_statement
 
 KV = T.StructType().add("k", "integer", False).add("day", "string", False).add("v", "string", False)
@@ -222,3 +224,66 @@ def test_upserts_equal_last_write_wins(spark, tmp_path_factory, batches):
         table.upsert(kv(spark, [(k, d, v) for k, (d, v) in batch.items()]))
         expected.update(batch)
     assert rows(table.read()) == sorted((k, d, v) for k, (d, v) in expected.items())
+
+
+def test_an_upsert_reads_only_the_days_of_its_keys(spark, table, monkeypatch):
+    """Keys are looked up beside the table; no read of all of it, however keys move."""
+    table.upsert(kv(spark, [(k, f"d{k % 5}", "x") for k in range(50)]))
+    read, load = [], KeyedTable._load
+    monkeypatch.setattr(KeyedTable, "_load", lambda self, parts=None: read.append(parts) or load(self, parts))
+    metrics = table.upsert(kv(spark, [(1, "d3", "y"), (77, "d9", "y")]))
+    assert (metrics.num_target_rows_updated, metrics.num_target_rows_inserted) == (1, 1)
+    assert read and all(parts is not None and set(parts) <= {"d1", "d3", "d9"} for parts in read)
+    found = {r["k"]: (r["day"], r["v"]) for r in table.read(["d0", "d1", "d2", "d3", "d4", "d9"]).collect()}
+    assert len(found) == 51 and found[1] == ("d3", "y") and found[77] == ("d9", "y")
+
+
+def test_a_key_that_moved_often_is_one_row(spark, table):
+    for turn, day in enumerate(["a", "b", "c", "a", "b"]):
+        table.upsert(kv(spark, [(1, day, str(turn)), (2, "z", str(turn))]))
+    assert rows(table.read()) == [(1, "b", "4"), (2, "z", "4")]
+
+
+def test_a_job_that_dies_before_the_table_is_written(spark, table, monkeypatch):
+    """The index is written ahead, so it may name a place the table does not have yet."""
+    table.upsert(kv(spark, [(1, "a", "x")]))
+    put = KeyedTable._put
+    monkeypatch.setattr(KeyedTable, "_put", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        table.upsert(kv(spark, [(1, "b", "y"), (2, "b", "y")]))
+    monkeypatch.setattr(KeyedTable, "_put", put)
+    assert table.upsert(kv(spark, [(1, "c", "z"), (2, "b", "z")])).num_target_rows_updated == 1
+    assert rows(table.read()) == [(1, "c", "z"), (2, "b", "z")]
+
+
+def test_many_writes_of_an_index_become_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_index, "MOST_FOLDERS", 3)
+    index = key_index.KeyIndex(spark, str(tmp_path / "i"), [KV["k"]], "_part")
+    for k in range(5):
+        index.add(spark.createDataFrame([(k, "a"), (k, "b")], "k int, _part string"))
+    assert len(index._stored.folders()) <= 3
+    wanted = spark.createDataFrame([(0,), (4,), (9,)], "k int")
+    assert rows(index.find(wanted)) == [(0, "a"), (0, "b"), (4, "a"), (4, "b")]
+
+
+def test_the_index_of_a_table_from_before_is_made_once(spark, table, tmp_path):
+    table.upsert(kv(spark, [(1, "a", "x"), (2, "b", "x")]))
+    shutil.rmtree(tmp_path / "t_keys")
+    assert table.upsert(kv(spark, [(1, "b", "y")])).num_target_rows_updated == 1
+    assert rows(table.read()) == [(1, "b", "y"), (2, "b", "x")]
+
+
+def test_the_newest_value_is_noted(spark, tmp_path):
+    schema = T.StructType([*KV.fields, T.StructField("n", T.LongType(), False)])
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ("k",), "day", partition_on=("day",), newest="n")
+    frame = lambda *values: spark.createDataFrame([(k, "a", "x", n) for k, n in values], schema)
+    table.upsert(frame((1, 5), (2, 9)))
+    assert table.newest_value() == 9 and table.mark.value() == 9
+    table.upsert(frame((1, 7)))
+    assert table.newest_value() == 9
+    table.upsert(frame((1, 12)))
+    assert table.newest_value() == 12
+    table.replace(frame((1, 3)))
+    assert table.newest_value() == 3
+    table.mark = key_index.Mark(spark, str(tmp_path / "none"), schema["n"])
+    assert table.newest_value() == 3

@@ -123,15 +123,15 @@ def build_gold(
         readings = silver.read([r["day"] for r in days.collect()]).join(
             touched, ["patient_id", "recorded_hour"], "left_semi"
         )
-    rows = materialize(aggregate_gold(readings, as_of))
+    rows = gold.stage(aggregate_gold(readings, as_of))
     silver_rows = rows.agg(F.coalesce(F.sum("readings_in_window"), F.lit(0))).first()[0]
     if not silver_rows and not prune:
         return {"gold_rows": 0, "silver_rows": 0}
     if touched is None:
-        metrics = gold.upsert(rows, prune=prune)
+        metrics = gold.upsert(rows, prune=prune, unique=True)
     else:
         buckets = touched.withColumnRenamed("recorded_hour", "window_start")
-        metrics = gold.upsert(rows, replacing=buckets if prune else None)
+        metrics = gold.upsert(rows, replacing=buckets if prune else None, unique=True)
     return {
         "gold_rows": metrics.source_rows,
         "silver_rows": silver_rows,

@@ -41,9 +41,13 @@ def shape_silver(bronze: DataFrame, as_of: datetime | str | None = None) -> Data
     )
 
 
-def watermark(silver: DataFrame) -> datetime | None:
-    """Newest ingestion time already merged."""
-    return silver.agg(F.max("ingested_at")).first()[0]
+def newest_ingested(rows: DataFrame) -> datetime | None:
+    return rows.agg(F.max("ingested_at")).first()[0]
+
+
+def watermark(silver: KeyedTable) -> datetime | None:
+    """Newest ingestion time already merged, as noted beside the table."""
+    return silver.newest_value() if silver.exists() else None
 
 
 def newer_than(bronze: DataFrame, mark: datetime | None) -> DataFrame:
@@ -109,7 +113,7 @@ def build_silver(
     if mode == "rebuild":
         rows = silver.replace(shape_silver(bronze.rows(), as_of))
         return MergeMetrics(rows, 0, rows)
-    mark = watermark(silver.read()) if mode == "incremental" and silver.exists() else None
+    mark = watermark(silver) if mode == "incremental" else None
     if mark is not None:
         source = bronze.since("ingested_at", mark)
     elif mode == "offsets":

@@ -306,7 +306,7 @@ def agg2_watermark(spark, sf_dir):
 def flt1_newer_than_watermark(spark, sf_dir):
     """Rows of the whole of Bronze that a Silver built from its first half has not seen."""
     early, _ = _halves(spark, sf_dir)
-    mark = silver.watermark(silver.shape_silver(early, fx.AS_OF))
+    mark = silver.newest_ingested(silver.shape_silver(early, fx.AS_OF))
     return silver.newer_than(fx.bronze(spark, sf_dir), mark).select(
         "reading_id", "ingested_at", "kafka_offset"
     )

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from wardflow.operators.upsert import merge_rows, newest_rows
 from wardflow.schemas import enforce_schema
 from wardflow.session import materialize, work_tables
+from wardflow.sources.files import Files
+from wardflow.sources.key_index import KeyIndex, Mark
 
 
 class TableMissing(LookupError):
@@ -45,32 +47,6 @@ def merge_statement(
     )
 
 
-class _Files:
-    """Listing and deleting folders on any storage Spark can reach."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
-        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
-
-    def names(self, folder: str) -> list[str]:
-        path = self._path(folder)
-        if not self._fs.exists(path):
-            return []
-        return [s.getPath().getName() for s in self._fs.listStatus(path)]
-
-    def exists(self, folder: str) -> bool:
-        return self._fs.exists(self._path(folder))
-
-    def make(self, folder: str) -> None:
-        self._fs.mkdirs(self._path(folder))
-
-    def delete(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
-
-
 class AppendLog:
     """Append-only table.  A batch id makes an append repeatable: a replay replaces itself."""
 
@@ -78,7 +54,7 @@ class AppendLog:
         self.spark, self.path, self.schema, self.day = spark, path, schema, day
 
     def exists(self) -> bool:
-        return any(n.startswith("batch=") for n in _Files(self.spark, self.path).names(self.path))
+        return any(n.startswith("batch=") for n in Files(self.spark, self.path).names(self.path))
 
     def read(self) -> DataFrame:
         if not self.exists():
@@ -111,7 +87,7 @@ class AppendLog:
 
     def clear(self) -> None:
         """Drop all batches."""
-        files = _Files(self.spark, self.path)
+        files = Files(self.spark, self.path)
         for name in files.names(self.path):
             if name.startswith("batch="):
                 files.delete(f"{self.path}/{name}")
@@ -135,8 +111,9 @@ class KeyedTable:
 
     ``partition`` is an expression over the columns ``partition_on`` (say, the day of a
     timestamp).  Where those are part of the key, rows of arriving keys can only lie in the
-    arriving partitions; elsewhere one scan of the key columns finds where they are.  With
-    ``newest``, a column, an arriving row replaces only a row that is not newer.
+    arriving partitions; elsewhere an index beside the table names the partitions of each key.
+    With ``newest``, a column, an arriving row replaces only a row that is not newer, and the
+    greatest value stored is kept beside the table too.
 
     New partitions are staged in the shared folder first and then put in place by a dynamic
     partition overwrite.  A job that dies in between leaves some partitions old and some new;
@@ -160,7 +137,11 @@ class KeyedTable:
         self.partition_on, self.newest = set(partition_on), newest
         # without a partition there is one folder for all keys
         self.known = bool(partition_on) or partition is None
-        self._files = _Files(spark, path)
+        self._files = Files(spark, path)
+        fields = [schema[k] for k in keys]
+        told = partition is None or bool(partition_on) and self.partition_on <= set(keys)
+        self.index = None if told else KeyIndex(spark, f"{path}_keys", fields, self.PART)
+        self.mark = Mark(spark, f"{path}_mark", schema[newest]) if newest else None
 
     def parts(self) -> list[str]:
         """The partition values that hold rows; one folder each, so a short list."""
@@ -182,6 +163,19 @@ class KeyedTable:
         rows = self.spark.read.schema(stored).parquet(self.path)
         return rows if parts is None else rows.filter(F.col(self.PART).isin(parts))
 
+    def stage(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as a work table with their partition, which ``upsert`` takes as it is."""
+        return materialize(self._placed(rows))
+
+    def newest_value(self):
+        """The greatest value of ``newest`` among the rows, null for an empty table.
+
+        It is read from the table only where no upsert has noted it yet.
+        """
+        if self.mark.exists():
+            return self.mark.value()
+        return self.read().agg(F.max(self.newest)).first()[0]
+
     def _placed(self, rows: DataFrame) -> DataFrame:
         return enforce_schema(rows.drop(self.PART), self.schema).withColumn(
             self.PART, self.partition
@@ -209,12 +203,26 @@ class KeyedTable:
     def replace(self, rows: DataFrame) -> int:
         """Make ``rows`` the whole table; returns their number."""
         with work_tables(self.spark):
-            staged = materialize(self._placed(rows))
+            staged = rows if self.PART in rows.columns else self.stage(rows)
             known = self.parts()
+            self._note_places(staged)
             self._put(staged)
             self._drop(set(known) - set(self._values(staged)))
+            if self.index is not None:
+                self.index.replace(staged)
+            if self.mark is not None:
+                self.mark.replace(staged)
             return staged.count()
 
+    def _note_places(self, staged: DataFrame) -> None:
+        """Adds to the index, ahead of the table, where these rows will be."""
+        if self.index is None:
+            return
+        pairs = staged.select(*self.keys, self.PART)
+        if self.index.exists():
+            pairs = pairs.join(self.index.find(staged), [*self.keys, self.PART], "left_anti")
+        self.index.add(pairs)
+
     def _drop(self, parts: set[str]) -> None:
         for part in parts:
             self._files.delete(f"{self.path}/{self.PART}={part}")
@@ -233,6 +241,10 @@ class KeyedTable:
             full = T.StructType([*self.schema.fields, T.StructField(self.PART, T.StringType())])
             return self.spark.createDataFrame([], full).select(*names)
         parts = self._parts_of(source.select(*self.keys))
+        if self.index is not None:
+            if not self.index.exists():  # a table written without one
+                self.index.replace(self._load())
+            parts = self._values(self.index.find(source))
         rows = self._load(parts).select(*names)
         return materialize(rows.join(source.select(*self.keys), self.keys, "left_semi"))
 
@@ -242,26 +254,36 @@ class KeyedTable:
         prune: bool = False,
         replacing: DataFrame | None = None,
         located: DataFrame | None = None,
+        unique: bool = False,
     ) -> MergeMetrics:
         """Insert new keys, replace the rows of known ones; the rest stays.
 
         ``replacing`` names further rows to drop, by values of some of the columns: say, the
         documents that were chunked anew.  With ``prune`` the source is the complete table
         and every key it lacks is dropped.  ``located`` is the result of ``locate`` where the
-        caller has it already.
+        caller has it already, and ``source`` may be that of ``stage``.  ``unique`` says that no
+        key repeats in it; otherwise, without ``newest``, that is checked.
         """
         with work_tables(self.spark):
-            return self._upsert(source, prune, replacing, located)
+            return self._upsert(source, prune, replacing, located, unique)
 
     def _upsert(
-        self, source: DataFrame, prune: bool, replacing: DataFrame | None, located: DataFrame | None
+        self,
+        source: DataFrame,
+        prune: bool,
+        replacing: DataFrame | None,
+        located: DataFrame | None,
+        unique: bool,
     ) -> MergeMetrics:
-        source = materialize(self._placed(source))
+        source = source if self.PART in source.columns else self.stage(source)
         source_rows = source.count()  # from the file footers
-        if self.newest is None:
+        if self.newest is None and not unique:
             self._refuse_repeats(source)
         if not self.exists():
+            self._note_places(source)
             self._put(source)
+            if self.mark is not None:
+                self.mark.raise_to(source)
             return MergeMetrics(source_rows, 0, source_rows)
         if not source_rows and not prune and replacing is None:
             return MergeMetrics(0, 0, 0)
@@ -285,8 +307,11 @@ class KeyedTable:
         else:
             merged = newest_rows(affected, source, self.keys, self.newest)
         staged = materialize(merged)
+        self._note_places(source)
         self._put(staged)
         self._drop(touched - set(self._values(staged)))
+        if self.mark is not None:
+            self.mark.raise_to(source)
         return MergeMetrics(source_rows, updated, source_rows - updated - older)
 
     def _matches(self, located: DataFrame, source: DataFrame) -> tuple[int, int]:

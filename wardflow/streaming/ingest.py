@@ -160,10 +160,10 @@ def refresh_after(
     if batch is not None:
         fresh = bronze.batch(batch)
     else:
-        mark = silver.watermark(current.read()) if current.exists() else None
+        mark = silver.watermark(current)
         fresh = bronze.rows() if mark is None else bronze.since("ingested_at", mark)
     with work_tables(spark):
-        source = materialize(silver.shape_silver(fresh, as_of))
+        source = current.stage(silver.shape_silver(fresh, as_of))
         located = current.locate(source, "patient_id", "recorded_hour")
         pending = pending_hours(spark, settings)
         pending.append(gold.touched_buckets(source, located), uuid.uuid4().hex)

@@ -69,8 +69,8 @@ def term_statistics(chunks: DataFrame) -> TermStatistics:
 # Dense scores
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
+def vector_matrix(lists: pa.Array) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
     values = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
     return values.reshape(len(lists), -1).astype(np.float64)
 
@@ -80,11 +80,11 @@ class CosineScorer:
 
     def __init__(self, queries: pa.Table):
         self.query_ids = queries["query_id"].combine_chunks()
-        self.vectors = _matrix(queries["embedding"])
+        self.vectors = vector_matrix(queries["embedding"].combine_chunks())
         self.norms = np.sqrt((self.vectors**2).sum(axis=1))
 
     def score(self, block: pa.Table) -> np.ndarray:
-        vectors = _matrix(block["embedding"])
+        vectors = vector_matrix(block["embedding"].combine_chunks())
         norms = np.sqrt((vectors**2).sum(axis=1))
         lengths = np.outer(self.norms, norms)
         dots = self.vectors @ vectors.T

@@ -740,6 +740,10 @@ oracle(
     GROUP BY term
     """,
 )
+oracle(
+    "ret3_approximate_recall",
+    "SELECT count(*) AS questions, true AS reached FROM embeddings WHERE vec_id % 50 = 0",
+)
 oracle(
     "joi4_stored_postings",
     """

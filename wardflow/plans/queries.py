@@ -18,7 +18,7 @@ from wardflow.functions.ids import uuid5
 from wardflow.functions.times import age_minutes, instant
 from wardflow.functions.vectors import cosine
 from wardflow.operators import answer as an
-from wardflow.operators import contract, gold, lineage, quality, retrieval, silver
+from wardflow.operators import cells, contract, gold, lineage, quality, retrieval, silver
 from wardflow.operators import postings as ps
 from wardflow.operators.chunking import section_rows
 from wardflow.operators.upsert import merge_metrics, merge_rows, newest_rows
@@ -599,6 +599,31 @@ def ret3_dense_topk(spark, sf_dir):
     return _shown_matches(retrieval.dense_search(means, fx.vectors(spark, sf_dir), 20))
 
 
+def _cells(spark, sf_dir):
+    """Every fiftieth vector as a question, the cells of all vectors, and the cells to probe."""
+    vectors = materialize(fx.vectors(spark, sf_dir))
+    asked = vectors.filter(F.col("chunk_id").cast("long") % 50 == 0)
+    asked = asked.select(F.col("chunk_id").cast("long").alias("query_id"), "embedding")
+    index = cells.build(vectors)
+    return asked, index, cells.tuned_probes(asked, index, 20)
+
+
+@query
+def ret3_approximate_topk(spark, sf_dir):
+    """The vectors nearest to every fiftieth one, from the cells near to it."""
+    asked, index, probes = _cells(spark, sf_dir)
+    return _shown_matches(cells.search(asked, index, 20, probes))
+
+
+@query
+def ret3_approximate_recall(spark, sf_dir):
+    """Whether the approximate search finds nine tenths of what the exact one finds."""
+    asked, index, probes = _cells(spark, sf_dir)
+    exact = materialize(retrieval.dense_search(asked, index.rows, 20))
+    share = cells.recall(cells.search(asked, index, 20, probes), exact)
+    return asked.agg(F.count("*").alias("questions"), F.lit(share >= 0.9).alias("reached"))
+
+
 @query
 def ret4_bm25_topk(spark, sf_dir):
     index, postings = _index(spark, sf_dir)

@@ -408,6 +408,11 @@ def _stages(run: str, gate: str) -> str:
 
 # readings of the first of January are too old for the usual gate
 oracle("pip2_staged_run", _stages("staged-run", "FAIL"))
+oracle(
+    "pip2_halted_run",
+    f"""SELECT *, false AS went_on FROM ({_stages("halted-run", "FAIL")})
+        WHERE job IN ('ingest', 'build_silver', 'quality_gate')""",
+)
 oracle(
     "pip1_full_run",
     _stages("full-run", "COMPLETE")

@@ -888,6 +888,16 @@ def pip2_staged_run(spark, sf_dir):
     return _stage_counts(spark, settings)
 
 
+@query
+def pip2_halted_run(spark, sf_dir):
+    """The whole run with readings too old for the gate: it raises, and what follows never starts."""
+    settings = dataclasses.replace(_fresh(spark), corpus_dir=sf_dir)
+    with contextlib.suppress(quality.QualityGateError):
+        run.run_pipeline(spark, settings, _event_stream(spark, sf_dir), "halted-run", fx.AS_OF)
+    later = gold.gold_table(spark, settings).exists() or run.index_table(spark, settings).exists()
+    return _stage_counts(spark, settings).withColumn("went_on", F.lit(later))
+
+
 # lineage
 
 

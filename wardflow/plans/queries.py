@@ -608,13 +608,6 @@ def _cells(spark, sf_dir):
     return asked, index, cells.tuned_probes(asked, index, 20)
 
 
-@query
-def ret3_approximate_topk(spark, sf_dir):
-    """The vectors nearest to every fiftieth one, from the cells near to it."""
-    asked, index, probes = _cells(spark, sf_dir)
-    return _shown_matches(cells.search(asked, index, 20, probes))
-
-
 @query
 def ret3_approximate_recall(spark, sf_dir):
     """Whether the approximate search finds nine tenths of what the exact one finds."""
@@ -676,10 +669,12 @@ def _index(spark, sf_dir):
 def ret0_index_build(spark, sf_dir):
     """Chunks, vectors and postings of all documents, built anew: what the index holds."""
     index, postings = _built(spark, sf_dir)
-    profile = retrieval.index_profile(index)
-    terms = postings.terms.agg(F.count("*").alias("terms"), F.sum("df").alias("postings"))
-    return profile.crossJoin(terms).crossJoin(
-        postings.corpus.select(F.round("avgdl", SHOWN).alias("avgdl"))
+    return retrieval.index_profile(index).withColumns(
+        {
+            "terms": postings.terms.agg(F.count("*")).scalar(),
+            "postings": postings.terms.agg(F.sum("df")).scalar(),
+            "avgdl": postings.corpus.select(F.round("avgdl", SHOWN)).scalar(),
+        }
     )
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import traceback
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable
+from contextlib import AbstractContextManager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +18,65 @@ from wardflow.schemas import LINEAGE_EVENT
 SCHEMA_URL = "https://openlineage.io/spec/2-0-2/OpenLineage.json#/$defs/RunEvent"
 
 
-class StageRun:
-    """Handle of a running stage; ``rows`` records output row counts for the last event."""
-
-    def __init__(self, run_id: str):
-        self.run_id = run_id
-        self.statistics: dict[str, int] = {}
+def event_row(
+    settings: Settings,
+    parent: str,
+    kind: str,
+    job: str,
+    run_id: str,
+    datasets: dict[str, Iterable[str]],
+    facets: dict,
+) -> dict:
+    """One run event as the specification nests it; absent facets and datasets stay null or empty."""
+    registry = settings.datasets()
+    named = {
+        side: [dict(zip(("namespace", "name"), registry[n])) for n in names]
+        for side, names in datasets.items()
+    }
+    owner = {
+        "run": {"runId": parent},
+        "job": {"namespace": settings.namespace, "name": settings.job_name},
+    }
+    return {
+        "eventTime": datetime.now(timezone.utc).isoformat(timespec="microseconds"),
+        "eventType": kind,
+        "producer": settings.producer,
+        "schemaURL": SCHEMA_URL,
+        "run": {"runId": run_id, "facets": {"parent": owner, **facets}},
+        "job": {"namespace": settings.namespace, "name": job},
+        **named,
+    }
+
+
+class StageRecorder(AbstractContextManager):
+    """A stage while it runs: entering it tells its start, leaving it how it ended.
+
+    ``rows`` notes output counts, which the closing event carries whether or not it failed.
+    """
+
+    def __init__(self, tell: Callable[[str, dict], None]):
+        self._tell, self._counts = tell, {}
 
     def rows(self, **counts: int) -> None:
-        self.statistics.update({k: int(v) for k, v in counts.items()})
+        self._counts.update((name, int(n)) for name, n in counts.items())
+
+    def __enter__(self) -> StageRecorder:
+        self._tell("START", {})
+        return self
+
+    def __exit__(self, kind, fault, trace) -> None:
+        facets: dict = {"outputStatistics": self._counts} if self._counts else {}
+        if fault is not None:
+            facets["errorMessage"] = {
+                "message": f"{kind.__name__}: {fault}",
+                "programmingLanguage": "python",
+                "stackTrace": "".join(traceback.format_exception(kind, fault, trace)),
+            }
+        self._tell("COMPLETE" if fault is None else "FAIL", facets)
 
 
 class Lineage:
-    """Writes the events of one parent run.  Events are single rows, not data."""
+    """The stages of one parent run, told to an event table.  Events are single rows, not data."""
 
     def __init__(
         self,
@@ -42,46 +88,18 @@ class Lineage:
         self.spark, self.settings = spark, settings
         self.parent_run_id = parent_run_id(run_id) or str(uuid.uuid4())
         self.event_path = event_path or settings.lineage_path
-        self._registry = settings.datasets()
-
-    def _datasets(self, names: Iterable[str]) -> list[tuple[str, str]]:
-        return [self._registry[name] for name in names]
-
-    def _emit(self, state, job, run: StageRun, inputs, outputs, error=None) -> None:
-        s = self.settings
-        parent = ((self.parent_run_id,), (s.namespace, s.job_name))
-        facets = ((parent), error, run.statistics or None)
-        event = (
-            datetime.now(timezone.utc).isoformat(timespec="microseconds"),
-            state,
-            s.producer,
-            SCHEMA_URL,
-            (run.run_id, facets),
-            (s.namespace, job),
-            inputs,
-            outputs,
-        )
-        (
-            self.spark.createDataFrame([event], LINEAGE_EVENT)
-            .coalesce(1)
-            .write.mode("append")
-            .json(self.event_path)
-        )
 
-    @contextmanager
     def stage(
         self, job: str, *, inputs: Iterable[str] = (), outputs: Iterable[str] = ()
-    ) -> Iterator[StageRun]:
-        run = StageRun(str(uuid.uuid4()))
-        ins, outs = self._datasets(inputs), self._datasets(outputs)
-        self._emit("START", job, run, ins, outs)
-        try:
-            yield run
-        except BaseException as exc:
-            error = (f"{type(exc).__name__}: {exc}", "python", traceback.format_exc())
-            self._emit("FAIL", job, run, ins, outs, error)
-            raise
-        self._emit("COMPLETE", job, run, ins, outs)
+    ) -> StageRecorder:
+        run_id, sides = str(uuid.uuid4()), {"inputs": tuple(inputs), "outputs": tuple(outputs)}
+
+        def tell(kind: str, facets: dict) -> None:
+            event = event_row(self.settings, self.parent_run_id, kind, job, run_id, sides, facets)
+            row = self.spark.createDataFrame([event], LINEAGE_EVENT)
+            row.coalesce(1).write.mode("append").json(self.event_path)
+
+        return StageRecorder(tell)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

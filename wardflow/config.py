@@ -68,6 +68,10 @@ class Settings:
     def quality_path(self) -> str:
         return f"{self.root}/quality/results"
 
+    @property
+    def gate_path(self) -> str:
+        return f"{self.root}/quality/silver"
+
     @property
     def lineage_path(self) -> str:
         return f"{self.root}/lineage/events"

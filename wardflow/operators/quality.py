@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -191,6 +192,11 @@ def suite_results(df: DataFrame, suite: list[Expectation]) -> DataFrame:
 
     Table-level kinds have no unexpected rows and report 0.
     """
+    return results_of(expectation_measures(df, suite), suite)
+
+
+def results_of(measures: DataFrame, suite: list[Expectation]) -> DataFrame:
+    """The same rows from the one row of measures."""
     results = [
         F.struct(
             F.lit(i + 1).alias("position"),
@@ -203,7 +209,7 @@ def suite_results(df: DataFrame, suite: list[Expectation]) -> DataFrame:
         )
         for i, e in enumerate(suite)
     ]
-    return expectation_measures(df, suite).select(F.inline(F.array(*results)))
+    return measures.select(F.inline(F.array(*results)))
 
 
 def failure_samples(df: DataFrame, suite: list[Expectation], failed: list[int]) -> DataFrame:
@@ -251,12 +257,35 @@ def run_silver_quality_gate(
 ) -> GateResult:
     """Check Silver; raise ``QualityGateError`` with every failure, or return the result."""
     suite = silver_suite(max_age_minutes, freshness, not_in_future)
-    aged = with_age(silver, as_of)
+    return conclude(
+        suite_results(with_age(silver, as_of), suite),
+        suite,
+        lambda failed: silver,
+        raise_on_failure=raise_on_failure,
+        as_of=as_of,
+        results_path=results_path,
+    )
+
+
+def conclude(
+    results: DataFrame,
+    suite: list[Expectation],
+    failing_rows: Callable[[list[int]], DataFrame],
+    *,
+    raise_on_failure: bool = True,
+    as_of: datetime | str | None = None,
+    results_path: str | None = None,
+) -> GateResult:
+    """The gate's verdict on a suite's results: stored if asked for, raised if it failed.
+
+    ``failing_rows`` gives rows that hold all unexpected values at the given positions.
+    """
     # One row per expectation, so this collect has the size of the suite.
-    outcomes = sorted(suite_results(aged, suite).collect(), key=lambda r: r["position"])
+    outcomes = sorted(results.collect(), key=lambda r: r["position"])
     failed = [r["position"] for r in outcomes if not r["success"]]
     samples: dict[int, list[str]] = {}
     if failed:  # at most 20 values for each
+        aged = with_age(failing_rows(failed), as_of)
         for row in failure_samples(aged, suite, failed).orderBy("position", "rank").collect():
             samples.setdefault(row["position"], []).append(str(row["value"]))
     failures = [
@@ -278,17 +307,16 @@ def run_silver_quality_gate(
     }
     result = GateResult(not failures, statistics, failures)
     if results_path:
-        persist_result(silver, result, results_path, as_of)
+        persist_result(results.sparkSession, result, results_path, as_of)
     if failures and raise_on_failure:
         raise QualityGateError(failures)
     return result
 
 
 def persist_result(
-    silver: DataFrame, result: GateResult, path: str, as_of: datetime | str | None = None
+    spark: SparkSession, result: GateResult, path: str, as_of: datetime | str | None = None
 ) -> None:
     """Append one row per gate run."""
-    spark = silver.sparkSession
     row = (None, result.success, result.statistics, result.failures)
     (
         spark.createDataFrame([row], QUALITY_RESULT)

@@ -503,9 +503,7 @@ oracle(
 part("x_dups", "SELECT reading_id, count(*) AS n FROM x_bronze GROUP BY 1 HAVING count(*) > 1")
 
 
-def _suite(
-    name: str, rows: str, source: str, lines: list[tuple[str, str | None, str, str]]
-) -> None:
+def _suite_sql(rows: str, source: str, lines: list[tuple[str, str | None, str, str]]) -> str:
     """``lines``: (kind, column, success, unexpected) over one aggregate of the source."""
     measures = f"x_measures_{source}"
     part(measures, f"SELECT {rows} FROM {source}")
@@ -515,7 +513,11 @@ def _suite(
             {success} AS success, CAST({unexpected} AS BIGINT) AS unexpected_count FROM {measures}"""
         for i, (kind, column, success, unexpected) in enumerate(lines, start=1)
     ]
-    oracle(name, " UNION ALL ".join(selects))
+    return " UNION ALL ".join(selects)
+
+
+def _suite(name: str, *of) -> None:
+    oracle(name, _suite_sql(*of))
 
 
 def _silver_lines(extra: list, dups: str) -> tuple[str, list]:
@@ -553,6 +555,32 @@ _rows, _lines = _silver_lines(
     [("expect_column_max_to_be_between", "age_minutes", "oldest BETWEEN 0 AND 57600", "0")], "0"
 )
 _suite("exp_suite_on_silver", _rows, "x_silver", _lines)
+# the same after each of three loads of two days; a later load brings the version that arrives later
+part(
+    "x_moved",
+    """
+    SELECT * EXCLUDE (recorded_at, heart_rate), kafka_offset % 6 // 2 AS load,
+           recorded_at + (kafka_offset % 6) * INTERVAL '1' DAY AS recorded_at,
+           CASE WHEN kafka_offset % 97 = 0 THEN 999 ELSE heart_rate END AS heart_rate
+    FROM x_bronze
+    """,
+)
+for _load in range(3):
+    part(
+        f"x_load_{_load}",
+        f"""
+        SELECT * FROM x_moved WHERE load <= {_load} QUALIFY row_number() OVER (
+          PARTITION BY reading_id
+          ORDER BY ingested_at DESC, load DESC, kafka_partition DESC, kafka_offset DESC) = 1
+        """,
+    )
+oracle(
+    "exp_stored_states",
+    " UNION ALL ".join(
+        f"SELECT *, CAST({k} AS INT) AS load FROM ({_suite_sql(_rows, f'x_load_{k}', _lines)})"
+        for k in range(3)
+    ),
+)
 _rows, _lines = _silver_lines(
     [
         ("expect_column_min_to_be_between", "age_minutes", "newest BETWEEN 0 AND 60", "0"),

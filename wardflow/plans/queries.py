@@ -6,6 +6,7 @@ import contextlib
 import dataclasses
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from wardflow.functions.ids import uuid5
 from wardflow.functions.times import age_minutes, instant
 from wardflow.functions.vectors import cosine
 from wardflow.operators import answer as an
-from wardflow.operators import cells, contract, gold, lineage, quality, retrieval, silver
+from wardflow.operators import cells, contract, gold, lineage, quality, retrieval, silver, stored_gate
 from wardflow.operators import postings as ps
 from wardflow.operators.chunking import section_rows
 from wardflow.operators.upsert import merge_metrics, merge_rows, newest_rows
@@ -458,6 +459,31 @@ def exp_suite_on_labels(spark, sf_dir):
     return quality.suite_results(joined, suite)
 
 
+def _loads(spark, sf_dir):
+    """Bronze over six days in three loads; corrections move to another day, some values are bad."""
+    day = F.col("kafka_offset") % 6
+    moved = F.timestamp_micros(F.unix_micros("recorded_at") + day * 86_400_000_000)
+    odd = F.col("kafka_offset") % 97 == 0
+    rows = fx.bronze(spark, sf_dir).withColumns(
+        {"recorded_at": moved, "heart_rate": F.when(odd, 999).otherwise(F.col("heart_rate"))}
+    )
+    return [rows.filter(F.floor(day / 2) == load) for load in range(3)]
+
+
+@query
+def exp_stored_states(spark, sf_dir):
+    """The suite after each of three loads of Silver, from states of the days each has touched."""
+    settings = _fresh(spark)
+    table = silver.silver_table(spark, settings)
+    states = stored_gate.GateStates(table, settings.gate_path)
+    found = []
+    for load, rows in enumerate(_loads(spark, sf_dir)):
+        table.upsert(silver.shape_silver(rows, fx.AS_OF))
+        results = states.results(quality.silver_suite(60 * 24 * 40), fx.AS_OF)
+        found.append(materialize(results.withColumn("load", F.lit(load))))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _label_suite():
     return [quality.unique("text"), quality.in_set("lang", ("en", "fr")), quality.between("toxic", 0, 0)]
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.config import Settings
 from wardflow.functions.embedding import HashedWords, ModelLoader
-from wardflow.operators import gold, postings, quality, silver
+from wardflow.operators import gold, postings, silver, stored_gate
 from wardflow.operators.chunking import build_chunks
 from wardflow.operators.lineage import Lineage
 from wardflow.operators.retrieval import index_rows
@@ -94,8 +94,8 @@ def stage_build_silver(lineage: Lineage, as_of=None, mode: str = "incremental")
 def stage_quality_gate(lineage: Lineage, as_of=None, freshness: str = "oldest") -> None:
     spark, settings = lineage.spark, lineage.settings
     with lineage.stage("quality_gate", inputs=["table.silver"]):
-        quality.run_silver_quality_gate(
-            silver.silver_table(spark, settings).read(),
+        stored_gate.run_stored_gate(
+            stored_gate.GateStates(silver.silver_table(spark, settings), settings.gate_path),
             max_age_minutes=settings.max_age_minutes,
             freshness=freshness,
             as_of=as_of,

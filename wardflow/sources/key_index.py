@@ -28,7 +28,7 @@ BUCKETS = 64
 MOST_FOLDERS = 48
 
 
-class _Folders:
+class Folders:
     """A table in folders ``write=<id>``, each complete or absent."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
@@ -66,7 +66,7 @@ class KeyIndex:
     def __init__(self, spark: SparkSession, path: str, keys: list[T.StructField], part: str):
         self.keys, self.part = [k.name for k in keys], part
         schema = T.StructType([*keys, T.StructField(part, T.StringType()), T.StructField("_bucket", T.IntegerType())])
-        self._stored = _Folders(spark, path, schema)
+        self._stored = Folders(spark, path, schema)
 
     def exists(self) -> bool:
         return self._stored.exists()
@@ -101,7 +101,7 @@ class Mark:
 
     def __init__(self, spark: SparkSession, path: str, column: T.StructField):
         self.column = column.name
-        self._stored = _Folders(spark, path, T.StructType([column]))
+        self._stored = Folders(spark, path, T.StructType([column]))
 
     def exists(self) -> bool:
         return self._stored.exists()

@@ -163,6 +163,10 @@ class KeyedTable:
         rows = self.spark.read.schema(stored).parquet(self.path)
         return rows if parts is None else rows.filter(F.col(self.PART).isin(parts))
 
+    def rows_of(self, parts: list[str] | None = None) -> DataFrame:
+        """Rows with the column ``PART``, of some partitions or all; other folders are not opened."""
+        return self._load(parts)
+
     def stage(self, rows: DataFrame) -> DataFrame:
         """``rows`` as a work table with their partition, which ``upsert`` takes as it is."""
         return materialize(self._placed(rows))

@@ -464,6 +464,26 @@ oracle(
            min(msg) AS first_value FROM x_fields GROUP BY 1
     """,
 )
+# the log holds the first 400 of every thousand messages, then the others
+_LOGGED = "off_no % 1000 >= 400, off_no"
+oracle(
+    "snk1_line_log",
+    f"""
+    SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY {_LOGGED}) AS INT) AS seq, value,
+           CAST(count(*) OVER () AS BIGINT) AS sent
+    FROM (SELECT CASE WHEN t_patient_id = 'VARCHAR' THEN s_patient_id END AS key, msg AS value, off_no
+          FROM x_fields)
+    """,
+)
+oracle(
+    "stm6_line_stream",
+    f"""
+    SELECT * EXCLUDE (ingested_at, kafka_offset) REPLACE (CAST(0 AS INT) AS kafka_partition),
+           CAST(row_number() OVER (PARTITION BY patient_id ORDER BY kafka_offset % 1000 >= 400,
+             kafka_offset) AS INT) AS seq
+    FROM ({BRONZE})
+    """,
+)
 oracle(
     "snk2_deadletter_rows",
     """

@@ -151,6 +151,34 @@ def snk1_published_records(spark, sf_dir):
     )
 
 
+@query
+def snk1_line_log(spark, sf_dir):
+    """Messages appended to a log of lines in two parts, read back: each key's in their order."""
+    log = f"{_fresh(spark).root}/log"
+    rows = fx.messages(spark, sf_dir).orderBy("offset")
+    first = F.col("offset") % 1000 < 400
+    sent = [msg.append_lines(rows.filter(part), log) for part in (first, ~first)]
+    back = msg.read_lines(spark, log, "vitals.raw", split_bytes=1 << 20)
+    seq = F.row_number().over(Window.partitionBy("key").orderBy("offset"))
+    return back.select("key", seq.alias("seq"), "value", F.lit(sum(sent)).alias("sent"))
+
+
+@query
+def stm6_line_stream(spark, sf_dir):
+    """A log that grows twice, drained after each time by a stream that starts again where it stopped."""
+    settings = _fresh(spark)
+    log = f"{settings.root}/log"
+    rows = fx.messages(spark, sf_dir).orderBy("offset")
+    first = F.col("offset") % 1000 < 400
+    for part in (first, ~first):
+        msg.append_lines(rows.filter(part), log)
+        lines = msg.stream_lines(spark, log, "vitals.raw", split_bytes=1 << 20)
+        ingest.ingest_available(lines, settings, as_of=fx.AS_OF)
+    seq = F.row_number().over(Window.partitionBy("patient_id").orderBy("kafka_offset"))
+    kept = silver.bronze_table(spark, settings).rows().withColumn("seq", seq)
+    return kept.drop("ingested_at", "kafka_offset")
+
+
 @query
 def snk2_deadletter_rows(spark, sf_dir):
     return _deadletter(spark, sf_dir).select(

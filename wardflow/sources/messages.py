@@ -1,19 +1,19 @@
 """Raw message sources and sinks in the Kafka record layout.
 
-Kafka itself needs the ``spark-sql-kafka`` package on the cluster; where it is absent the
-same layout is read from and written to files, so every later step is identical.
+Kafka itself needs the ``spark-sql-kafka`` package on the cluster; where it is absent lines of
+files are read in the same layout, so every later step is identical.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wardflow.functions.text import strip
 from wardflow.schemas import MESSAGE
-from wardflow.session import materialize
+from wardflow.sources.files import Files
+from wardflow.sources.line_log import NAME as LINES
+from wardflow.sources.line_log import SPLIT_BYTES, LineLog
 
 PRODUCER_MARK = "_corruption"
 
@@ -23,20 +23,6 @@ def nonblank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.withColumn(column, strip(F.col(column))).filter(F.col(column) != "")
 
 
-def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """One row per non-blank line: ``value``, and its ``position`` in the input.
-
-    The position is the file, where the line's split begins in it, and a number that rises
-    within the split; the JSON is not decoded here.
-    """
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    return nonblank_lines(spark.read.text(path).select("value", position.alias("position")))
-
-
 def without_mark(value: Column) -> Column:
     """The message without the fault-injection mark; other messages keep their exact text."""
     doc = F.try_parse_json(value)
@@ -47,52 +33,48 @@ def without_mark(value: Column) -> Column:
 
 
 def keyed_records(lines: DataFrame) -> DataFrame:
-    """``(key, value)`` to publish, with the position if there is one; the key is the patient."""
+    """``(key, value)`` to publish, beside what else there is; the key is the patient."""
     return lines.select(
-        *[c for c in lines.columns if c == "position"],
+        *[c for c in lines.columns if c not in ("key", "value")],
         F.expr("try_variant_get(try_parse_json(value), '$.patient_id', 'string')").alias("key"),
         without_mark(F.col("value")).alias("value"),
     )
 
 
-def publish(records: DataFrame, path: str, topic: str) -> None:
-    """Append keyed records to a file-backed topic in the Kafka layout, in input order.
+def append_lines(records: DataFrame, path: str) -> int:
+    """Append the values of keyed records to a log of lines; returns how many.
 
-    Such a topic has one partition.  An offset is the rank of the record's split, by file name
-    and place in the file, followed by 33 bits of its number within the split: offsets grow
-    with the input and with each publish, but are not dense.  Records without a position keep
-    the order of the DataFrame's partitions.
+    They keep the order of the DataFrame: its partitions become files in their order, in a new folder
+    behind the earlier ones.  A value with a line break, which would come back as two, fails the write.
+    One writer at a time.
     """
-    try:
-        last = read_messages(records.sparkSession, path).agg(F.max("offset")).first()[0]
-    except AnalysisException:  # the topic's folder does not exist yet
-        last = None
-    first_split = 0 if last is None else (last >> 33) + 1
-    line_bits = (1 << 33) - 1
-    if "position" in records.columns:
-        records = materialize(records)
-        # one row for each split of the input
-        splits = records.select("position.file", "position.start").distinct()
-        ranked = splits.withColumn(
-            "split", F.row_number().over(Window.orderBy("file", "start")).cast("long") - 1
-        )
-        placed = records.select(
-            "key", "value", "position.file", "position.start", F.col("position.line").alias("line")
-        ).join(ranked, ["file", "start"])
-    else:
-        line = F.monotonically_increasing_id()
-        placed = records.withColumn("line", line).withColumn("split", F.shiftright("line", 33))
-    offset = F.shiftleft(F.col("split") + first_split, 33).bitwiseOR(
-        F.col("line").bitwiseAND(line_bits)
-    )
-    placed.select(
-        "key",
-        "value",
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        offset.alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    ).write.mode("append").json(path)
+    counted = Observation()
+    broken = F.raise_error(F.lit("a record of a line log must not hold a line break"))
+    lines = records.select(F.when(F.col("value").rlike("[\\r\\n]"), broken).otherwise(F.col("value")).alias("value"))
+    earlier = Files(records.sparkSession, path).names(path)
+    # a folder left by a failed write stays, without lines, and is not used again
+    numbers = [int(n.split("-")[1]) for n in earlier if n.startswith("append-")]
+    folder = f"{path}/append-{max(numbers, default=0) + 1:09d}"
+    lines.observe(counted, F.count(F.lit(1)).alias("records")).write.text(folder)
+    return counted.get["records"]
+
+
+def read_lines(spark: SparkSession, path: str, topic: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The lines of a file or folder as messages, with their byte position in it as offset."""
+    spark.dataSource.register(LineLog)
+    return _as_messages(spark.read.format(LINES).option("splitBytes", split_bytes).load(path), topic)
+
+
+def stream_lines(spark: SparkSession, path: str, topic: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The same as a stream of the files that come; see ``line_log`` for what is asked of them."""
+    spark.dataSource.register(LineLog)
+    reader = spark.readStream.format(LINES).option("splitBytes", split_bytes)
+    return _as_messages(reader.load(path), topic)
+
+
+def _as_messages(lines: DataFrame, topic: str) -> DataFrame:
+    placed = nonblank_lines(lines).withColumns({"topic": F.lit(topic), "partition": F.lit(0)})
+    return keyed_records(placed).select(*MESSAGE.fieldNames())
 
 
 def publish_kafka(records: DataFrame, servers: str, topic: str) -> None:

@@ -413,10 +413,22 @@ oracle(
     f"""SELECT *, false AS went_on FROM ({_stages("halted-run", "FAIL")})
         WHERE job IN ('ingest', 'build_silver', 'quality_gate')""",
 )
+_TOLD = [
+    ("ingest", "consumed", "input", "kafka://broker:9092", "vitals.raw"),
+    ("ingest", "consumed", "output", "file", "/bronze/vitals"),
+    ("ingest", "consumed", "output", "kafka://broker:9092", "vitals.deadletter"),
+    ("build_silver", "source_rows", "input", "file", "/bronze/vitals"),
+    ("build_silver", "source_rows", "output", "file", "/silver/vitals"),
+]
+_COUNTED = {(job, name): rows for job, name, rows in _COUNTS}
 oracle(
-    "pip1_full_run",
-    _stages("full-run", "COMPLETE")
-    + " UNION ALL SELECT 'full-run', 'rag_index', 'COMPLETE', 2, 'points', 0",
+    "pip4_run_datasets",
+    " UNION ALL ".join(
+        f"""SELECT 'scheduled-run' AS parent_run_id, '{job}' AS job, '{side}' AS side,
+              'wardflow/bedside_readings' AS owner, '{namespace}' AS namespace, '{dataset}' AS dataset,
+              (SELECT count(*) FROM ({_COUNTED[job, name]})) AS counted"""
+        for job, name, side, namespace, dataset in _TOLD
+    ),
 )
 oracle(
     "jsn1_deadletter_json",
@@ -758,6 +770,11 @@ part(
 oracle(
     "ret1_chunks", "SELECT chunk_id, doc_id, ordinal, '' AS heading, md5(txt) AS digest FROM x_chunks"
 )
+oracle(
+    "pip1_full_run",
+    _stages("full-run", "COMPLETE")
+    + " UNION ALL SELECT 'full-run', 'rag_index', 'COMPLETE', 2, 'points', (SELECT count(*) FROM x_chunks)",
+)
 oracle(
     "agg7_index_size", "SELECT count(*) AS points, count(DISTINCT doc_id) AS documents FROM x_chunks"
 )

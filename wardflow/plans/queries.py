@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import dataclasses
+import os
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -917,10 +918,10 @@ def _stage_counts(spark, settings):
 
 @query
 def pip1_full_run(spark, sf_dir):
-    """All five stages as one run on the event stream; the folder holds no guideline."""
-    days = 60 * 24 * 40
-    settings = dataclasses.replace(_fresh(spark), corpus_dir=sf_dir, max_age_minutes=days)
-    run.run_pipeline(spark, settings, _event_stream(spark, sf_dir), "full-run", fx.AS_OF)
+    """All five stages as one run on the event stream, with every document indexed."""
+    settings = dataclasses.replace(_fresh(spark), max_age_minutes=60 * 24 * 40)
+    events, documents = _event_stream(spark, sf_dir), fx.documents(spark, sf_dir)
+    run.run_pipeline(spark, settings, events, "full-run", fx.AS_OF, documents=documents)
     return _stage_counts(spark, settings)
 
 
@@ -937,6 +938,48 @@ def pip2_staged_run(spark, sf_dir):
     return _stage_counts(spark, settings)
 
 
+@contextlib.contextmanager
+def _environment(**values: str):
+    before = {name: os.environ.get(name) for name in values}
+    os.environ.update(values)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                del os.environ[name]
+            else:
+                os.environ[name] = value
+
+
+@query
+def pip4_run_datasets(spark, sf_dir):
+    """Two stages under the scheduler's run id: the datasets each names, and the rows it counted there."""
+    settings = dataclasses.replace(_fresh(spark), kafka_servers="broker:9092")
+    with _environment(PIPELINE_RUN_ID="scheduled-run"):
+        steps = lineage.Lineage(spark, settings)
+    run.stage_ingest(steps, _event_stream(spark, sf_dir), fx.AS_OF)
+    run.stage_build_silver(steps, fx.AS_OF)
+    events = lineage.read_events(spark, settings.lineage_path).filter("eventType = 'COMPLETE'")
+    counted = F.coalesce(
+        F.col("run.facets.outputStatistics")["consumed"], F.col("run.facets.outputStatistics")["source_rows"]
+    )
+    sides = F.map_from_arrays(F.array(F.lit("input"), F.lit("output")), F.array("inputs", "outputs"))
+    told = events.select(
+        F.col("run.facets.parent.run.runId").alias("parent_run_id"),
+        F.col("run.facets.parent.job").alias("owner"),
+        F.col("job.name").alias("job"),
+        counted.alias("counted"),
+        F.explode(sides).alias("side", "datasets"),
+    )
+    return told.select("*", F.explode("datasets").alias("dataset")).select(
+        "parent_run_id", "job", "counted", "side",
+        F.concat_ws("/", "owner.namespace", "owner.name").alias("owner"),
+        F.col("dataset.namespace").alias("namespace"),
+        F.replace("dataset.name", F.lit(settings.root), F.lit("")).alias("dataset"),
+    )
+
+
 @query
 def pip2_halted_run(spark, sf_dir):
     """The whole run with readings too old for the gate: it raises, and what follows never starts."""

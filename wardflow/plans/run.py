@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow.config import Settings
 from wardflow.functions.embedding import HashedWords, ModelLoader
 from wardflow.operators import gold, postings, silver, stored_gate
-from wardflow.operators.chunking import build_chunks
+from wardflow.operators.chunking import chunk_documents
 from wardflow.operators.lineage import Lineage
 from wardflow.operators.retrieval import index_rows
 from wardflow.schemas import INDEX
 from wardflow.session import materialize, prepare, work_tables
 from wardflow.sources import messages as msg
+from wardflow.sources.corpus import read_corpus
 from wardflow.sources.tables import KeyedTable, MergeMetrics
 from wardflow.streaming.ingest import ingest_available
 
@@ -105,13 +106,16 @@ def stage_build_gold(lineage: Lineage, as_of=None) -> dict[str, int]:
         return metrics
 
 
-def stage_rag_index(lineage: Lineage) -> int:
+def stage_rag_index(lineage: Lineage, documents: DataFrame | None = None) -> int:
+    """Index ``documents`` in the corpus layout, or else the files of the corpus folder."""
     spark, settings = lineage.spark, lineage.settings
     with (
         lineage.stage("rag_index", inputs=["corpus"], outputs=["table.index"]) as run,
         work_tables(spark),
     ):
-        chunks = materialize(build_chunks(spark, settings.corpus_dir))
+        if documents is None:
+            documents = read_corpus(spark, settings.corpus_dir)
+        chunks = materialize(chunk_documents(documents))
         points = build_index(chunks, index_table(spark, settings), recreate=True)
         postings.write(chunks, settings.postings_path)
         run.rows(points=points)
@@ -125,11 +129,13 @@ def run_pipeline(
     run_id: str | None = None,
     as_of: datetime | str | None = None,
     deadletters: Callable | None = None,
+    documents: DataFrame | None = None,
 ) -> dict:
     """All stages under one parent run.
 
     ``source`` is a path of input lines, read as a stream in their order, or a streaming
-    DataFrame in the Kafka layout (``stream_kafka``).  A failing gate raises, so Gold and the index stay as they are.
+    DataFrame in the Kafka layout (``stream_kafka``).  ``documents`` takes the place of the corpus
+    folder where guidelines are a table.  A failing gate raises, so Gold and the index stay as they are.
     """
     prepare(spark)
     lineage = Lineage(spark, settings, run_id)
@@ -140,5 +146,5 @@ def run_pipeline(
     results["silver"] = stage_build_silver(lineage, as_of).as_dict()
     stage_quality_gate(lineage, as_of)
     results["gold"] = stage_build_gold(lineage, as_of)
-    results["rag_index"] = stage_rag_index(lineage)
+    results["rag_index"] = stage_rag_index(lineage, documents)
     return results

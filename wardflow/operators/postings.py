@@ -1,14 +1,16 @@
 """Inverted index for BM25: stored postings, score bounds by block, exact best-k search as joins.
 
-``build`` tokenises every chunk once and writes its postings, clustered by term bucket.  A *block* is a
-part of one topic's chunks, chosen by their hash; per term and block the index knows the largest
-impact.  A search sums, for each question and block, the largest contributions its terms can make
+``build`` tokenises every chunk once.  Chunks are numbered and stored in order, each with its postings,
+and a *block* is a run of them with one topic; per term and block the index knows the number of postings
+and the largest impact, which tasks combine before the shuffle, as they hold whole blocks.
+A search sums, for each question and block, the largest contributions its terms can make
 there.  The most promising blocks are scored first; their k-th best score is a floor that any
 other block's bound must reach for its postings to be read.  What is scored is scored in full,
 so the result is that of scoring everything.
 
-All of it is joins and sums.  Postings are joined by term and block, so a frequent term is dealt over
-as many keys as it has blocks; questions and chunks meet only where they share a term.
+All of it is joins and sums.  The postings of all questions' terms are dealt out by block once, whatever
+the number of questions: a chunk has them in one task, which adds them up and sends on
+the best k of each question.  A frequent term is dealt over as many keys as it has blocks.
 """
 
 from __future__ import annotations
@@ -35,6 +37,12 @@ BLOCK_CHUNKS = 512
 # Parts of a stored bucket.
 PARTS = 8
 
+# A block is a run of BLOCK_CHUNKS chunks for each topic there is, counted up to this many.
+MOST_TOPICS = 16
+
+# Blocks of a scoring task, which holds a sum for each question and chunk of them.
+TASK_BLOCKS = 8
+
 # Blocks of a question that are scored to find its floor.
 FIRST_BLOCKS = 4
 
@@ -82,7 +90,7 @@ def counted(tokens: Column) -> Column:
             ),
         )
 
-    return tx.let(F.array_sort(tokens), starts)
+    return tx.let(F.sort_array(tokens), starts)
 
 
 def tokenised(chunks: DataFrame) -> DataFrame:
@@ -100,18 +108,17 @@ def _tables(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, names) of ``chunks``, whose texts are read once.
 
     Chunks are numbered in order, so that a posting is a few numbers and ties of scores need no
-    names.
+    names, and stored in it, so that the postings of a block lie together.
     """
-    forward = materialize(tokenised(chunks))
-    ordered = forward.select("doc_id", "ordinal", "chunk_id", "length").repartitionByRange("doc_id", "ordinal")
-    names = materialize(
-        ordered.sortWithinPartitions("doc_id", "ordinal").withColumn("no", F.monotonically_increasing_id())
+    forward = materialize(tokenised(chunks)).repartitionByRange("doc_id", "ordinal")
+    ordered = materialize(
+        forward.sortWithinPartitions("doc_id", "ordinal").withColumn("no", F.monotonically_increasing_id())
     )
-    numbered = forward.join(names.select("doc_id", "ordinal", "no"), ["doc_id", "ordinal"])
-    rows = numbered.select("topic", "no", "length", F.inline("postings")).select(
-        bucket(F.col("term")).alias("bucket"), "term", "topic", "no", "tf", "length"
+    topics = F.least(ordered.agg(F.count_distinct("topic")).scalar(), F.lit(MOST_TOPICS))
+    rows = ordered.select("topic", "no", "length", _block(topics).alias("block"), F.inline("postings")).select(
+        bucket(F.col("term")).alias("bucket"), "term", "topic", "no", "tf", "length", "block"
     )
-    return rows, names
+    return rows, ordered.select("doc_id", "ordinal", "chunk_id", "length", "no")
 
 
 def raw_idf(n: Column, df: Column) -> Column:
@@ -132,29 +139,29 @@ def impact(avgdl: Column) -> Column:
     return F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damp)
 
 
-def _block(n: Column) -> Column:
-    """The block of a posting: its topic and its part of as many as the corpus needs."""
-    parts = F.greatest(F.floor(n / BLOCK_CHUNKS), F.lit(1))
-    return F.xxhash64("topic", F.pmod(F.xxhash64("no"), parts))
+def _block(topics: Column) -> Column:
+    """The block of a chunk: its topic and its run of chunks."""
+    run = F.floor(F.col("no") / (F.lit(BLOCK_CHUNKS) * F.greatest(topics, F.lit(1))))
+    return F.xxhash64("topic", run)
+
+
+def _heads(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Bounds of posting rows; where these are in order, a task's partial sums are nearly all there is."""
+    avgdl = names.agg(F.avg("length")).scalar()
+    return rows.groupBy("bucket", "term", "block").agg(F.count("*").alias("df"), F.max(impact(avgdl)).alias("most"))
 
 
-def _with_bounds(rows: DataFrame, names: DataFrame) -> Postings:
-    """Statistics and bounds of posting rows, as work tables."""
+def _with_statistics(rows: DataFrame, heads: DataFrame, names: DataFrame) -> Postings:
     corpus = materialize(names.agg(F.count("*").alias("n"), F.avg("length").alias("avgdl")))
-    n, avgdl = corpus.select("n").scalar(), corpus.select("avgdl").scalar()
-    placed = rows.withColumn("block", _block(n))
-    # partial sums leave one row a term and block of a task, however frequent the term
-    heads = materialize(
-        placed.groupBy("bucket", "term", "block").agg(F.count("*").alias("df"), F.max(impact(avgdl)).alias("most"))
-    )
-    terms = materialize(with_idf(heads.groupBy("term").agg(F.sum("df").alias("df")), n))
-    return Postings(placed, heads, names, terms, corpus)
+    n = corpus.select("n").scalar()
+    terms = materialize(with_idf(materialize(heads.groupBy("term").agg(F.sum("df").alias("df"))), n))
+    return Postings(rows, heads, names, terms, corpus)
 
 
 def build(chunks: DataFrame) -> Postings:
-    """Index of ``chunks`` in work tables."""
+    """Index of ``chunks`` in work tables; the rows are those of the chunks in order."""
     rows, names = _tables(chunks)
-    return _with_bounds(materialize(rows), names)
+    return _with_statistics(rows, materialize(_heads(rows, names)), names)
 
 
 def write(chunks: DataFrame, path: str) -> None:
@@ -163,14 +170,16 @@ def write(chunks: DataFrame, path: str) -> None:
     A search opens the folders of its terms only.  The tables are replaced as a whole.
     """
     rows, names = _tables(chunks)
-    # parts of a bucket by chunk, so that a frequent term is not one task
-    dealt = rows.repartition("bucket", F.pmod(F.xxhash64("no"), F.lit(PARTS))).sortWithinPartitions("bucket", "term", "no")
+    # parts of a bucket by block, so that a frequent term is not one task
+    dealt = rows.repartition("bucket", F.pmod(F.xxhash64("block"), F.lit(PARTS))).sortWithinPartitions("bucket", "block", "no")
     names.write.mode("overwrite").parquet(f"{path}/names")
+    _heads(rows, names).write.mode("overwrite").parquet(f"{path}/heads")
     dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")
 
 
 def read(spark: SparkSession, path: str) -> Postings:
-    return _with_bounds(spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/names"))
+    tables = [spark.read.parquet(f"{path}/{name}") for name in ("rows", "heads", "names")]
+    return _with_statistics(*tables)
 
 
 # ---- search ----------------------------------------------------------------------------------
@@ -193,16 +202,25 @@ def block_bounds(weighted: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def _scored(blocks: DataFrame, weighted: DataFrame, postings: Postings) -> DataFrame:
-    """Full scores above 0 of all chunks of the given ``query_id, block``."""
+    """Full scores above 0 of all chunks of the given ``query_id, block``.
+
+    Postings are shuffled by block before they meet the questions; nothing else is.
+    """
     avgdl = postings.corpus.select("avgdl").scalar()
-    # its size is known once it is written, and the planner chooses the join by it
-    wanted = materialize(blocks.select("query_id", "block").join(weighted, "query_id"))
-    rows = postings.rows.select("bucket", "term", "block", "no", impact(avgdl).alias("impact"))
+    # a row for each block, with as many questions as ask for it
+    wanted = materialize(blocks.groupBy("block").agg(F.collect_list("query_id").alias("asking")))
+    tasks = -(-wanted.count() // TASK_BLOCKS)
+    rows = postings.rows.join(wanted.select("block"), "block", "left_semi")
+    asked = rows.join(weighted.select("bucket", "term").distinct(), ["bucket", "term"], "left_semi")
+    placed = asked.select("bucket", "term", "block", "no", impact(avgdl).alias("impact")).repartition(max(1, tasks), "block")
+    met = placed.join(wanted, "block").join(weighted, ["bucket", "term"])
+    # a chunk lies in one block, so this sum needs no further shuffle
     return (
-        rows.join(wanted, ["bucket", "term", "block"])
-        .groupBy("query_id", "no")
+        met.filter(F.array_contains("asking", F.col("query_id")))
+        .groupBy("query_id", "block", "no")
         .agg(F.sum(F.col("weight") * F.col("impact")).alias("score"))
         .filter("score > 0")
+        .select("query_id", "no", "score")
     )
 
 
@@ -243,7 +261,7 @@ def search(queries: DataFrame, postings: Postings, top_k: int = 20) -> DataFrame
     )
     scored = found.drop("rank").unionByName(reaching.withColumn("score", score))
     return (
-        _best(scored, top_k)
+        materialize(_best(scored, top_k))  # top_k rows a question
         .join(postings.names, "no")
         .select("query_id", "chunk_id", "doc_id", "ordinal", "score", "rank")
     )

@@ -746,7 +746,7 @@ def joi4_stored_postings(spark, sf_dir):
 def snk6_index_upsert(spark, sf_dir):
     """The index of half of the documents, then all of them upserted; as the table holds it."""
     table = run.index_table(spark, _fresh(spark))
-    chunks = fx.chunks(spark, sf_dir)
+    chunks = materialize(fx.chunks(spark, sf_dir))
     run.build_index(chunks.filter(F.col("doc_id").cast("long") % 2 == 0), table)
     run.build_index(chunks, table, recreate=False)
     return retrieval.index_profile(table.read())
@@ -756,7 +756,7 @@ def snk6_index_upsert(spark, sf_dir):
 def mrg3_index_prune(spark, sf_dir):
     """All chunks indexed, then every document chunked anew to its first chunk only."""
     table = run.index_table(spark, _fresh(spark))
-    chunks = fx.chunks(spark, sf_dir)
+    chunks = materialize(fx.chunks(spark, sf_dir))
     run.build_index(chunks, table)
     run.build_index(chunks.filter("ordinal = 0"), table, recreate=False, prune=True)
     return table.read().select("point_id", "chunk_id", "doc_id")
@@ -840,7 +840,7 @@ def stm2_stream_ingest(spark, sf_dir):
         settings,
         as_of=fx.AS_OF,
         ingested_at=F.col("timestamp"),
-        tasks=spark.sparkContext.defaultParallelism,
+        tasks=_cores(spark),
     )
     return silver.bronze_table(spark, settings).rows()
 
@@ -858,6 +858,7 @@ def stm1_many_batches(spark, sf_dir):
         settings,
         as_of=fx.AS_OF,
         ingested_at=F.col("timestamp"),
+        tasks=_cores(spark),  # three files would be three tasks
     )
     return silver.bronze_table(spark, settings).rows()
 
@@ -903,6 +904,11 @@ def _event_stream(spark, sf_dir):
     return fx.messages_of(reader.parquet(sf_dir))
 
 
+def _cores(spark) -> int:
+    """Tasks for messages whose file has few row groups."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _stage_counts(spark, settings):
     """Stages of a run from its lineage: status, events, and each count they left."""
     events = lineage.read_events(spark, settings.lineage_path)
@@ -921,7 +927,7 @@ def pip1_full_run(spark, sf_dir):
     """All five stages as one run on the event stream, with every document indexed."""
     settings = dataclasses.replace(_fresh(spark), max_age_minutes=60 * 24 * 40)
     events, documents = _event_stream(spark, sf_dir), fx.documents(spark, sf_dir)
-    run.run_pipeline(spark, settings, events, "full-run", fx.AS_OF, documents=documents)
+    run.run_pipeline(spark, settings, events, "full-run", fx.AS_OF, documents=documents, tasks=_cores(spark))
     return _stage_counts(spark, settings)
 
 
@@ -930,7 +936,7 @@ def pip2_staged_run(spark, sf_dir):
     """Ingest, Silver, a gate that fails, and Gold as stages of one run."""
     settings = _fresh(spark)
     steps = lineage.Lineage(spark, settings, "staged-run")
-    run.stage_ingest(steps, _event_stream(spark, sf_dir), fx.AS_OF)
+    run.stage_ingest(steps, _event_stream(spark, sf_dir), fx.AS_OF, tasks=_cores(spark))
     run.stage_build_silver(steps, fx.AS_OF)
     with contextlib.suppress(quality.QualityGateError):
         run.stage_quality_gate(steps, fx.AS_OF)
@@ -958,7 +964,7 @@ def pip4_run_datasets(spark, sf_dir):
     settings = dataclasses.replace(_fresh(spark), kafka_servers="broker:9092")
     with _environment(PIPELINE_RUN_ID="scheduled-run"):
         steps = lineage.Lineage(spark, settings)
-    run.stage_ingest(steps, _event_stream(spark, sf_dir), fx.AS_OF)
+    run.stage_ingest(steps, _event_stream(spark, sf_dir), fx.AS_OF, tasks=_cores(spark))
     run.stage_build_silver(steps, fx.AS_OF)
     events = lineage.read_events(spark, settings.lineage_path).filter("eventType = 'COMPLETE'")
     counted = F.coalesce(

@@ -47,26 +47,35 @@ def build_index(
     Without ``recreate`` they are upserted; ``prune`` then also removes chunks that a
     re-chunked document no longer has.
     """
-    rows = index_rows(chunks, load)
-    if recreate:
-        return table.replace(rows)
-    documents = rows.select("doc_id").distinct() if prune else None
-    return table.upsert(rows, replacing=documents).source_rows
+    with work_tables(table.spark):
+        # chunked and embedded once, whatever is read of it afterwards
+        rows = table.stage(index_rows(chunks, load))
+        if recreate:
+            return table.replace(rows)
+        documents = materialize(rows.select("doc_id").distinct()) if prune else None
+        return table.upsert(rows, replacing=documents).source_rows
 
 
 def stage_ingest(
-    lineage: Lineage, messages: DataFrame, as_of=None, deadletters: Callable | None = None
+    lineage: Lineage,
+    messages: DataFrame,
+    as_of=None,
+    deadletters: Callable | None = None,
+    tasks: int | None = None,
 ) -> dict[str, int]:
     """Drain a stream of messages, from files or Kafka, into Bronze and the dead letters.
 
     ``deadletters`` also gets the rejected messages of each batch as ``(key, value)`` records,
-    say ``lambda rows: publish_kafka(rows, servers, topic)``.
+    say ``lambda rows: publish_kafka(rows, servers, topic)``.  ``tasks`` spreads the batches of a source
+    with fewer partitions than the cluster has cores.
     """
     settings = lineage.settings
     with lineage.stage(
         "ingest", inputs=["kafka.raw"], outputs=["table.bronze", "kafka.deadletter"]
     ) as run:
-        stats = ingest_available(messages, settings, as_of=as_of, deadletters=deadletters).as_dict()
+        stats = ingest_available(
+            messages, settings, as_of=as_of, deadletters=deadletters, tasks=tasks
+        ).as_dict()
         run.rows(**stats)
         return stats
 
@@ -130,19 +139,20 @@ def run_pipeline(
     as_of: datetime | str | None = None,
     deadletters: Callable | None = None,
     documents: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> dict:
     """All stages under one parent run.
 
     ``source`` is a path of input lines, read as a stream in their order, or a streaming
     DataFrame in the Kafka layout (``stream_kafka``).  ``documents`` takes the place of the corpus
-    folder where guidelines are a table.  A failing gate raises, so Gold and the index stay as they are.
+    folder where guidelines are a table; ``tasks`` spreads the messages of a source of few partitions.  A failing gate raises, so Gold and the index stay as they are.
     """
     prepare(spark)
     lineage = Lineage(spark, settings, run_id)
     if isinstance(source, str):
         source = msg.stream_lines(spark, source, settings.raw_topic)
     results: dict = {"parent_run_id": lineage.parent_run_id}
-    results["ingest"] = stage_ingest(lineage, source, as_of, deadletters)
+    results["ingest"] = stage_ingest(lineage, source, as_of, deadletters, tasks)
     results["silver"] = stage_build_silver(lineage, as_of).as_dict()
     stage_quality_gate(lineage, as_of)
     results["gold"] = stage_build_gold(lineage, as_of)

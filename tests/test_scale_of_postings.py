@@ -57,3 +57,14 @@ def test_scores_are_summed_where_the_postings_arrive(spark, monkeypatch):
     )
     wanted = {(r["query_id"], r["no"]): r["score"] for r in plain.collect()}
     assert found.keys() == wanted.keys() and all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
+
+
+def test_chunks_of_one_place_share_their_postings(spark):
+    """As in a table of repeated rows: each has the postings of both, and its bound allows for that."""
+    df = chunks_df(spark, 60, 10)
+    twice = df.unionByName(df.filter("doc_id < 'd000005'"))
+    built = postings.build(twice)
+    assert built.corpus.first()["n"] == 65 and built.rows.count() == 55 * 10 + 5 * 2 * 2 * 10
+    queries = spark.createDataFrame([("q", "w1 w2")], ["query_id", "query"])
+    found = [(r["chunk_id"], r["score"]) for r in postings.search(queries, built, 4).orderBy("rank").collect()]
+    assert len({c for c, _ in found[:2]}) == 1 and found[0][1] == found[1][1]

@@ -115,12 +115,29 @@ def _tables(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
         forward.sortWithinPartitions("doc_id", "ordinal").withColumn("no", F.monotonically_increasing_id())
     )
     topics = F.least(ordered.agg(F.count_distinct("topic")).scalar(), F.lit(MOST_TOPICS))
-    rows = ordered.select("topic", "no", "length", _block(topics).alias("block"), F.inline("postings")).select(
-        bucket(F.col("term")).alias("bucket"), "term", "topic", "no", "tf", "length", "block"
+    rows = _with_copies(ordered).select(
+        "topic", "no", "length", "copies", _block(topics).alias("block"), F.inline("postings")
     )
+    rows = rows.select(bucket(F.col("term")).alias("bucket"), "term", "topic", "no", "tf", "length", "block", "copies")
     return rows, ordered.select("doc_id", "ordinal", "chunk_id", "length", "no")
 
 
+def _with_copies(ordered: DataFrame) -> DataFrame:
+    """``topic, no, length, postings, copies``: where a place (doc_id, ordinal) repeats, each chunk there has
+    the postings of all of them, and ``copies`` is how many; a chunk without a place has none."""
+    place = ["doc_id", "ordinal"]
+    repeated = materialize(ordered.groupBy(*place).agg(F.count("*").alias("copies")).filter("copies > 1").dropna())
+    columns = ["topic", "no", "length", "postings", "copies"]
+    own = ordered.dropna(subset=place)
+    if repeated.isEmpty():
+        return own.withColumn("copies", F.lit(1).cast("bigint")).select(*columns)
+    own = own.join(repeated, place, "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("bigint")))
+    there = ordered.join(repeated, place)
+    others = there.select(*place, "length", "postings", F.col("no").alias("_of"))
+    more = there.select(*place, "topic", "no", "copies").join(others, place).filter("no != _of")
+    return own.select(*columns).unionByName(materialize(more.select(*columns)))
+
+
 def raw_idf(n: Column, df: Column) -> Column:
     return F.ln(n - df + 0.5) - F.ln(df + 0.5)
 
@@ -148,7 +165,8 @@ def _block(topics: Column) -> Column:
 def _heads(rows: DataFrame, names: DataFrame) -> DataFrame:
     """Bounds of posting rows; where these are in order, a task's partial sums are nearly all there is."""
     avgdl = names.agg(F.avg("length")).scalar()
-    return rows.groupBy("bucket", "term", "block").agg(F.count("*").alias("df"), F.max(impact(avgdl)).alias("most"))
+    most = F.max(impact(avgdl) * F.col("copies"))
+    return rows.groupBy("bucket", "term", "block").agg(F.count("*").alias("df"), most.alias("most"))
 
 
 def _with_statistics(rows: DataFrame, heads: DataFrame, names: DataFrame) -> Postings:
@@ -161,7 +179,7 @@ def _with_statistics(rows: DataFrame, heads: DataFrame, names: DataFrame) -> Pos
 def build(chunks: DataFrame) -> Postings:
     """Index of ``chunks`` in work tables; the rows are those of the chunks in order."""
     rows, names = _tables(chunks)
-    return _with_statistics(rows, materialize(_heads(rows, names)), names)
+    return _with_statistics(rows.drop("copies"), materialize(_heads(rows, names)), names)
 
 
 def write(chunks: DataFrame, path: str) -> None:
@@ -171,7 +189,7 @@ def write(chunks: DataFrame, path: str) -> None:
     """
     rows, names = _tables(chunks)
     # parts of a bucket by block, so that a frequent term is not one task
-    dealt = rows.repartition("bucket", F.pmod(F.xxhash64("block"), F.lit(PARTS))).sortWithinPartitions("bucket", "block", "no")
+    dealt = rows.drop("copies").repartition("bucket", F.pmod(F.xxhash64("block"), F.lit(PARTS))).sortWithinPartitions("bucket", "block", "no")
     names.write.mode("overwrite").parquet(f"{path}/names")
     _heads(rows, names).write.mode("overwrite").parquet(f"{path}/heads")
     dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wardflow.functions.text import strip
+from wardflow.functions.text import strip, strip_column
 from wardflow.functions.times import iso_utc
 
 
@@ -56,7 +56,7 @@ def _from_bool(text: Column) -> Column:
 
 
 def to_string(kind: Column, text: Column) -> Column:
-    return F.when(kind == "STRING", strip(text))
+    return F.when(kind == "STRING", strip_column(text))
 
 
 def string_reason(kind: Column, text: Column, value: Column) -> Column:

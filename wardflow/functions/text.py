@@ -33,6 +33,15 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def strip_column(text: Column) -> Column:
+    """``strip`` of a column that is at hand: only a text with whitespace at an end is searched.
+
+    The text is named several times, so anything that is computed belongs in ``strip``.
+    """
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(ends.rlike(r"(?U)\s"), strip(text)).otherwise(text)
+
+
 def collapse(text: Column) -> Column:
     return strip(F.regexp_replace(text, r"(?U)\s+", " "))
 

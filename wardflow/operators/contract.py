@@ -119,27 +119,29 @@ def _record_reason() -> Column:
 def decode(messages: DataFrame) -> DataFrame:
     """Adds the parsed message, its unknown fields, and kind and text of every contract field.
 
-    The text is parsed once, into a VARIANT, which tells "78" from 78.  A VARIANT sorts its keys,
-    so only a message with two unknown fields or more is looked at again for their input order,
-    which decides the order of its reasons.
+    The text is parsed once, into a VARIANT, which tells "78" from 78, and the fields are taken out of
+    that once, into a map.  A VARIANT sorts its keys, so only a message with two unknown fields or more
+    is looked at again for their input order, which decides the order of its reasons.
     """
     known = F.lit(list(FIELDS))
     parsed = messages.withColumn("_doc", F.expr("try_parse_json(value)"))
-    keys = F.map_keys(F.expr("try_variant_get(_doc, '$', 'map<string,variant>')"))
     in_order = F.array_except(F.expr("array_distinct(json_object_keys(value))"), known)
     return (
-        parsed.withColumn("_others", F.array_except(keys, known))
+        parsed.withColumn("_fields", F.expr("try_variant_get(_doc, '$', 'map<string,variant>')"))
+        .withColumns({f"_field_{name}": F.try_element_at("_fields", F.lit(name)) for name in FIELDS})
+        .withColumn("_others", F.array_except(F.map_keys("_fields"), known))
         .withColumn("_unknown", F.when(F.size("_others") > 1, in_order).otherwise(F.col("_others")))
         .withColumns(
             {
-                f"_{part}_{name}": F.expr(expression.format(f"try_variant_get(_doc, '$.{name}', {kind})"))
+                f"_{part}_{name}": F.expr(expression.format(f"_field_{name}"))
                 for name in FIELDS
-                for part, expression, kind in (
-                    ("kind", "schema_of_variant({})", "'variant'"),
-                    ("text", "{}", "'string'"),
+                for part, expression in (
+                    ("kind", "schema_of_variant({})"),
+                    ("text", "try_variant_get({}, '$', 'string')"),
                 )
             }
         )
+        .drop("_fields", *[f"_field_{name}" for name in FIELDS])
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.text import strip
+from wardflow.functions.text import strip_column
 from wardflow.schemas import MESSAGE
 from wardflow.sources.files import Files
 from wardflow.sources.line_log import NAME as LINES
@@ -20,13 +20,17 @@ PRODUCER_MARK = "_corruption"
 
 def nonblank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines stripped of surrounding whitespace, blank ones dropped."""
-    return lines.withColumn(column, strip(F.col(column))).filter(F.col(column) != "")
+    return lines.withColumn(column, strip_column(F.col(column))).filter(F.col(column) != "")
 
 
 def without_mark(value: Column) -> Column:
-    """The message without the fault-injection mark; other messages keep their exact text."""
+    """The message without the fault-injection mark; other messages keep their exact text.
+
+    A key is spelt as it is or with an escape, so most messages need not be parsed to see.
+    """
     doc = F.try_parse_json(value)
-    marked = F.array_contains(F.json_object_keys(value), PRODUCER_MARK)
+    possible = value.contains(PRODUCER_MARK) | value.contains("\\")
+    marked = possible & F.array_contains(F.json_object_keys(value), PRODUCER_MARK)
     fields = F.try_variant_get(doc, "$", "map<string,variant>")
     kept = F.to_json(F.map_filter(fields, lambda k, v: k != PRODUCER_MARK))
     return F.when(marked, kept).otherwise(value)

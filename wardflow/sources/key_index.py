@@ -74,13 +74,28 @@ class KeyIndex:
     def _bucketed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(BUCKETS)).cast("int"))
 
+    def _opened(self, wanted: DataFrame) -> DataFrame:
+        """The stored pairs in the buckets of bucketed keys."""
+        buckets = [r[0] for r in wanted.select("_bucket").distinct().collect()]  # BUCKETS at most
+        return self._stored.rows().filter(F.col("_bucket").isin(buckets))
+
+    def _found(self, source: DataFrame) -> DataFrame:
+        wanted = self._bucketed(source.select(*self.keys))
+        return self._opened(wanted).join(wanted, ["_bucket", *self.keys], "left_semi")
+
     def find(self, source: DataFrame) -> DataFrame:
         """Pairs of the keys of ``source``; only their buckets are opened."""
-        wanted = self._bucketed(source.select(*self.keys))
-        buckets = [r[0] for r in wanted.select("_bucket").distinct().collect()]  # BUCKETS at most
-        pairs = self._stored.rows().filter(F.col("_bucket").isin(buckets))
-        on = ["_bucket", *self.keys]
-        return pairs.join(wanted, on, "left_semi").select(*self.keys, self.part).distinct()
+        return self._found(source).select(*self.keys, self.part).distinct()
+
+    def parts_of(self, source: DataFrame) -> list[str]:
+        """The partitions that may hold keys of ``source``; keys are not shuffled to tell them apart."""
+        return [r[0] for r in self._found(source).select(self.part).distinct().collect()]
+
+    def missing(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` that are not stored yet."""
+        wanted = self._bucketed(pairs.select(*self.keys, self.part))
+        on = ["_bucket", *self.keys, self.part]
+        return wanted.join(self._opened(wanted), on, "left_anti").select(*self.keys, self.part)
 
     def add(self, pairs: DataFrame) -> None:
         """Name more places.  Nothing is written where there are none."""

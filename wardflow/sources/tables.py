@@ -224,7 +224,7 @@ class KeyedTable:
             return
         pairs = staged.select(*self.keys, self.PART)
         if self.index.exists():
-            pairs = pairs.join(self.index.find(staged), [*self.keys, self.PART], "left_anti")
+            pairs = self.index.missing(pairs)
         self.index.add(pairs)
 
     def _drop(self, parts: set[str]) -> None:
@@ -248,7 +248,7 @@ class KeyedTable:
         if self.index is not None:
             if not self.index.exists():  # a table written without one
                 self.index.replace(self._load())
-            parts = self._values(self.index.find(source))
+            parts = self.index.parts_of(source)
         rows = self._load(parts).select(*names)
         return materialize(rows.join(source.select(*self.keys), self.keys, "left_semi"))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -142,3 +144,48 @@ def test_bytes_of_an_id(library):
     ids = np.concatenate([token_files.narrow(np.array([*e.ids, token_files.END], "<u4")) for e in found])
     blocks = [ids[k : k + range_coder.BLOCK] for k in range(0, len(ids), range_coder.BLOCK)]
     assert sum(map(len, range_coder.encode(blocks))) < 1.31 * len(ids)
+
+
+def test_blocks_are_smaller_than_those_of_zlib(library):
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    found = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    ids = np.concatenate([np.array([*e.ids, token_files.END], "<u2") for e in found])
+    blocks = [ids[k : k + range_coder.BLOCK] for k in range(0, len(ids), range_coder.BLOCK)]
+    coded = range_coder.encode(blocks)
+    assert sum(map(len, coded)) < 0.99 * sum(len(zlib.compress(b.tobytes(), 6)) for b in blocks)
+    found = range_coder.decode(coded, [len(b) for b in blocks])
+    assert all((a == b).all() for a, b in zip(found, blocks, strict=True))
+
+
+def test_pretokens_are_encoded_once_and_many_at_a_time(own):
+    calls = []
+
+    def ids_of(tokens):
+        calls.append(tokens)
+        return [own.merge(t) for t in tokens]
+
+    encode = bpe.Encoder(own.special, ids_of)
+    texts = [" ".join(f"w{x:x}" for x in range(k, k + 2000)) for k in range(0, 20_000, 2000)]
+    texts += ["a" * 15, "b" * 16, "c" * 64, "d" * 65, "\0", "\0\0", "e" * 8 + "\0"]
+    first, second = encode(texts), encode(texts)
+    assert first == second == own.encode(texts)
+    tokens = [t for c in calls for t in c]
+    # only those of more than 64 bytes come again
+    assert [t for t, n in Counter(tokens).items() if n > 1] == [b"d" * 65]
+    assert len(calls) < len(tokens) / 100
+
+
+def test_forgotten_pretokens_are_encoded_again(own, library, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 40)
+    encode = bpe.Encoder(own.special, lambda tokens: [own.merge(t) for t in tokens])
+    for text in [*ODD_TEXTS, *(f"x{k} y{k * k} <|endoftext|> {'z' * k}" for k in range(60)), *ODD_TEXTS]:
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == wanted
+
+
+def test_many_special_tokens(own):
+    special = {f"<|{k}|>": 60_000 + k for k in range(40)}
+    encode = bpe.Encoder(special, lambda tokens: [own.merge(t) for t in tokens], (7, 8))
+    ids, ends = encode.flat(pa.array(["", "<|39|><|0|><|39|>", "<|15|> <|14|>", ""]))
+    assert ids.tolist() == [7, 8, 60_039, 60_000, 60_039, 7, 8, 60_015, *own.merge(b" "), 60_014, 7, 8, 7, 8]
+    assert ends.tolist() == [2, 7, 12, 14]

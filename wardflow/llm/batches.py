@@ -55,15 +55,15 @@ def per_text(fn: Callable[[list[str]], pa.Array], returns) -> Callable:
     return apply.asNondeterministic()
 
 
-def pieces(texts: pa.Array) -> Iterator[pa.Array]:
-    """Slices of consecutive rows holding at most ``PIECE_BYTES``, or one longer text."""
+def pieces(texts: pa.Array, size: int = PIECE_BYTES) -> Iterator[pa.Array]:
+    """Slices of consecutive rows holding at most ``size`` bytes, or one longer text."""
     texts = pc.fill_null(texts, "")
     if len(texts) == 0:
         return
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, start, base = np.cumsum(sizes), 0, 0
     while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(ends, base + PIECE_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, "right")))
         yield texts.slice(start, stop - start)
         start, base = stop, int(ends[stop - 1])
 

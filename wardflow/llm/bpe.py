@@ -4,7 +4,7 @@ A text is cut into pre-tokens by vectorised character classes; each pre-token is
 segment tree (of ``FAN`` children a node) over the ranks of its adjacent pairs.  The root holds
 the lowest rank, of equal ones the leftmost; a merge changes three leaves, each in logarithmic
 time, until the root holds no mergeable pair.  A worker remembers the ids of pre-tokens it has
-merged, a bounded number of them.
+merged, a bounded number of them; texts are cut and their pre-tokens looked up as whole arrays.
 
 Null texts count as empty and give no ids; repeated rows give repeated results; an empty table
 gives an empty one.  Only the named text column is read.
@@ -16,6 +16,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,20 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.batches import per_text
+from wardflow.llm.batches import per_text, raw
 
-# Pre-tokens that a worker remembers, twice.  Bounds memory, not results.
-MEMO = 200_000
+# Pre-tokens after which a worker forgets those it has met.  Bounds memory, not results.
+MEMO = 1_000_000
+
+# Pre-tokens that are encoded in one call.
+BATCH = 256
+
+# Places for pre-tokens of at most 15 bytes.  Such a one is two numbers: its first eight bytes, and
+# the rest with its length.
+_PLACES, _PADDING = 1 << 21, 16
+_FIRST = np.array([(1 << 8 * min(k, 8)) - 1 for k in range(17)], np.uint64)
+_SECOND = np.array([(1 << 8 * min(max(k - 8, 0), 7)) - 1 for k in range(17)], np.uint64)
+_LENGTH = np.array([k << 56 for k in range(17)], np.uint64)
 
 # Children of a segment-tree node.
 FAN = 16
@@ -35,7 +46,10 @@ FAN = 16
 # The contractions that the published pre-tokenizer cuts off.
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 
-_LETTER, _NUMBER, _SPACE, _OTHER, _BREAK = 0, 1, 2, 3, 4
+_LETTER, _NUMBER, _SPACE, _OTHER, _MARK, _BREAK = 0, 1, 2, 3, 4, 5
+
+# Bytes that UTF-8 does not have: between parts of a text, for a special token, and after a text.
+_PART_BYTE, _MARK_BYTE, _END_BYTE = 0xFD, 0xFE, 0xFF
 _NONE = 1 << 62
 
 
@@ -47,9 +61,8 @@ def _byte_letters() -> dict[str, int]:
 
 
 def character_classes() -> np.ndarray:
-    """Letter, number, space or other for each code point, and one value for the end of a text."""
-    kinds = np.full(0x110001, _OTHER, np.uint8)
-    kinds[0x110000] = _BREAK
+    """Letter, number, space or other for each code point."""
+    kinds = np.full(0x110000, _OTHER, np.uint8)
     for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\p{White_Space}+")):
         for first in range(0, 0x110000, 0x8000):
             points = "".join(
@@ -60,24 +73,54 @@ def character_classes() -> np.ndarray:
     return kinds
 
 
-def cut(points: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the pre-tokens of texts given as code points, ``0x110000`` after each."""
-    n, kind = len(points), classes[points]
+def kinds_of(data: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The class of each byte's character, for texts in UTF-8 with byte 255 after each."""
+    table = classes[:256].copy()
+    table[[_PART_BYTE, _MARK_BYTE, _END_BYTE]] = _BREAK, _MARK, _BREAK
+    kind = table[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    lead = lead[data[lead] < _PART_BYTE]
+    if len(lead):
+        first = data[lead]
+        size = np.where(first < 0xE0, 2, np.where(first < 0xF0, 3, 4))
+        points = first.astype(np.int32) & (0x7F >> size)
+        for k in (1, 2, 3):
+            more = np.flatnonzero(size > k)
+            points[more] = points[more] << 6 | data[lead[more] + k] & 0x3F
+        found = classes[points]
+        for k in (0, 1, 2, 3):
+            more = np.flatnonzero(size > k)
+            kind[lead[more] + k] = found[more]
+    return kind
+
+
+def cut(data: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Starts of the pre-tokens of texts in UTF-8, with byte 255 after each.
+
+    Bytes 253 and 255, and runs of bytes 254, are pre-tokens of their own.
+    """
+    n, kind = len(data), kinds_of(data, classes)
     first = np.ones(n + 1, bool)
     first[1:n] = kind[1:] != kind[:-1]
-    space = kind == _SPACE
+    breaks = np.flatnonzero(kind == _BREAK)
+    first[breaks] = True
     # the last of some white space goes with what follows it, if it is a plain space
-    last = np.zeros(n, bool)
-    last[:-1] = space[:-1] & (kind[1:] < _BREAK) & ~space[1:]
-    first[:n] |= last
-    joined = last & (points == 0x20)
-    first[1:][joined] = False
+    space = kind == _SPACE
+    last = np.flatnonzero(space[:-1] & (kind[1:] < _MARK) & ~space[1:])
+    plain = data[last] == 0x20
+    first[last[plain]] = True
+    first[last[plain] + 1] = False
+    lead = last[~plain]
+    while len(lead):
+        inner = data[lead] & 0xC0 == 0x80
+        first[lead[~inner]] = True
+        lead = lead[inner] - 1
     # contractions: an apostrophe that begins a pre-token, and the letters after it
-    quotes = np.flatnonzero((points == 0x27) & first[:n])
-    quotes = quotes[quotes + 1 < n]
+    quotes = np.flatnonzero(data == 0x27)
+    quotes = quotes[first[quotes]]
     quotes = quotes[kind[quotes + 1] == _LETTER]
     for at in quotes.tolist():
-        a, b = int(points[at + 1]), int(points[at + 2]) if at + 2 < n else 0
+        a, b = int(data[at + 1]), int(data[at + 2])
         length = next(
             (
                 len(c)
@@ -90,10 +133,7 @@ def cut(points: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray
             first[at + 1] = False
             if kind[at + 1 + length] == _LETTER:
                 first[at + 1 + length] = True
-    starts = np.flatnonzero(first[:n])
-    ends = np.append(starts[1:], n)
-    keep = kind[starts] != _BREAK
-    return starts[keep], ends[keep]
+    return np.flatnonzero(first[:n])
 
 
 class Bpe:
@@ -116,7 +156,7 @@ class Bpe:
         for rank, pair in enumerate(data["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocabulary[a] << 32 | vocabulary[b]] = (rank, vocabulary[a + b])
-        self.encode = Encoder(self.special, lambda token: self.merge(token.encode()))
+        self.encode = Encoder(self.special, lambda tokens: [self.merge(t) for t in tokens])
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -176,83 +216,164 @@ def _climb(tree: list[list[int]], at: int) -> None:
         level[at] = min(below[at * FAN : (at + 1) * FAN])
 
 
-class Special(str):
-    """A part of a text that is a special token."""
-
-
 class Encoder:
-    """Encodes whole texts by their pre-tokens; ``ids_of`` gives the ids of one."""
+    """Encodes whole texts by their pre-tokens; ``ids_of`` gives the ids of each of a list of them.
 
-    def __init__(self, special: dict[str, int], ids_of: Callable[[str], list[int]]):
-        self.special, self.memo = special, _Memo(ids_of)
+    Each text is followed by the ids ``end``.
+    """
+
+    def __init__(
+        self,
+        special: dict[str, int],
+        ids_of: Callable[[list[bytes]], list[list[int]]],
+        end: tuple[int, ...] = (),
+    ):
+        self.special, self.ids_of = [s.encode() for s in special], ids_of
         self.classes = character_classes()
-        self.splitter = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
+        self.splitter = regex.compile(b"(" + b"|".join(map(regex.escape, self.special)) + b")")
+        self.fixed = {bytes([_MARK_BYTE]) * (k + 1): [i] for k, i in enumerate(special.values())}
+        self.fixed |= {bytes([_PART_BYTE]): [], bytes([_END_BYTE]): list(end)}
+        self.forget()
+
+    def forget(self) -> None:
+        """Remembers the fixed pre-tokens only.  A pre-token is known by its number, from 1."""
+        self.number = np.zeros(_PLACES, np.int32)  # by hash, for pre-tokens of at most 15 bytes
+        self.keys = [_Growing(np.uint64), _Growing(np.uint64)]
+        self.long: dict[bytes, int] = {}
+        self.ids, self.begin, self.size = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
+        self.add([b""], [[]], False)
+        self.add(list(self.fixed), list(self.fixed.values()))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts, owner = self.segments(texts)
-        out: list[list[bytes]] = [[] for _ in texts]
-        ids = self.memo.__getitem__
-        for row, part, tokens in zip(owner, parts, pretokens(parts, self.classes), strict=True):
-            if tokens is None:
-                out[row].append(array("I", [self.special[part]]).tobytes())
-            else:
-                out[row].append(b"".join(map(ids, tokens)))
-        self.memo.trim()
-        return [b"".join(x) for x in out]
-
-    def segments(self, texts: list[str]) -> tuple[list[str], list[int]]:
-        """Texts cut at special tokens, and the row of each part."""
-        parts, owner = [], []
-        for row, text in enumerate(texts):
-            found = [text]
-            if any(s in text for s in self.special):
-                found = self.splitter.split(text)
-            parts += [Special(p) if k % 2 else p for k, p in enumerate(found)]
-            owner += [row] * len(found)
-        return parts, owner
-
-
-class _Memo(dict):
-    """Ids of pre-tokens: the latest ``MEMO`` and, until they are replaced, those before."""
-
-    def __init__(self, ids_of: Callable[[str], list[int]]):
-        super().__init__()
-        self.ids_of, self.old = ids_of, {}
-
-    def __missing__(self, token: str) -> bytes:
-        ids = self.old.get(token)
-        if ids is None:
-            ids = array("I", self.ids_of(token)).tobytes()
-        if len(token) <= 64:
-            self[token] = ids
-        return ids
-
-    def trim(self) -> None:
-        if len(self) > MEMO:
-            self.old = dict(self)
-            self.clear()
-
-
-def pretokens(parts: list[str], classes: np.ndarray) -> list[list[str] | None]:
-    """Pre-tokens of each part; None for special tokens."""
-    plain = [p for p in parts if not isinstance(p, Special)]
-    whole = "\0".join(plain) + "\0"
-    points = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int32)
-    breaks = np.cumsum([len(p) + 1 for p in plain], dtype=np.int64) - 1
-    if plain:
-        points[breaks] = 0x110000
-        starts, ends = cut(points, classes)
-        stops = np.searchsorted(starts, breaks).tolist()
-        tokens = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    out, at, k = [], 0, 0
-    for part in parts:
-        if isinstance(part, Special):
-            out.append(None)
-        else:
-            out.append(tokens[at : stops[k]])
-            at, k = stops[k], k + 1
-    return out
+        ids, ends = self.flat(pa.array(texts, pa.string()))
+        data, ends = ids.tobytes(), (4 * ends).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where those of each text end."""
+        if len(texts) == 0:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        texts.validate(full=True)  # UTF-8
+        if len(self.begin) > MEMO or len(self.ids) > 8 * MEMO:
+            self.forget()
+        padded = self.joined(texts)
+        data = np.frombuffer(padded, np.uint8)[:-_PADDING]
+        starts = cut(data, self.classes)
+        numbers = self.numbers(padded, starts, np.diff(starts, append=len(data)))
+        counts = self.size.values.take(numbers)
+        stops = np.cumsum(counts)
+        at = np.arange(int(stops[-1])) + np.repeat(self.begin.values.take(numbers) - stops + counts, counts)
+        return self.ids.values.take(at), stops[data[starts] == _END_BYTE]
+
+    def joined(self, texts: pa.Array) -> bytes:
+        """UTF-8 of all texts, byte 255 after each; as many bytes 254 as its number for a special token."""
+        data, at = raw(texts)
+        data, parts, special = data.tobytes(), [], self.special
+        found = any(s in data for s in special)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            text = data[a:b]
+            if found and any(s in text for s in special):
+                cuts = self.splitter.split(text)
+                cuts[1::2] = [bytes([_MARK_BYTE]) * (special.index(s) + 1) for s in cuts[1::2]]
+                text = bytes([_PART_BYTE]).join(cuts)
+            parts.append(text)
+        parts.append(bytes(_PADDING))
+        return bytes([_END_BYTE]).join(parts)
+
+    def numbers(self, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each pre-token, given by its place; new ones are encoded."""
+        eight = np.ascontiguousarray(np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)))
+        short = np.minimum(sizes, 16)
+        first = eight.take(starts) & _FIRST.take(short)
+        second = eight.take(starts + 8) & _SECOND.take(short) | _LENGTH.take(short)
+        del eight
+        out = self.placed(first, second)
+        for k in np.flatnonzero(sizes > 15).tolist():
+            out[k] = self.long.get(data[starts[k] : starts[k] + sizes[k]], 0)
+        missing = np.flatnonzero(out == 0)
+        if len(missing):
+            a, b = starts[missing], starts[missing] + sizes[missing]
+            tokens = [data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+            places = dict(zip(reversed(tokens), reversed(missing.tolist()), strict=True))
+            new, at = list(places), list(places.values())
+            base = len(self.begin)
+            for k in range(0, len(new), BATCH):
+                self.add(new[k : k + BATCH], self.ids_of(new[k : k + BATCH]), False)
+            self.place(first[at], second[at], sizes[at], base)
+            self.long |= {t: base + k for k, t in enumerate(new) if 15 < len(t) <= 64}
+            number = dict(zip(new, range(base, base + len(new)), strict=True))
+            out[missing] = [number[t] for t in tokens]
+        return out
+
+    def add(self, tokens: list[bytes], ids: list[list[int]], place: bool = True) -> None:
+        """Numbers for the next pre-tokens and their ids."""
+        base, size = len(self.begin), np.fromiter(map(len, ids), np.int64, len(ids))
+        self.begin.extend(len(self.ids) + np.cumsum(size) - size)
+        self.size.extend(size)
+        self.ids.extend(np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())))
+        if place:
+            words = np.frombuffer(b"".join(t[:16].ljust(16, b"\0") for t in tokens), "<u8")
+            sizes = np.array([min(len(t), 16) for t in tokens])
+            self.place(words[::2], words[1::2] | _LENGTH.take(sizes), sizes, base)
+            self.long |= {t: base + k for k, t in enumerate(tokens) if len(t) > 15}
+
+    def placed(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The number of each pre-token of at most 15 bytes, 0 where it is not remembered."""
+        place = _place(first, second)
+        out, keys = self.number.take(place), [k.values for k in self.keys]
+        wrong = (keys[0].take(out) != first) | (keys[1].take(out) != second)
+        left = np.flatnonzero(wrong & (out > 0))
+        out[wrong] = 0
+        while len(left):
+            place[left] = place[left] + 1 & _PLACES - 1
+            found = self.number.take(place[left])
+            same = (keys[0].take(found) == first[left]) & (keys[1].take(found) == second[left])
+            out[left[same]] = found[same]
+            left = left[~same & (found > 0)]
+        return out
+
+    def place(self, first: np.ndarray, second: np.ndarray, sizes: np.ndarray, base: int) -> None:
+        """Remembers pre-tokens numbered from ``base``, those that fit."""
+        while len(self.keys[0]) < base:
+            for keys in self.keys:
+                keys.extend(np.zeros(base - len(keys), np.uint64))
+        for keys, words in zip(self.keys, (first, second), strict=True):
+            keys.extend(words)
+        room = max(0, _PLACES * 3 // 4 - base)
+        left = np.flatnonzero(sizes[:room] < 16)
+        place, number = _place(first, second), np.arange(base, base + len(sizes), dtype=np.int32)
+        while len(left):
+            free = left[self.number[place[left]] == 0]
+            self.number[place[free]] = number[free]
+            left = left[self.number[place[left]] != number[left]]
+            place[left] = place[left] + 1 & _PLACES - 1
+
+
+def _place(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = (first + second * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+    return (mixed >> np.uint64(43)).astype(np.int64)
+
+
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.room, self.used = np.zeros(1 << 12, kind), 0
+
+    def __len__(self) -> int:
+        return self.used
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.used]
+
+    def extend(self, more: np.ndarray) -> None:
+        while self.used + len(more) > len(self.room):
+            self.room = np.concatenate([self.room, np.zeros_like(self.room)])
+        self.room[self.used : self.used + len(more)] = more
+        self.used += len(more)
 
 
 _loaded: dict[int, Bpe] = {}

@@ -2,108 +2,160 @@
 
 Every block starts from the same state and can be decoded alone.  Within a block three models
 predict the next id: order 2 and order 1 remember, by hash of the last two ids or of the last one,
-which id followed; order 0 counts the ids' digits.  They are mixed into one distribution,
+which id followed; order 0 counts the ids' digits.  An id is coded as who guessed it,
 
-    a [id is order 2's guess] + b [id is order 1's guess] + (1 - a - b) order 0,
+    a [order 2] + (1 - a) b [order 1] + (1 - a) (1 - b) [neither],
 
 whose weights a and b adapt, each in the context of which models guessed right the last two times
-and whether both guess the same now.  The mixed distribution drives a carry-less range coder with
-16-bit output.
+and whether both guess the same now, and, if neither did, as its digits under order 0: the high one
+and, in the context of its group, the low one.  Both go into one interval of the range coder, whose
+carries are settled when a block ends.
 
-Blocks lie side by side as lanes of numpy arrays: one step codes the next id of each.
+Blocks lie side by side as lanes of numpy arrays: one step codes the next id of each.  What does
+not depend on the lane's state is looked up for many steps, and counts are taken when they are
+looked at again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
-BLOCK = 2048  # ids of a block
-LANES = 4096  # blocks coded side by side
+BLOCK = 4096  # ids of a block
+LANES = 2048  # blocks coded side by side
+
+_SLOT_BITS = 11
+_FLAG_BITS, _DIGIT_BITS = 16, 12
+_RENEW = (48, 256, 1024, 2304)  # ids after which order 0 looks at its counts again
+_STEP = 32  # ids of a lane looked up together
+
+# Groups of high digits, for the counts of low ones: small ids are the more frequent ones.
+_BOUNDS = (1, 3, 8, 32)
+_GROUPS = len(_BOUNDS) + 1
+_LIMITS = [np.uint8(x) for x in _BOUNDS]
+
+# Both weights lie in one number, a in its low half; each moves 1/32 of its way to 64 or 63,040.
+_LOWER, _RIGHT, _STILL = 0x07FF, 1968, 2
 
-_SLOT_BITS = 10
-_TOTAL_BITS, _DIGIT_BITS = 20, 12
-_GROUPS = 4  # of high digits, for the counts of low ones
-_RENEW = (32, 128, 384, 1024)  # ids after which order 0 looks at its counts again
+# The coder's state has 62 bits and puts out 16 at a time.
 _U = np.uint64
-_SETTLED, _LEAST = _U(1 << 48), _U(1 << 32)
+_WORD, _LEAST = _U(16), _U(1 << 46)
+_KEPT = _U((1 << 46) - 1)
+_PASSED = np.uint32(1 << 2 * _DIGIT_BITS)  # the whole interval, for ids that were guessed
+_MASK, _HALF, _ALL = np.uint32(0xFFFF), np.uint32(16), np.uint32(1 << _FLAG_BITS)
+_ONE, _TWO = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
 class _Model:
-    """Predictions for ``n`` lanes."""
-
-    def __init__(self, n: int):
-        slots = n << _SLOT_BITS
-        self.guess = [np.zeros(slots, np.uint16) for _ in range(2)]
-        self.weight = [np.full(n * 32, 8192, np.int32) for _ in range(2)]
-        # order 0: small ids are the more frequent ones
-        prior = np.maximum(1, 128 // (np.arange(256) + 4)).astype(np.uint16)
-        self.high = np.tile(prior, (n, 1))
-        self.low = np.full((n, _GROUPS, 256), 1, np.uint16)
-        self.high_flat, self.low_flat = self.high.reshape(-1), self.low.reshape(-1)
-        self.last = np.zeros((2, n), np.uint32)
-        self.past = np.zeros(n, np.int64)  # orders that guessed the last two ids
-        self.lane = np.arange(n)
-        self.renew(n)
-
-    @staticmethod
-    def _cumulated(counts: np.ndarray) -> np.ndarray:
-        total = np.cumsum(counts, axis=-1, dtype=np.uint32)
-        # whole-number arithmetic, so that every machine gets the same sums
-        share = ((((1 << _DIGIT_BITS) - 256) << 16) // total[..., -1:]).astype(np.uint64)
-        out = np.zeros((*counts.shape[:-1], 257), np.uint16)
-        out[..., 1:] = (total * share >> _U(16)).astype(np.uint16) + np.arange(1, 257, dtype=np.uint16)
-        out[..., 256] = 1 << _DIGIT_BITS
-        return out
+    """Predictions for ``lanes`` lanes, of which the first ``n`` still have ids.
+
+    Choices among lanes are sums of products with 0 or 1, which numpy makes faster than it chooses:
+    ``not_two`` where order 2 is wrong, ``missed`` where order 1 is as well.
+    """
+
+    def __init__(self, lanes: int, inverse: bool):
+        self.guess = np.zeros(2 * lanes << _SLOT_BITS, np.uint16)
+        self.weight = np.full(lanes * 32, 8192 << 16 | 8192, np.uint32)
+        prior = np.maximum(1, 128 // (np.arange(256) + 1)).astype(np.uint16)
+        self.high = np.tile(prior, (lanes, 1))
+        self.low = np.full((lanes * _GROUPS, 256), 1, np.uint16)
+        self.lanes, self.inverse = lanes, inverse
+        self.past = np.zeros(lanes, np.uint8)  # orders that guessed the last two ids
+        self.narrow(lanes)
+        # at first all lanes are alike
+        self.renew(1)
+        self.high_share, self.low_share = np.tile(self.high_share, lanes), np.tile(self.low_share, lanes)
+        if inverse:
+            self.high_digit, self.low_digit = np.tile(self.high_digit, lanes), np.tile(self.low_digit, lanes)
+
+    def narrow(self, n: int) -> None:
+        """Goes on with the first ``n`` lanes."""
+        self.n, self.lane = n, np.arange(n)
+        self.past = self.past[:n]
+        self.slots = np.concatenate([self.lane, self.lane + self.lanes]) << _SLOT_BITS
+        self.contexts = self.lane << 5
+
+    def count(self, ids: np.ndarray) -> None:
+        """Counts ids, a row for each step, and renews the sums."""
+        high = (ids >> 8).astype(np.uint8)
+        self.high[: self.n] += _counted((self.lane << 8) + high, self.n)
+        at = ((self.lane * _GROUPS + _groups(high)) << 8) + (ids & np.uint16(255))
+        self.low[: self.n * _GROUPS] += _counted(at, self.n * _GROUPS)
+        self.renew(self.n)
 
     def renew(self, n: int) -> None:
-        self.high_sums = self._cumulated(self.high[:n]).ravel()
-        self.low_sums = self._cumulated(self.low[:n]).ravel()
-
-    def look(self, n: int) -> None:
-        """Guesses and weights for the next id of the first ``n`` lanes."""
-        a, b = self.last[0, :n], self.last[1, :n]
-        lane = self.lane[:n]
-        shift = np.uint32(32 - _SLOT_BITS)
-        both = a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA6B) + np.uint32(0x27D4EB2F)
-        one = a * np.uint32(0x9E3779B1)
-        base = lane << _SLOT_BITS
-        self.slot = [base + (h >> shift).astype(np.int64) for h in (both ^ (both >> np.uint32(15)), one)]
-        self.next = [self.guess[k][self.slot[k]] for k in (0, 1)]
-        same = self.next[0] == self.next[1]
-        mixed = (lane << 5) + (self.past[:n] << 1) + same
-        self.context = mixed
-        room = 1 << _TOTAL_BITS
-        self.a = self.weight[0][mixed].astype(np.int64) << 4
-        self.b = ((room - self.a) * self.weight[1][mixed]) >> 16
-        self.rest = room - self.a - self.b
-
-    def learn(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        """``hit`` is 0 or 1 for the order that guessed right, 2 for neither."""
-        mixed = self.context
-        for k in (0, 1):
-            at, right = mixed, hit == k
-            if k:
-                seen = np.flatnonzero(hit)
-                at, right = mixed[seen], right[seen]
-            now = self.weight[k][at]
-            now += (right * np.int32(62976) + np.int32(64) - now) >> 5
-            self.weight[k][at] = now
-            self.guess[k][self.slot[k]] = ids
-        self.past[:n] = (self.past[:n] & 3) << 2 | hit
-        self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = ids
-        lane, high = self.lane[:n], (ids >> 8).astype(np.int64)
-        self.high_flat[(lane << 8) + high] += 6
-        self.low_flat[(lane * _GROUPS + (high >> 6) << 8) + (ids & 255)] += 6
-
-
-def _short(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Lanes whose leading 16 bits are settled, or whose span has become too small."""
-    return np.flatnonzero(((low ^ (low + span)) < _SETTLED) | (span < _LEAST))
-
-
-def _grown(out: np.ndarray, used: int) -> np.ndarray:
-    return out if used < out.shape[1] - 8 else np.pad(out, ((0, 0), (0, out.shape[1])))
+        self.high_share = _shares(self.high[:n])
+        self.low_share = _shares(self.low[: n * _GROUPS])
+        if self.inverse:
+            self.high_digit, self.low_digit = _digits(self.high_share), _digits(self.low_share)
+
+    def look(self, slot: np.ndarray) -> None:
+        """Guesses and weights for the next id of each lane."""
+        found = self.guess.take(slot)
+        self.two, self.one = found[: self.n], found[self.n :]
+        self.context = self.contexts + (self.past << np.uint8(1) | (self.two == self.one))
+        self.now = self.weight.take(self.context)
+        self.a = self.now & _MASK
+        self.part = ((_ALL - self.a) * (self.now >> _HALF)) >> _HALF
+        self.both = self.a + self.part
+
+    def interval(self, not_two: np.ndarray, missed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of who guessed the id."""
+        a, part = self.a, self.part
+        size = a + not_two * (part - a) + missed * (_ALL - self.both - part)
+        return a * not_two + part * missed, size
+
+    def learn(self, slot: np.ndarray, ids: np.ndarray, not_two: np.ndarray, missed: np.ndarray) -> None:
+        """``ids`` twice, once for each order's slots."""
+        # order 1's weight stays where order 2 is right
+        less = (self.now >> np.uint32(5)) & (np.uint32(_LOWER) + not_two * np.uint32(_LOWER << 16))
+        more = not_two * np.uint32((_RIGHT + _STILL << 16) - _RIGHT) - missed * np.uint32(_RIGHT << 16)
+        self.weight[self.context] = self.now - less + (more + np.uint32(_RIGHT + _STILL))
+        self.guess[slot] = ids
+        # 0 for order 2, 1 for order 1, 2 for neither
+        self.past = (self.past & np.uint8(3)) << np.uint8(2) | (not_two + missed).astype(np.uint8)
+
+
+def _groups(high: np.ndarray) -> np.ndarray:
+    """The group of each high digit, as unsigned bytes."""
+    out = (high >= _LIMITS[0]).view(np.uint8)
+    for limit in _LIMITS[1:]:
+        out = out + (high >= limit)
+    return out
+
+
+def _counted(at: np.ndarray, rows: int) -> np.ndarray:
+    return (np.bincount(at.ravel(), minlength=rows << 8) * 6).astype(np.uint16).reshape(rows, 256)
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    """For each digit its start in the low 16 bits and its size, at least 1, in the high ones."""
+    total = np.cumsum(counts, axis=-1, dtype=np.uint32)
+    # whole-number arithmetic, so that every machine gets the same sums
+    share = np.uint32(((1 << _DIGIT_BITS) - 256) << 16) // total[:, -1:]
+    total *= share
+    total >>= np.uint32(16)
+    total += np.arange(1, 257, dtype=np.uint32)
+    total[:, 255] = 1 << _DIGIT_BITS
+    out = total << np.uint32(16)
+    out[:, 1:] -= (total[:, :-1] << np.uint32(16)) - total[:, :-1]
+    return out.ravel()
+
+
+def _digits(shares: np.ndarray) -> np.ndarray:
+    """The digit of every value below 2 ** ``_DIGIT_BITS``, for each row of shares."""
+    digit = np.arange(256, dtype=np.uint8)
+    return np.repeat(np.tile(digit, len(shares) >> 8), shares >> np.uint32(16))
+
+
+def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
+    """Steps of a constant number of lanes: first, stop, lanes, and whether counts are due first."""
+    stops = set(np.unique(sizes).tolist()) | {x for x in _RENEW if x < sizes[0]}
+    first = 0
+    for stop in sorted(stops):
+        yield first, stop, int(np.searchsorted(-sizes, -first, "left")), first in _RENEW
+        first = stop
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -117,62 +169,112 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     return out
 
 
-def _active(sizes: np.ndarray) -> np.ndarray:
-    """Number of lanes that still have an id at each step; lanes come longest first."""
-    return np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left")
+class _Writer:
+    """The range coder's state of each lane, and its words; a carry is the 17th bit of a word."""
+
+    def __init__(self, lanes: int, steps: int):
+        self.low, self.span = np.zeros(lanes, _U), np.full(lanes, 1 << 62, _U)
+        self.used = np.zeros(lanes, np.int64)
+        self.words = np.zeros((lanes, 128 + steps * 3 // 4), np.uint32)
+        self.narrow(lanes)
+
+    def narrow(self, n: int) -> None:
+        self.n = n
+        self.base = np.arange(len(self.used)) * self.words.shape[1]
+        self.flat = self.words.ravel()
+
+    def room(self, words: int) -> None:
+        if int(self.used.max()) + words > self.words.shape[1]:
+            self.words = np.pad(self.words, ((0, 0), (0, words + self.words.shape[1] // 2)))
+            self.narrow(self.n)
+
+    def put(self, start: np.ndarray, size: np.ndarray, digits: np.ndarray, width: np.ndarray) -> None:
+        n = self.n
+        low, span, used = self.low[:n], self.span[:n], self.used[:n]
+        unit = span >> _U(_FLAG_BITS)
+        low += unit * start
+        unit *= size
+        unit >>= _U(2 * _DIGIT_BITS)
+        low += unit * digits
+        np.multiply(unit, width, out=span)
+        # every lane notes a word; where none was due the next one takes its place
+        self.flat[self.base[:n] + used] = low >> _U(46)
+        due = (span < _LEAST).astype(_U)
+        used += due.view(np.int64)
+        low &= (due - _U(1)) | _KEPT
+        due <<= _U(4)
+        low <<= due
+        span <<= due
+        more = np.flatnonzero(span < _LEAST)
+        while len(more):
+            self.flat[self.base[more] + used[more]] = low[more] >> _U(46)
+            used[more] += 1
+            low[more] = (low[more] & _KEPT) << _WORD
+            span[more] <<= _WORD
+            more = more[span[more] < _LEAST]
+
+    def ended(self) -> list[bytes]:
+        """The words of each lane.  The last is the least that lies in its interval; the rest are 0."""
+        lane = np.arange(len(self.used))
+        self.words[lane, self.used] = (self.low + _KEPT) >> _U(46)
+        self.words[np.arange(self.words.shape[1]) > self.used[:, None]] = 0
+        words = self.words[:, : int(self.used.max()) + 1]
+        while len(carry := np.flatnonzero(words.ravel() > 0xFFFF)):
+            lane, at = np.divmod(carry, words.shape[1])
+            words[lane, at] &= np.uint32(0xFFFF)
+            words[lane, at - 1] += np.uint32(1)
+        words = words.astype("<u2")
+        return [words[k, : n + 1].tobytes() for k, n in enumerate(self.used.tolist())]
 
 
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     lanes, sizes = len(blocks), np.array([len(b) for b in blocks])
-    ids = np.zeros((int(sizes[0]), lanes), np.uint16)
+    steps = int(sizes[0])
+    ids = np.zeros((2 + steps, lanes), np.uint16)  # after two ids 0
     for k, block in enumerate(blocks):
-        ids[: len(block), k] = block
-    model = _Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out, used = np.zeros((lanes, 64 + len(ids) * 3 // 2), np.uint16), np.zeros(lanes, np.int64)
-
-    def put(n: int, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        unit = span[:n] >> _U(bits)
-        low[:n] += unit * start.astype(np.uint64)
-        span[:n] = unit * size.astype(np.uint64)
-        k = _short(low[:n], span[:n])
-        while len(k):
-            x, y = low[k], span[k]
-            y = np.where((x ^ (x + y)) < _SETTLED, y, (~x + _U(1)) & (_LEAST - _U(1)))
-            out[k, used[k]] = (x >> _U(48)).astype(np.uint16)
-            used[k] += 1
-            x, y = x << _U(16), y << _U(16)
-            low[k], span[k] = x, y
-            k = k[_short(x, y)]
-
-    for t, n in enumerate(_active(sizes).tolist()):
-        if t in _RENEW:
-            model.renew(n)
-        if t % 64 == 0:
-            out = _grown(out, int(used.max()) + 512)
-        now = ids[t, :n]
-        model.look(n)
-        a, b, rest = model.a, model.b, model.rest
-        hit = np.where(now == model.next[0], 0, np.where(now == model.next[1], 1, 2))
-        digit = model.lane[:n] * 257 + (now >> 8)
-        first = rest * model.high_sums[digit] >> _DIGIT_BITS
-        after = rest * model.high_sums[digit + 1] >> _DIGIT_BITS
-        start = np.where(hit == 0, 0, np.where(hit == 1, a, a + b + first))
-        size = np.where(hit == 0, a, np.where(hit == 1, b, after - first))
-        put(n, start, size, _TOTAL_BITS)
-        # the low digit; lanes that were guessed pass over it with the whole interval
-        digit = (model.lane[:n] * _GROUPS + (now >> 14)) * 257 + (now & 255)
-        lows = model.low_sums[digit]
-        start = np.where(hit == 2, lows, 0)
-        size = np.where(hit == 2, model.low_sums[digit + 1] - lows, 1 << _DIGIT_BITS)
-        put(n, start, size, _DIGIT_BITS)
-        model.learn(n, now, hit)
-    ends = [(int(x) >> s) & 0xFFFF for x in low for s in (48, 32, 16, 0)]
-    tail = np.array(ends, np.uint16).reshape(lanes, 4)
-    return [
-        out[k, : used[k]].astype("<u2").tobytes() + tail[k].astype("<u2").tobytes()
-        for k in range(lanes)
-    ]
+        ids[2 : 2 + len(block), k] = block
+    model, writer = _Model(lanes, False), _Writer(lanes, steps)
+    counted = 0
+    for first, stop, n, due in _spans(sizes):
+        if n < model.n:
+            model.narrow(n)
+            writer.narrow(n)
+        if due:
+            model.count(ids[2 + counted : 2 + first, :n])
+            counted = first
+        for at in range(first, stop, _STEP):
+            rows = min(_STEP, stop - at)
+            writer.room(4 * _STEP)
+            slots, digits, width = _looked_up(model, ids[at : at + rows + 2, :n])
+            twice = np.tile(ids[2 + at : 2 + at + rows, :n], (1, 2))
+            for k in range(rows):
+                now, slot = ids[2 + at + k, :n], slots[k]
+                model.look(slot)
+                differs = now != model.two
+                missed = (differs & (now != model.one)).astype(np.uint32)
+                not_two = differs.astype(np.uint32)
+                start, size = model.interval(not_two, missed)
+                writer.put(start, size, missed * digits[k], missed * width[k] + _PASSED)
+                model.learn(slot, twice[k], not_two, missed)
+    return writer.ended()
+
+
+def _looked_up(model: _Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the third row of ids and on: slots of both orders, and start and size under order 0.
+
+    The size is told by how much it differs, below 2^32, from the whole interval.
+    """
+    n, shift = model.n, np.uint32(32 - _SLOT_BITS)
+    one, two = ids[1:-1] * _ONE, ids[:-2] * _TWO
+    slots = np.tile(model.slots, (len(one), 1))
+    slots[:, :n] += (one + two) >> shift
+    slots[:, n:] += one >> shift
+    high, low = (ids[2:] >> 8).astype(np.uint8), ids[2:] & np.uint16(255)
+    share = model.high_share.take((model.lane << 8) + high)
+    under = model.low_share.take(((model.lane * _GROUPS + _groups(high)) << 8) + low)
+    size = share >> _HALF
+    start = ((share & _MASK) << np.uint32(_DIGIT_BITS)) + (under & _MASK) * size
+    return slots, start, size * (under >> _HALF) - _PASSED
 
 
 def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
@@ -187,73 +289,78 @@ def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     return out
 
 
-def _digit(sums: np.ndarray, base: np.ndarray, value: np.ndarray, scale: np.ndarray | None):
-    """The digit whose interval holds ``value``, by bisection of its lane's sums."""
-    found = np.zeros(len(base), np.int64)
-    for step in (128, 64, 32, 16, 8, 4, 2, 1):
-        edge = sums[base + found + step]
-        if scale is not None:
-            edge = scale * edge >> _DIGIT_BITS
-        found += step * (edge <= value)
-    return found
-
-
 def _decode(coded: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     lanes = len(coded)
-    words = [np.frombuffer(c, "<u2") for c in coded]
-    data = np.zeros((lanes, max(len(w) for w in words) + 4), np.uint16)
+    words = [np.frombuffer(c[: len(c) & ~1], "<u2") for c in coded]
+    data = np.zeros((lanes, max(len(w) for w in words) + 8), np.uint16)
     for k, w in enumerate(words):
         data[k, : len(w)] = w
-    model = _Model(lanes)
-    ids = np.zeros((int(sizes[0]), lanes), np.uint16)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    code = np.zeros(lanes, np.uint64)
+    offset, span = np.zeros(lanes, _U), np.full(lanes, 1 << 62, _U)
     for k in range(4):
-        code = code << _U(16) | data[:, k].astype(np.uint64)
-    used = np.full(lanes, 4)
-
-    def value(n: int, bits: int) -> np.ndarray:
-        unit = span[:n] >> _U(bits)
-        return np.minimum((code[:n] - low[:n]) // unit, _U((1 << bits) - 1)).astype(np.int64)
-
-    def take(n: int, start: np.ndarray, size: np.ndarray, bits: int) -> None:
-        unit = span[:n] >> _U(bits)
-        low[:n] += unit * start.astype(np.uint64)
-        span[:n] = unit * size.astype(np.uint64)
-        k = _short(low[:n], span[:n])
-        while len(k):
-            x, y = low[k], span[k]
-            y = np.where((x ^ (x + y)) < _SETTLED, y, (~x + _U(1)) & (_LEAST - _U(1)))
-            code[k] = code[k] << _U(16) | data[k, used[k]].astype(np.uint64)
-            used[k] += 1
-            x, y = x << _U(16), y << _U(16)
-            low[k], span[k] = x, y
-            k = k[_short(x, y)]
-
-    for t, n in enumerate(_active(sizes).tolist()):
-        if t in _RENEW:
-            model.renew(n)
-        model.look(n)
-        a, b, rest = model.a, model.b, model.rest
-        found = value(n, _TOTAL_BITS)
-        hit = np.where(found < a, 0, np.where(found < a + b, 1, 2))
-        base = model.lane[:n] * 257
-        high = _digit(model.high_sums, base, found - a - b, rest)
-        first = rest * model.high_sums[base + high] >> _DIGIT_BITS
-        after = rest * model.high_sums[base + high + 1] >> _DIGIT_BITS
-        start = np.where(hit == 0, 0, np.where(hit == 1, a, a + b + first))
-        size = np.where(hit == 0, a, np.where(hit == 1, b, after - first))
-        take(n, start, size, _TOTAL_BITS)
-        found = value(n, _DIGIT_BITS)
-        base = (model.lane[:n] * _GROUPS + np.where(hit == 2, high >> 6, 0)) * 257
-        digit = _digit(model.low_sums, base, found, None)
-        lows = model.low_sums[base + digit]
-        start = np.where(hit == 2, lows, 0)
-        size = np.where(hit == 2, model.low_sums[base + digit + 1] - lows, 1 << _DIGIT_BITS)
-        take(n, start, size, _DIGIT_BITS)
-        now = np.where(
-            hit == 0, model.next[0], np.where(hit == 1, model.next[1], high << 8 | digit)
-        ).astype(np.uint16)
-        ids[t, :n] = now
-        model.learn(n, now, hit)
-    return [ids[: sizes[k], k].copy() for k in range(lanes)]
+        offset = offset << _WORD | data[:, k]
+    offset >>= _U(2)
+    # the state ends two bits before a word does
+    data[:, :-1] = data[:, :-1] << np.uint16(14) | data[:, 1:] >> np.uint16(2)
+    # what a damaged block asks for beyond its words is some other word, and does no harm
+    words, used = data.ravel(), np.arange(lanes) * data.shape[1] + 3
+    model = _Model(lanes, True)
+    ids = np.zeros((2 + int(sizes[0]), lanes), np.uint16)
+    counted, shift = 0, np.uint32(32 - _SLOT_BITS)
+    digit_bits = np.uint32(_DIGIT_BITS)
+    for first, stop, n, due in _spans(sizes):
+        if n < model.n:
+            model.narrow(n)
+            offset, span, used = offset[:n], span[:n], used[:n]
+        if due:
+            model.count(ids[2 + counted : 2 + first, :n])
+            counted = first
+        highs, lows, lane_values = model.lane << 8, model.lane * _GROUPS, model.lane << _DIGIT_BITS
+        slot = np.empty(2 * n, np.int64)
+        both = np.empty(2 * n, np.uint16)
+        two = ids[first, :n] * _TWO
+        for t in range(first + 2, stop + 2):
+            last = ids[t - 1, :n]
+            one = last * _ONE
+            np.add(model.slots[:n], (one + two) >> shift, out=slot[:n])
+            np.add(model.slots[n:], one >> shift, out=slot[n:])
+            two = last * _TWO
+            model.look(slot)
+            # who guessed it
+            unit = span >> _U(_FLAG_BITS)
+            value = (offset // unit).astype(np.uint32)
+            not_two, missed = value >= model.a, value >= model.both
+            from_two, from_one = not_two.astype(np.uint16), missed.astype(np.uint16)
+            not_two, missed = not_two.astype(np.uint32), missed.astype(np.uint32)
+            start, size = model.interval(not_two, missed)
+            offset -= unit * start
+            unit *= size
+            # its digits, of use where nobody did
+            unit >>= _U(2 * _DIGIT_BITS)
+            value = (offset // unit).astype(np.uint32)
+            high = model.high_digit.take(lane_values + (value >> digit_bits), mode="clip")
+            share = model.high_share.take(highs + high)
+            size = share >> _HALF
+            start = (share & _MASK) << digit_bits
+            group = lows + _groups(high)
+            low = model.low_digit.take((group << _DIGIT_BITS) + (value - start) // size, mode="clip")
+            share = model.low_share.take((group << 8) + low)
+            start += (share & _MASK) * size
+            offset -= unit * (missed * start)
+            np.multiply(unit, missed * (size * (share >> _HALF) - _PASSED) + _PASSED, out=span)
+            due_word = (span < _LEAST).astype(_U)
+            more = due_word << _U(4)
+            offset <<= more
+            offset |= words.take(used, mode="clip") * due_word
+            span <<= more
+            used += due_word.view(np.int64)
+            rest = np.flatnonzero(span < _LEAST)
+            while len(rest):
+                offset[rest] = offset[rest] << _WORD | words.take(used[rest], mode="clip")
+                used[rest] += 1
+                span[rest] <<= _WORD
+                rest = rest[span[rest] < _LEAST]
+            now = high.astype(np.uint16) << np.uint16(8) | low
+            now = model.two + from_two * (model.one - model.two) + from_one * (now - model.one)
+            ids[t, :n] = both[:n] = both[n:] = now
+            model.learn(slot, both, not_two, missed)
+    return [ids[2 : 2 + size, k].copy() for k, size in enumerate(sizes.tolist())]
